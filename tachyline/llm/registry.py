@@ -1,10 +1,12 @@
 """The queries of this subpackage, and the SQL for those that SQL can express."""
 
-from . import ngram_join
+from . import ngram_join, suffix_dedup
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
+    "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
 }
 ORACLE = {
     "op1_ngram_jaccard_join": ngram_join.SQL,
+    "op10_suffix_array_dedup": suffix_dedup.SQL,
 }
