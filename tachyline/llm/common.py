@@ -109,12 +109,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the runs without white space (ASCII), and each row's range of them."""
+def words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = ~SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of ``letters`` (all but ASCII white space), and each row's range of them."""
     none = np.zeros(0, np.int64)
     if not len(data):
         return none, none, np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+    inside = letters[data]
     filled = offsets[:-1] < offsets[1:]
     first, last = offsets[:-1][filled], offsets[1:][filled] - 1
     begins, ends = inside.copy(), inside.copy()
