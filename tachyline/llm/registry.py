@@ -1,11 +1,12 @@
 """The queries of this subpackage, and the SQL for those that SQL can express."""
 
-from . import ngram_join, secret_scan, string_tiling, suffix_dedup, toxicity
+from . import ngram_join, pieces, secret_scan, string_tiling, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_string_tiling_decontamination": string_tiling.op2_string_tiling_decontamination,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_toxicity_severity": toxicity.op9_toxicity_severity,
     "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
 }
