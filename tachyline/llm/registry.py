@@ -1,12 +1,13 @@
 """The queries of this subpackage, and the SQL for those that SQL can express."""
 
-from . import chat_format, ngram_join, pieces, secret_scan, string_tiling, suffix_dedup, toxicity, warc
+from . import chat_format, language_id, ngram_join, pieces, secret_scan, string_tiling, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_string_tiling_decontamination": string_tiling.op2_string_tiling_decontamination,
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op5_chat_formatting": chat_format.op5_chat_formatting,
+    "op6_language_id": language_id.op6_language_id,
     "op7_warc_bundles": warc.op7_warc_bundles,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_toxicity_severity": toxicity.op9_toxicity_severity,
