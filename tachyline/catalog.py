@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from .plans import kpi_queries, signal_queries
+
+QUERIES: dict = {**signal_queries.QUERIES, **kpi_queries.QUERIES}
+ORACLE: dict[str, str] = {**signal_queries.ORACLE, **kpi_queries.ORACLE}
