@@ -143,46 +143,41 @@ def qualified_windows(test: Callable[[list], bool], length: float, gap: float, v
     return machine
 
 
-def steady_band(mask: str, speed: str, set_speed: str, band: float, dwell: float = 1.0, excursion: float = 2.0, min_duration: float = 5.0, time: str = "t") -> Machine:
-    """Driving at the set speed: within ``band`` for ``dwell`` confirms it at that sample; it lasts while the mask holds and the
-    set speed stays, and until an excursion of ``excursion``, before whose first sample it ends: (start, end, candidate)."""
+def steady_band(mask: str, speed: str, set_speed: str, band: float, dwell: float = 1.0, excursion: float = 2.0, min_duration: float = 5.0, time: str = "t", eps: float = 1e-9) -> Machine:
+    """Driving at the set speed: ``dwell`` within ``band`` of it confirms the state at that sample. It lasts while the mask
+    holds and the set speed stays, and ends before the first sample of an excursion of ``excursion``:
+    (start, end, candidate), the candidate being the first sample of the stretch with this set speed."""
 
     def machine() -> Generator:
         out: list = []
-        candidate = start = out_since = out_since_end = previous = last = None
-
-        def close(end: float | None) -> None:
-            if start is not None and end is not None and end - start >= min_duration:
-                out.append((start, end, candidate))
-
+        target = candidate = since = start = away = before_away = last = None
         while True:
             s = yield out
             out = []
             good = s is not None and bool(getattr(s, mask)) and getattr(s, speed) is not None and getattr(s, set_speed) is not None
-            changed = good and previous is not None and abs(getattr(s, set_speed) - previous) > 1e-6
-            if not good or changed:
-                close(out_since_end if (out_since is not None and last is not None and last - out_since >= excursion) else last)
-                candidate = start = out_since = None
-                previous = getattr(s, set_speed) if good else None
-                if not good:
-                    last = None
-                    continue
-            previous = getattr(s, set_speed)
-            t, inside = getattr(s, time), abs(getattr(s, speed) - getattr(s, set_speed)) <= band
-            if inside:
-                if candidate is None:
-                    candidate = t
-                if start is None and t - candidate >= dwell:
+            if target is not None and (not good or abs(getattr(s, set_speed) - target) > 1e-6):
+                end = last if away is None else before_away
+                if start is not None and end - start >= min_duration - eps:
+                    out.append((start, end, candidate))
+                target = since = start = away = None
+            if not good:
+                continue
+            t = getattr(s, time)
+            if target is None:
+                target, candidate = getattr(s, set_speed), t
+            inside = abs(getattr(s, speed) - getattr(s, set_speed)) <= band + 1e-9
+            if start is None:
+                since = (t if since is None else since) if inside else None
+                if since is not None and t - since >= dwell - eps:
                     start = t
-                out_since = None
-            elif start is None:
-                candidate = None
-            else:
-                if out_since is None:
-                    out_since, out_since_end = t, last
-                if t - out_since >= excursion:
-                    close(out_since_end)
-                    candidate = start = out_since = None
+            elif inside:
+                away = None
+            elif away is None:
+                away, before_away = t, last
+            elif t - away >= excursion - eps:
+                if before_away - start >= min_duration - eps:
+                    out.append((start, before_away, candidate))
+                target = since = start = away = None
             last = t
 
     return machine
