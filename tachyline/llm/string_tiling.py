@@ -127,7 +127,9 @@ def _hits(table: np.ndarray | None, least: int):
                 row = np.searchsorted(edge, hit, "right") - 1
                 inside = hit + least <= edge[row + 1]
                 hit, row = hit[inside], row[inside]
-                cut = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, int)
+                if not len(row):
+                    continue
+                cut = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
                 for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(row)], strict=True):
                     own, pieces, breaks = hit[a:b], [], 0
                     gap = np.flatnonzero(np.diff(own) > least) + 1
