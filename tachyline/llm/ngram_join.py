@@ -55,7 +55,7 @@ def _deal(cells: int, size: int):
                 order = np.argsort(cell, kind="stable")
                 cell, doc, token = cell[order], doc[order], token[order]
                 at = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, int)
-                ends = np.r_[at[1:], len(cell)]
+                ends = np.r_[at[1:], len(cell)][: len(at)]
                 low, high = token.astype(np.uint32), (token >> U64(32)).astype(np.uint16)
                 if shift <= 40:
                     high = high.astype(np.uint8)
