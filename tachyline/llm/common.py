@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text that a kernel works on at a time; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
@@ -40,6 +40,23 @@ def materialize(df: DataFrame, name: str, sort: list[str] | None = None) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a ``key_filter``; its table has one row for 64 bits at most, whatever the number of keys.
+FILTER_BITS = 1 << 24
+
+
+def key_filter(keys: DataFrame, column: str = "key") -> DataFrame:
+    """A table (word, bits) of a fixed size at most that tells which keys surely aren't among ``keys``."""
+    slot = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    return keys.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(slot % 64))")).alias("bits"))
+
+
+def by_filter(rows: DataFrame, table: DataFrame, column: str = "key", maybe: bool = True) -> DataFrame:
+    """The rows whose key may be among those of a ``key_filter``, or the others. The table's size is bounded, so it is broadcast."""
+    slot = F.pmod(F.xxhash64(rows[column]), F.lit(FILTER_BITS))
+    meets = (F.floor(slot / 64) == table["word"]) & (F.call_function("shiftright", table["bits"], (slot % 64).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    return rows.join(F.broadcast(table), meets, "left_semi" if maybe else "left_anti")
+
+
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows, and row offsets. Null counts as empty."""
     column = column.cast(pa.large_binary())

@@ -1,7 +1,7 @@
 """Exact substring dedup with suffix arrays over shards that hold every pair of equal windows together.
 
 A window of ``length`` bytes contains the same anchor wherever it occurs: the leftmost smallest hash among its
-strings of ``ANCHOR`` bytes. Each anchor owns the run of window starts that choose it. Anchors whose string occurs
+strings of a quarter of that length. Each anchor owns the run of window starts that choose it. Anchors whose string occurs
 once can't own a repeated window and are dropped; the contexts of the others (the bytes of all windows that they
 own) are dealt out by the anchor's hash, so equal windows meet in one shard. In a shard, equal contexts are
 merged, the suffix array of the rest is built by induced sorting, and permuted common prefixes between successive
@@ -20,11 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, Hasher, chunks, materialize, texts_of
+from .common import U64, Hasher, by_filter, chunks, key_filter, materialize, texts_of
 from .induced_sort import common_prefixes, suffix_array
 
-ANCHOR = 100
 SHARD_BYTES = 4 << 20
+#: An anchor with more than one in so many of all occurrences is hot; its occurrences aren't dealt out by it.
+HOT_SHARE = 1000
 
 
 def row_key():
@@ -42,9 +43,9 @@ def _smallest(value: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, length: int, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
+def anchors(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(row, start, count, hash): the windows from ``start`` on, ``count`` of them, choose the anchor with ``hash``."""
-    n, none = len(data), np.zeros(0, np.int64)
+    n, anchor, none = len(data), length // 4, np.zeros(0, np.int64)
     if n < length:
         return none, none, none, none
     prefix = hasher.prefix(data)
@@ -72,7 +73,7 @@ def _anchor_rows(length: int):
         for part in parts:
             keys = np.array(part.column("key"))
             data, offsets = texts_of(part.column("text"))
-            for i, j in chunks(offsets, 2 << 20):
+            for i, j in chunks(offsets):
                 row, start, count, found = anchors(hasher, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length)
                 if len(row):
                     yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][row]), pa.array(found), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], ["key", "anchor", "start", "count"])
@@ -169,9 +170,12 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """``docs`` (doc_id, text, ...) -> key, spans: by ``row_key`` of a document, the byte ranges that repeated windows cover."""
     texts = docs.select(row_key().alias("key"), "text")
     found = materialize(texts.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length), "key long, anchor long, start int, count int"), "anchors")
-    often = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    own = found.join(often, "anchor").dropDuplicates(["key", "start"]).groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "count")).alias("own"))
-    contexts = texts.where(F.octet_length("text") >= length).join(own, "key").mapInArrow(_contexts(length), "anchor long, count int, context binary, keys binary, starts binary")
+    counts = materialize(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    hot = F.col("n") * HOT_SHARE > found.count()  # fewer than HOT_SHARE anchors, so they are broadcast
+    own = found.join(F.broadcast(counts.where(hot)), "anchor", "left_semi").unionByName(found.join(counts.where(~hot), "anchor", "left_semi"))
+    own = materialize(own.dropDuplicates(["key", "start"]).groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "count")).alias("own")), "own")
+    some = by_filter(texts.where(F.octet_length("text") >= length), key_filter(own))
+    contexts = some.join(own, "key").mapInArrow(_contexts(length), "anchor long, count int, context binary, keys binary, starts binary")
     spans = contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length), "key long, start long, end long")
     return spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
@@ -207,9 +211,11 @@ def suffix_dedup(docs: DataFrame, length: int = 400) -> DataFrame:
     bytes count in ``kept_sha256`` but not in ``kept``. Null counts as empty; texts under ``length`` bytes are
     whole; repeated rows repeat each other; a null doc_id is a document like others. Other columns are ignored.
     """
-    length = int(length)
-    spans = repeated_spans(docs, length)
-    return docs.select("doc_id", "text", row_key().alias("key")).join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    spans = materialize(repeated_spans(docs, length), "spans")
+    rows, table = docs.select("doc_id", "text", row_key().alias("key")), key_filter(spans)
+    cut = by_filter(rows, table).join(spans, "key", "left").select("doc_id", "text", "spans")
+    whole = by_filter(rows, table, maybe=False).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    return cut.unionByName(whole).mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
 
 
 def op10_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
