@@ -297,7 +297,7 @@ def forward_drops(value: str, drop: float, within: float, slope: float = 0.0, fl
                 if good and floor is not None:
                     low = [x for x in held if x[0] >= t1]
                     stay = next((k for k, x in enumerate(low) if x[1] > floor), len(low))
-                    good = v1 <= floor and stay > 0 and low[stay - 1][0] - t1 >= dwell
+                    good = v1 <= floor and stay > 0 and low[stay - 1][0] - t1 >= dwell - 1e-9
                 if good:
                     out.append((t0, t1, v0 - v1))
                     while held and held[0][0] <= t1:
