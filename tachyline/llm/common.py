@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text that a kernel works on at a time; a longer text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import U64, Hasher, by_filter, chunks, key_filter, materialize, texts_of
 from .induced_sort import common_prefixes, suffix_array
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: An anchor with more than one in so many of all occurrences is hot; its occurrences aren't dealt out by it.
 HOT_SHARE = 1000
 
