@@ -20,6 +20,11 @@ def _small(edges: DataFrame) -> DataFrame:
     return moved.union(least.toDF("u", "v"))
 
 
+def _state(edges: DataFrame) -> tuple:
+    """Number and checksum of the links: equal once a round changes nothing."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """``links`` (u, v: long) -> (node, component): each linked node with the smallest node that it reaches.
 
@@ -27,11 +32,12 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     Nodes without links aren't returned.
     """
     edges = materialize(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    state = _state(edges)
     for _ in range(rounds):
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if not state[0]:
             break
         edges = materialize(_small(_large(edges).where("u <> v").distinct()).where("u <> v").distinct(), "links")
-        if edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() == state:
+        before, state = state, _state(edges)
+        if state == before:
             break
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
