@@ -191,7 +191,8 @@ def jaccard_components(docs: DataFrame, percent: int = 75, size: int = 5) -> Dat
     """
     sets = materialize(token_sets(docs, percent, size), "sets")
     found = sets.where("tokens is not null")
-    classes = found.groupBy("key1", "key2", "n_tokens").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
+    # Written, so that the aggregate's dealing isn't reused by the join below and a large class can be split there.
+    classes = materialize(found.groupBy("key1", "key2", "n_tokens").agg(F.min("doc_id").alias("node")), "classes")
     members = found.select("key1", "key2", "n_tokens", "doc_id").join(classes, ["key1", "key2", "n_tokens"]).select("doc_id", "node").distinct()
     nodes = materialize(found.join(classes.select("key1", "key2", "n_tokens", F.col("node").alias("doc_id")), ["key1", "key2", "n_tokens", "doc_id"], "left_semi").dropDuplicates(["key1", "key2", "n_tokens"]).withColumnRenamed("doc_id", "node"), "nodes")
 
