@@ -12,6 +12,7 @@ what comes to the driver has a fixed size, languages x scripts and languages x b
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,8 +51,8 @@ SCRIPTS = (
 N_SCRIPTS = 14
 _STARTS = np.array(sorted(a for a, _, _ in SCRIPTS))
 _RANGES = {a: (b, k) for a, b, k in SCRIPTS}
-#: Characters over U+007F that are no letters, by ranges: signs, punctuation, symbols, emoji.
-_SIGNS = ((0x80, 0xA9), (0xAB, 0xB4), (0xB6, 0xB9), (0xBB, 0xBF), (0xD7, 0xD7), (0xF7, 0xF7), (0x2000, 0x209F), (0x20A0, 0x20CF), (0x2190, 0x2BFF), (0x3000, 0x3004), (0x3007, 0x3020), (0xFE00, 0xFE1F), (0xFE30, 0xFE6F), (0xFF00, 0xFF20), (0xFFF0, 0xFFFF), (0x1F000, 0x1FAFF), (0xE000, 0xF8FF))
+#: Code points over U+007F at which runs of characters that are no letters (nor marks on letters) begin and end, in turns.
+_SIGNS = np.flatnonzero(np.diff([False, *(unicodedata.category(chr(c))[0] not in "LM" for c in range(0x80, 0x110000))])) + 0x80
 
 
 def _points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,9 +78,7 @@ def split(data: np.ndarray, offsets: np.ndarray) -> Words:
     """Runs of letters, in lower case; a word has the script of its first letter. Kana count as Han beside Han."""
     data = LOWER[data]
     lead, point = _points(data)
-    sign = np.zeros(len(lead), bool)
-    for a, b in _SIGNS:
-        sign |= (point >= a) & (point <= b)
+    sign = np.searchsorted(_SIGNS, point, "right") % 2 == 1
     if sign.any():
         at = lead[sign]
         size = np.where(data[at] < 0xE0, 2, np.where(data[at] < 0xF0, 3, 4))
