@@ -8,7 +8,9 @@ merged, the suffix array of the rest is built by induced sorting, and permuted c
 window starts tell which windows occur more than once. Their bytes are then cut from the documents.
 
 Shards are cut between anchors at ``SHARD_BYTES`` of distinct contexts; contexts that are equal count once, so a
-passage in any number of documents is one context but for the two at its ends.
+passage in any number of documents is one context but for the two at its ends. Those carry each document's own bytes,
+so an anchor there may have more than ``SHARD_BYTES`` of distinct contexts. Such a wide anchor has no shard: its
+windows are dealt one by one, by a digest of all their bytes, and those whose digest occurs more than once are repeated.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import U64, Hasher, by_filter, chunks, key_filter, materialize, texts_of
 from .induced_sort import common_prefixes, suffix_array
@@ -44,10 +46,11 @@ def _smallest(value: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(row, start, count, hash): the windows from ``start`` on, ``count`` of them, choose the anchor with ``hash``."""
+    """(row, start, count, hash, context): the windows from ``start`` on, ``count`` of them, choose the anchor with
+    ``hash``; ``context`` is the hash of their bytes."""
     n, anchor, none = len(data), length // 4, np.zeros(0, np.int64)
     if n < length:
-        return none, none, none, none
+        return none, none, none, none, none
     prefix = hasher.prefix(data)
     at = np.arange(n - anchor + 1)
     hashes = hasher.ranges(prefix, at, at + anchor)
@@ -58,13 +61,13 @@ def anchors(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, length: int)
         inside[a : a + k - length + 1] = True
     start = np.flatnonzero(inside)
     if not len(start):
-        return none, none, none, none
+        return none, none, none, none, none
     owner = chosen[start].astype(np.int64)
     edge = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)])
     count = np.diff(np.r_[edge, len(start)])
     first = start[edge]
     row = np.searchsorted(offsets, first, "right") - 1
-    return row, first - offsets[row], count, hashes[owner[edge]].view(np.int64)
+    return row, first - offsets[row], count, hashes[owner[edge]].view(np.int64), hasher.ranges(prefix, first, first + count - 1 + length).view(np.int64)
 
 
 def _anchor_rows(length: int):
@@ -74,9 +77,9 @@ def _anchor_rows(length: int):
             keys = np.array(part.column("key"))
             data, offsets = texts_of(part.column("text"))
             for i, j in chunks(offsets):
-                row, start, count, found = anchors(hasher, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length)
+                row, start, count, found, context = anchors(hasher, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length)
                 if len(row):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][row]), pa.array(found), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))], ["key", "anchor", "start", "count"])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][row]), pa.array(found), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(context)], ["key", "anchor", "start", "count", "context"])
 
     return run
 
@@ -110,6 +113,32 @@ def _contexts(length: int):
     return run
 
 
+def _windows(length: int):
+    """Texts with their runs of windows -> (high, low, key, start): 128 bits of a digest of each window's bytes."""
+
+    def emit(digests: list[bytes], keys: list[np.ndarray], starts: list[np.ndarray]) -> pa.RecordBatch:
+        halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (halves[:, 0], halves[:, 1], np.concatenate(keys), np.concatenate(starts))], ["high", "low", "key", "start"])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digests, keys, starts = [], [], []
+        for part in parts:
+            for key, text, own in zip(part.column("key").to_pylist(), part.column("text"), part.column("own").to_pylist(), strict=True):
+                text = memoryview(text.as_buffer())
+                for x in own:
+                    at = range(x["start"], x["start"] + x["count"])
+                    digests += [hashlib.blake2b(text[a : a + length], digest_size=16).digest() for a in at]
+                    keys.append(np.full(len(at), key, np.int64))
+                    starts.append(np.array(at, np.int64))
+                    if len(digests) > 1 << 16:
+                        yield emit(digests, keys, starts)
+                        digests, keys, starts = [], [], []
+        if digests:
+            yield emit(digests, keys, starts)
+
+    return run
+
+
 def repeated(contexts: list[tuple[bytes, int]], length: int) -> list[np.ndarray]:
     """For each (bytes, windows): which of its windows occur elsewhere among all windows given."""
     size = np.array([len(c) for c, _ in contexts])
@@ -166,17 +195,42 @@ def _shards(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
-    """``docs`` (doc_id, text, ...) -> key, spans: by ``row_key`` of a document, the byte ranges that repeated windows cover."""
-    texts = docs.select(row_key().alias("key"), "text")
-    found = materialize(texts.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length), "key long, anchor long, start int, count int"), "anchors")
+def dealt(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataFrame | None]:
+    """The contexts of anchors that fit a shard (anchor, count, context, keys, starts), and the windows of wide
+    anchors (high, low, key, start), if there are any."""
+    texts = docs.select(row_key().alias("key"), "text").where(F.octet_length("text") >= length)
+    found = materialize(texts.mapInArrow(_anchor_rows(length), "key long, anchor long, start int, count int, context long"), "anchors")
     counts = materialize(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "counts")
     hot = F.col("n") * HOT_SHARE > found.count()  # fewer than HOT_SHARE anchors, so they are broadcast
-    own = found.join(F.broadcast(counts.where(hot)), "anchor", "left_semi").unionByName(found.join(counts.where(~hot), "anchor", "left_semi"))
-    own = materialize(own.dropDuplicates(["key", "start"]).groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "count")).alias("own")), "own")
-    some = by_filter(texts.where(F.octet_length("text") >= length), key_filter(own))
-    contexts = some.join(own, "key").mapInArrow(_contexts(length), "anchor long, count int, context binary, keys binary, starts binary")
+
+    def of(chosen: DataFrame) -> DataFrame:
+        return found.join(F.broadcast(chosen.where(hot)), "anchor", "left_semi").unionByName(found.join(chosen.where(~hot), "anchor", "left_semi"))
+
+    def with_texts(rows: DataFrame, name: str) -> DataFrame:
+        own = materialize(rows.dropDuplicates(["key", "start"]).groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "count")).alias("own")), name)
+        return by_filter(texts, key_filter(own)).join(own, "key")
+
+    # A context has fewer than 2 * length bytes, so anchors with few of them can't be wide.
+    sizes = of(counts.where(F.col("n") * 2 * length > SHARD_BYTES)).select("anchor", "count", "context").distinct().groupBy("anchor").agg(F.sum(F.col("count") - 1 + length).alias("size"))
+    wide = materialize(sizes.where(F.col("size") > SHARD_BYTES).select("anchor"), "wide")
+    windows = None
+    narrow = counts
+    if not wide.isEmpty():
+        windows = with_texts(of(counts.join(wide, "anchor", "left_semi")), "wide_own").mapInArrow(_windows(length), "high long, low long, key long, start long")
+        narrow = counts.join(wide, "anchor", "left_anti")
+    return with_texts(of(narrow), "own").mapInArrow(_contexts(length), "anchor long, count int, context binary, keys binary, starts binary"), windows
+
+
+def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
+    """``docs`` (doc_id, text, ...) -> key, spans: by ``row_key`` of a document, the byte ranges that repeated windows cover."""
+    contexts, windows = dealt(docs, length)
     spans = contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length), "key long, start long, end long")
+    if windows is not None:
+        windows = materialize(windows, "windows")
+        again = materialize(windows.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "again")
+        hits = windows.join(again, ["high", "low"], "left_semi").select("key", "start").distinct()
+        run = F.col("start") - F.row_number().over(Window.partitionBy("key").orderBy("start"))
+        spans = spans.unionByName(hits.withColumn("run", run).groupBy("key", "run").agg(F.min("start").alias("start"), (F.max("start") + length).alias("end")).drop("run"))
     return spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 

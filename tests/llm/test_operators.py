@@ -571,6 +571,22 @@ def test_cuts_equal_brute_force(spark, monkeypatch, seed):
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == brute_cut(texts, 40)
 
 
+def test_cuts_of_an_anchor_with_more_contexts_than_a_shard_holds(spark, monkeypatch):
+    """A passage between words of each document's own: the anchors at its edges have a context in each."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 1500)
+    r = random.Random(5)
+    own = lambda: "".join(r.choices("abcdefgh ", k=90))
+    passage, ends = own(), [own()[:9] for _ in range(4)]
+    texts = [own() + passage + r.choice(ends) + own() for _ in range(60)]
+    texts += [texts[0], None, passage]
+    docs = docs_of(spark, texts)
+    contexts, windows = suffix_dedup.dealt(docs, 40)
+    sizes = contexts.select("anchor", "count", "context").distinct().groupBy("anchor").agg(F.sum(F.octet_length("context")).alias("size"))
+    assert windows.count() > 60 and sizes.agg(F.max("size")).first()[0] <= 1500
+    got = suffix_dedup.suffix_dedup(docs, 40).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == brute_cut(texts, 40)
+
+
 def test_cuts_on_awkward_tables(awkward, nothing):
     df, rows = awkward
     got = suffix_dedup.suffix_dedup(df).collect()
