@@ -217,7 +217,7 @@ class Encoder:
             groups = np.split(order, np.flatnonzero(np.diff(size[order])) + 1)
             for own in groups:
                 length = int(size[own[0]])
-                for piece in np.array_split(own, -(-len(own) * length // 400_000) or 1):
+                for piece in np.array_split(own, min(len(own), -(-len(own) * length // 400_000))):
                     pick = a[piece][:, None] + np.arange(length)
                     block = data[pick].ravel()
                     count, ids = _viterbi(self.v, self.hasher, block, np.arange(len(piece)) * length, length)

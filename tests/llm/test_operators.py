@@ -477,6 +477,13 @@ def test_pieces_survive_a_full_cache(monkeypatch):
     assert pieces.Decoder(vocabulary).decode(ids, counts) == texts
 
 
+def test_pieces_of_units_longer_than_a_block():
+    vocabulary = pieces.Vocabulary.load(pieces.MODEL)
+    texts = [b"some words", b"QUJDRA" * 70_000, b" " * 200_000]
+    ids, counts = pieces.Encoder(vocabulary).encode(texts)
+    assert counts.min() > 0 and pieces.Decoder(vocabulary).decode(ids, counts) == texts
+
+
 def test_pieces_on_awkward_tables(awkward, nothing):
     df, rows = awkward
     got = pieces.encode(df, digests=True)
