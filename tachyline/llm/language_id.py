@@ -6,8 +6,9 @@ A Viterbi path over a text's words, on which a change of language costs ``SWITCH
 the language of the most letters on the path; the score is its share of them, weighted by how far its words are
 ahead.
 
-Counts are gathered from all training texts: per task one array per language, then summed natively by bucket, so
-what comes to the driver has a fixed size, languages x scripts and languages x buckets.
+Counts are gathered from all training texts and languages: a task holds arrays of ``HELD`` languages and gives them
+out when others come; they are summed natively by bucket, so what comes to the driver has at most languages x
+(scripts + buckets) rows. A word is scored against its script's candidates only.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from .common import LOWER, U64, Hasher, chunks, classes, texts_of, words
 BITS = 16
 GRAMS = (1, 2, 3, 4)
 SWITCH = 12.0
-#: Upper bound of the languages a model can hold (those with the most documents stay, ties by name).
-LANGUAGES = 64
+#: Languages whose counts a task holds at a time. With more languages in the model, texts are labelled in smaller chunks.
+HELD = 64
 LETTER = classes(members=bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)))
 #: Script ranges by code point: fixed values of the Unicode blocks. Letters elsewhere are of script 0.
 SCRIPTS = (
@@ -115,22 +116,43 @@ def grams(hasher: Hasher, w: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _counts(languages: list[str]):
     place = {x: k for k, x in enumerate(languages)}
 
+    def emit(held: list[int], bucket: np.ndarray, script: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for table, kind in ((bucket, 0), (script, 1)):
+            k, b = np.nonzero(table)
+            language = np.array(held, np.int32)[k]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(language), pa.array(b.astype(np.int32)), pa.array(table[k, b])], ["kind", "language", "bucket", "n"])
+
+    def tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros((n, 1 << BITS), np.int64), np.zeros((n, N_SCRIPTS), np.int64)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        bucket = np.zeros((len(languages), 1 << BITS), np.int64)
-        script = np.zeros((len(languages), N_SCRIPTS), np.int64)
+        hasher, held = Hasher(), []
+        bucket, script = tables(0)
         for part in parts:
-            lang = np.array([place.get(x, -1) for x in part.column("lang").to_pylist()], np.int64)
+            lang = np.array([place[x] for x in part.column("lang").to_pylist()], np.int64)
             data, offsets = texts_of(part.column("text"))
             for i, j in chunks(offsets, 1 << 20):
                 w = split(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                of = np.repeat(lang[i:j], np.diff(w.edge))
-                np.add.at(script, (of, w.script), 1)
-                for word, b in grams(hasher, w):
-                    bucket += np.bincount((of[word] << BITS) + b, minlength=bucket.size).reshape(bucket.shape)
-        for table, kind in ((bucket, 0), (script, 1)):
-            k, b = np.nonzero(table)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(table[k, b])], ["kind", "language", "bucket", "n"])
+                present = np.unique(lang[i:j]).tolist()
+                for first in range(0, len(present), HELD):
+                    own = present[first : first + HELD]
+                    new = [x for x in own if x not in held]
+                    if len(held) + len(new) > HELD:
+                        yield from emit(held, bucket, script)
+                        held, new = [], own
+                        bucket, script = tables(0)
+                    held = [*held, *new]
+                    bucket, script = (np.concatenate([x, y]) for x, y in zip((bucket, script), tables(len(new)), strict=True))
+                    slot = np.full(len(languages), -1, np.int64)
+                    slot[own] = [held.index(x) for x in own]
+                    of = np.repeat(slot[lang[i:j]], np.diff(w.edge))
+                    pick = np.flatnonzero(of >= 0)
+                    of = of[pick]
+                    mine = Words(w.start[pick], w.end[pick], w.edge, w.letters[pick], w.script[pick], w.data)
+                    np.add.at(script, (of, mine.script), 1)
+                    for word, b in grams(hasher, mine):
+                        bucket += np.bincount((of[word] << BITS) + b, minlength=bucket.size).reshape(bucket.shape)
+        yield from emit(held, bucket, script)
 
     return run
 
@@ -145,41 +167,48 @@ class Model:
 def fit(texts: DataFrame) -> Model:
     """The model of ``texts`` (text, lang): all rows with a language count."""
     texts = texts.where("lang is not null and text is not null").select("text", "lang")
-    rows = texts.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in rows)
+    languages = sorted(r["lang"] for r in texts.select("lang").distinct().collect())
     if not languages:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros((N_SCRIPTS, 0), bool))
-    table = texts.where(F.col("lang").isin(languages)).mapInArrow(_counts(languages), "kind int, language int, bucket int, n long").groupBy("kind", "language", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most languages x (buckets + scripts) rows
+    table = texts.mapInArrow(_counts(languages), "kind int, language int, bucket int, n long").groupBy("kind", "language", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most languages x (buckets + scripts) rows
     kind, language, bucket, n = (np.array(table.column(c)) for c in ("kind", "language", "bucket", "n"))
     count = np.zeros((1 << BITS, len(languages)))
     count[bucket[kind == 0], language[kind == 0]] = n[kind == 0]
     script = np.zeros((N_SCRIPTS, len(languages)))
     script[bucket[kind == 1], language[kind == 1]] = n[kind == 1]
     score = np.log((count + 0.1) / (count.sum(axis=0) + 0.1 * (1 << BITS)))
+    del count
     # A script narrows to the languages that write a thousandth of their words in it; one that none does, to all.
     candidates = script > 1e-3 * np.maximum(script.sum(axis=0), 1)
     candidates[~candidates.any(axis=1)] = True
     return Model(languages, score - score.mean(axis=1, keepdims=True), candidates)
 
 
-def word_scores(model: Model, hasher: Hasher, w: Words) -> np.ndarray:
-    """word x language; -inf is no candidate. Equal words are scored once."""
+def word_scores(model: Model, hasher: Hasher, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct word x language, which of them each word is); -1e4 is no candidate."""
     key, first, inverse = np.unique(hasher.ranges(hasher.prefix(w.data), w.start, w.end), return_index=True, return_inverse=True)
-    own = Words(w.start[first], w.end[first], w.edge, w.letters[first], w.script[first], w.data)
-    total, n = np.zeros((len(first), len(model.languages))), np.zeros(len(first))
-    for word, bucket in grams(hasher, own):
-        n += np.bincount(word, minlength=len(first))
-        for k in range(total.shape[1]):
-            total[:, k] += np.bincount(word, model.score[bucket, k], len(first))
-    total *= (np.sqrt(n) / np.maximum(n, 1) * 2)[:, None]  # n-grams of a word overlap; long words shouldn't decide alone
-    total[~model.candidates[own.script]] = -1e4
-    return total[inverse]
-
-
-def paths(score: np.ndarray, edge: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """The language of each word on the best path of its row; rows advance together, word by word, longest first."""
-    n, k = score.shape
-    out = np.zeros(n, np.int8)
+    total = np.full((len(first), len(model.languages)), -1e4)
+    for x in np.unique(w.script[first]).tolist():
+        mine = np.flatnonzero(w.script[first] == x)
+        at, candidates = first[mine], np.flatnonzero(model.candidates[x])
+        own = Words(w.start[at], w.end[at], w.edge, w.letters[at], w.script[at], w.data)
+        part, n = np.zeros((len(at), len(candidates))), np.zeros(len(at))
+        for word, bucket in grams(hasher, own):
+            n += np.bincount(word, minlength=len(at))
+            for k, language in enumerate(candidates.tolist()):
+                part[:, k] += np.bincount(word, model.score[bucket, language], len(at))
+        part *= (np.sqrt(n) / np.maximum(n, 1) * 2)[:, None]  # n-grams of a word overlap; long words shouldn't decide alone
+        total[np.ix_(mine, candidates)] = part
+    return total, inverse
+
+
+def paths(score: np.ndarray, edge: np.ndarray, switch: float = SWITCH, word: np.ndarray | None = None) -> np.ndarray:
+    """The language of each word on the best path of its row; rows advance together, word by word, longest first.
+
+    ``word``: the row of ``score`` that each word has; by default its own."""
+    word = np.arange(len(score)) if word is None else word
+    n, k = len(word), score.shape[1]
+    out = np.zeros(n, np.int32)
     size = np.diff(edge)
     order = np.argsort(-size, kind="stable")
     begin, size = edge[:-1][order], size[order]
@@ -187,9 +216,9 @@ def paths(score: np.ndarray, edge: np.ndarray, switch: float = SWITCH) -> np.nda
     if not longest or k < 2:
         return out
     live = np.searchsorted(-size, -np.arange(longest), "left")  # rows with more than t words
-    back = np.zeros((n, k), bool)  # came from the best language of the word before
-    top = np.zeros(n, np.int8)  # that language
-    value = score[begin[: live[0]]].copy()
+    back = np.zeros((n, -(-k // 8)), np.uint8)  # bits: came from the best language of the word before
+    top = np.zeros(n, np.int32)  # that language
+    value = score[word[begin[: live[0]]]]
     for t in range(1, longest):
         m = live[t]
         value = value[:m]
@@ -197,17 +226,17 @@ def paths(score: np.ndarray, edge: np.ndarray, switch: float = SWITCH) -> np.nda
         jump = value[np.arange(m), best] - switch
         at = begin[:m] + t
         moved = value < jump[:, None]
-        back[at], top[at] = moved, best
-        value = np.where(moved, jump[:, None], value) + score[at]
+        back[at], top[at] = np.packbits(moved, axis=1), best
+        value = np.where(moved, jump[:, None], value) + score[word[at]]
         if t + 1 < longest and live[t + 1] < m or t + 1 == longest:
             ends = slice(live[t + 1] if t + 1 < longest else 0, m)
             out[at[ends]] = value[ends].argmax(axis=1)
     single = np.flatnonzero(size == 1)
-    out[begin[single]] = score[begin[single]].argmax(axis=1)
+    out[begin[single]] = score[word[begin[single]]].argmax(axis=1)
     for t in range(longest - 1, 0, -1):
         at = begin[: live[t]] + t
         own = out[at]
-        out[at - 1] = np.where(back[at, own], top[at], own)
+        out[at - 1] = np.where(back[at, own >> 3] >> (7 - (own & 7)) & 1, top[at], own)
     return out
 
 
@@ -219,19 +248,19 @@ def _labelled(model: Model, switch: float):
         hasher, names = Hasher(), np.array([*model.languages, "und"], object)
         for part in parts:
             data, offsets = texts_of(part.column("text"))
-            for i, j in chunks(offsets, 1 << 20):
+            for i, j in chunks(offsets, (1 << 20) * HELD // max(HELD, len(model.languages))):
                 raw = data[offsets[i] : offsets[j]]
                 w = split(raw, offsets[i : j + 1] - offsets[i])
                 rows, k = j - i, len(model.languages)
                 if k and len(w.start):
-                    score = word_scores(model, hasher, w)
-                    path = paths(score, w.edge, switch).astype(np.int64)
+                    score, word = word_scores(model, hasher, w)
+                    path = paths(score, w.edge, switch, word).astype(np.int64)
                     of = np.repeat(np.arange(rows), np.diff(w.edge))
                     share = np.bincount(of * k + path, w.letters, rows * k).reshape(rows, k)
                     lead = np.bincount(of * k + path, w.letters, rows * k).reshape(rows, k).sum(axis=1)
                     pick = share.argmax(axis=1)
                     value = share[np.arange(rows), pick] / np.maximum(lead, 1)
-                    sums = np.stack([np.bincount(of, np.maximum(score[:, x], -50), rows) for x in range(k)], axis=1)
+                    sums = np.stack([np.bincount(of, np.maximum(score[:, x], -50)[word], rows) for x in range(k)], axis=1)
                     margin = (sums - sums.max(axis=1, keepdims=True)) / np.sqrt(np.maximum(np.diff(w.edge), 1))[:, None]
                     odds = np.exp(np.clip(margin, -50, 0))
                     value = value * (odds[np.arange(rows), pick] / odds.sum(axis=1))

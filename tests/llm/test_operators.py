@@ -355,6 +355,17 @@ def test_mixed_text_gets_spans_and_scripts_narrow(spark):
     assert all((r.lang_pred, r.score) == ("und", 0.0) for r in row[1:])
 
 
+def test_more_languages_than_a_task_holds_are_all_learned(spark):
+    r = random.Random(7)
+    names = [f"l{k:03}" for k in range(140)]
+    own = {x: ["".join(r.choices("abcdefghijklmnop", k=8)) for _ in range(6)] for x in names}
+    rows = [(x, " ".join(r.choices(own[x], k=12))) for x in names]
+    model = language_id.fit(spark.createDataFrame(rows, "lang string, text string").coalesce(1))
+    assert model.languages == names
+    got = language_id.label(spark.createDataFrame(rows, "want string, text string"), model).collect()
+    assert all(x.lang_pred == x.want for x in got) and len(got) == len(names)
+
+
 def test_language_on_awkward_tables(awkward, nothing):
     df, rows = awkward
     model = language_id.fit(df.limit(0).select("text", "lang"))
