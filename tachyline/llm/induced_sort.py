@@ -143,7 +143,7 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     new[alike] = ~_same(text, sorted_[alike - 1], sorted_[alike], own[alike])
     names = np.zeros(len(marks), np.int64)
     names[place[sorted_]] = np.cumsum(new) - 1
-    # Names of pairs of substrings, recursively; each substring steps over one byte at least.
+    # Prefix doubling in place of recursion: names of pairs of substrings; each substring steps over one byte at least.
     rounds = 64 if depth is None else int(np.ceil(np.log2(depth + 1))) + 1
     return _induce(text, marks[_by_names(names, rounds)])
 
