@@ -103,7 +103,7 @@ def _items(least: int):
             own = [token[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
             seeds = [np.unique(_windows(x, least)).view(np.int64) for x in own]
             wide = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("item_id"), pa.array([x.view(np.int64) for x in own], wide), pa.array(seeds, wide)], ["item_id", "item", "seeds"])
+            yield pa.RecordBatch.from_arrays([part.column("item_id"), part.column("code"), pa.array([x.view(np.int64) for x in own], wide), pa.array(seeds, wide)], ["item_id", "code", "item", "seeds"])
 
     return run
 
@@ -164,8 +164,10 @@ def row_key():
 
 
 def tiled_pairs(docs: DataFrame, benchmark: DataFrame, least: int = 5) -> DataFrame:
-    """(key, item_id, n_item, covered, n_tiles) for documents and items that share a seed; key is ``row_key``."""
-    items = materialize(benchmark.select("item_id", "text").where("item_id is not null").mapInArrow(_items(least), "item_id long, item array<long>, seeds array<long>"), "items")
+    """(key, item_id, n_item, covered, n_tiles) for documents and items that share a seed; key is ``row_key``.
+
+    Items are told apart by identifier and text, so each text of an item_id, or of none, is tested."""
+    items = materialize(benchmark.select("item_id", F.xxhash64("item_id", "text").alias("code"), "text").mapInArrow(_items(least), "item_id long, code long, item array<long>, seeds array<long>"), "items")
     table = None
     seeds = items.select(F.explode("seeds").alias("seed")).distinct()
     if seeds.count() <= TABLE_SEEDS:
@@ -174,8 +176,8 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame, least: int = 5) -> DataFr
         table = np.zeros(1 << TABLE_BITS - 3, np.uint8)
         np.bitwise_or.at(table, slot >> 3, (1 << (slot & 7)).astype(np.uint8))
     hits = materialize(docs.select(row_key().alias("key"), "text").mapInArrow(_hits(table, least), "key long, parts array<long>, seeds array<long>").dropDuplicates(["key"]), "hits")
-    pairs = hits.select("key", F.explode("seeds").alias("seed")).join(items.select("item_id", F.explode("seeds").alias("seed")), "seed").select("key", "item_id").distinct()
-    both = pairs.join(hits.select("key", "parts"), "key").join(items.select("item_id", "item", F.size("item").cast("long").alias("n_item")).dropDuplicates(["item_id"]), "item_id")
+    pairs = hits.select("key", F.explode("seeds").alias("seed")).join(items.select("code", F.explode("seeds").alias("seed")), "seed").select("key", "code").distinct()
+    both = pairs.join(hits.select("key", "parts"), "key").join(items.select("item_id", "code", "item", F.size("item").cast("long").alias("n_item")).dropDuplicates(["code"]), "code")
     return both.select("key", "item_id", "n_item", "parts", "item").mapInArrow(_tiled(least), "key long, item_id long, n_item long, covered long, n_tiles long")
 
 
@@ -184,7 +186,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 5, share:
 
     The item reported is the one covered best, the smallest item_id on ties; n_items counts all that reach the
     share. Items and documents under ``least`` words, null and empty ones match nothing. Rows that repeat have one
-    key; items that repeat an item_id count once. Other columns are ignored.
+    key; benchmark rows that repeat count once; other texts of an
+    item_id, or of none, are items of their own. Other columns are ignored.
     """
     good = tiled_pairs(docs, benchmark, least).withColumn("coverage", F.col("covered") / F.col("n_item")).where(F.col("coverage") >= share)
     best = F.max_by(F.struct("item_id", "n_tiles"), F.struct("coverage", -F.col("item_id")))

@@ -169,6 +169,14 @@ def test_contamination_finds_reordered_passages_only(spark, monkeypatch):
         assert {r.doc_id: (r.item_id, r.coverage, r.n_tiles) for r in found.collect()} == expected
 
 
+def test_contamination_tests_every_text_of_an_item(spark):
+    texts = [" ".join(f"{x}{k}" for k in range(12)) for x in ("ash", "birch", "cedar")]
+    items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[2])], "item_id long, text string")
+    docs = docs_of(spark, [*texts, "nothing of the sort is written in here"])
+    found = docs.withColumn("key", string_tiling.row_key()).join(string_tiling.contamination(docs, items), "key").orderBy("doc_id").collect()
+    assert [(r.doc_id, r.item_id, r.n_items, r.coverage) for r in found] == [(0, 1, 1, 1.0), (1, 1, 1, 1.0), (2, None, 1, 1.0)]
+
+
 def test_contamination_on_awkward_tables(spark, awkward, nothing):
     df, _ = awkward
     bench = spark.createDataFrame([(1, "a b c d e f"), (2, "no id at all here")], "item_id long, text string")
