@@ -25,19 +25,16 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``links`` (u, v: long) -> (node, component): each linked node with the smallest node that it reaches.
 
+    Rounds go on until one changes nothing: their number grows with the logarithm of the nodes.
     Only minima are gathered per node, so a node with any number of links is no bottleneck.
     Nodes without links aren't returned.
     """
     edges = materialize(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    state = _state(edges)
-    for _ in range(rounds):
-        if not state[0]:
-            break
+    before, state = None, _state(edges)
+    while state[0] and state != before:
         edges = materialize(_small(_large(edges).where("u <> v").distinct()).where("u <> v").distinct(), "links")
         before, state = state, _state(edges)
-        if state == before:
-            break
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
