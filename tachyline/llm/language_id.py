@@ -52,8 +52,11 @@ SCRIPTS = (
 N_SCRIPTS = 14
 _STARTS = np.array(sorted(a for a, _, _ in SCRIPTS))
 _RANGES = {a: (b, k) for a, b, k in SCRIPTS}
+_KINDS = np.array([ord(unicodedata.category(chr(c))[0]) for c in range(0x80, 0x110000)], np.uint8)
 #: Code points over U+007F at which runs of characters that are no letters (nor marks on letters) begin and end, in turns.
-_SIGNS = np.flatnonzero(np.diff([False, *(unicodedata.category(chr(c))[0] not in "LM" for c in range(0x80, 0x110000))])) + 0x80
+_SIGNS = np.flatnonzero(np.diff(np.r_[False, (_KINDS != ord("L")) & (_KINDS != ord("M"))])) + 0x80
+#: The same for runs of marks, of which no word consists alone.
+_MARKS = np.flatnonzero(np.diff(np.r_[False, _KINDS == ord("M")])) + 0x80
 
 
 def _points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +79,7 @@ class Words:
 
 
 def split(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Runs of letters, in lower case; a word has the script of its first letter. Kana count as Han beside Han."""
+    """Runs of letters and marks on them, in lower case; a word has the script of its first letter. Kana count as Han beside Han."""
     data = LOWER[data]
     lead, point = _points(data)
     sign = np.searchsorted(_SIGNS, point, "right") % 2 == 1
@@ -88,6 +91,10 @@ def split(data: np.ndarray, offsets: np.ndarray) -> Words:
     start, end, edge = words(data, offsets, LETTER)
     follow = np.r_[0, np.cumsum((data & 0xC0) == 0x80)]
     letters = (end - start) - (follow[end] - follow[start])
+    marks = np.r_[0, np.cumsum(np.searchsorted(_MARKS, point, "right") % 2)]
+    real = letters > marks[np.searchsorted(lead, end)] - marks[np.searchsorted(lead, start)]
+    if not real.all():
+        start, end, letters, edge = start[real], end[real], letters[real], np.r_[0, np.cumsum(real)][edge]
     script = np.ones(len(start), np.int8)
     first = np.searchsorted(lead, start)
     wide = np.flatnonzero((first < len(lead)) & (lead[np.minimum(first, max(len(lead) - 1, 0))] == start)) if len(lead) else np.zeros(0, np.int64)
