@@ -109,9 +109,12 @@ def _fit(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade: np.nd
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FEATURES) -> Model:
-    """The model for ``labels`` (doc_id, grade in 0..2) of ``docs`` (doc_id, text). Without two grades it finds nothing toxic."""
+    """The model for ``labels`` (doc_id, grade in 0..2) of ``docs`` (doc_id, text). Without two grades it finds nothing toxic.
+
+    Of rows that share a doc_id the smallest text counts, so ``sample`` bounds what is gathered."""
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("grade", "text").mapInArrow(_sampled, "grade int, n_words long, features array<int>, counts array<int>"), "sampled")  # the sample is bounded
+    own = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.first("grade").alias("grade"), F.min("text").alias("text"))  # one row for a doc_id
+    rows = materialize(own.select("grade", "text").mapInArrow(_sampled, "grade int, n_words long, features array<int>, counts array<int>"), "sampled")  # the sample is bounded
     n, toxic = rows.agg(F.count("*"), F.count_if(F.col("grade") > 0)).first()
     nothing = Model(np.zeros(1 << BITS), np.array([50.0, 51.0]))
     if not toxic or toxic == n:
