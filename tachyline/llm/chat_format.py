@@ -7,10 +7,10 @@ A log has one row per event: conversation, sequence number, kind, message, role,
 - ``edit``: the text replaces the message's;
 - ``regenerate``: the message and all that come after it are dropped; with text, the message begins anew with it.
 
-Logs are dealt out by conversation and sorted by sequence; a sorted partition is read event by event. A log that may
-change its past holds the messages of the one conversation being read; a final log (only ``message`` events, each of
-a new message) holds one message, so a conversation of any length streams through. Rendered output is one piece per
-message, in order.
+Logs are dealt out by conversation and sorted by sequence; a sorted partition is read event by event. A window from the
+end says for each event how far back later events still reach, so messages before that are rendered and forgotten at once:
+a conversation of any length streams through, and what is held are the messages that may still change. Rendered output
+is one piece per message, in order.
 
 The template marks turns with control strings; the same strings inside texts are escaped by a marker character
 and read back by dropping it, so the text between control strings is always recovered exactly.
@@ -23,7 +23,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Control strings of the template.
 BEGIN = {"system": "<s>[SYS] ", "user": "<s>[INST] ", "assistant": "<s>[OUT] "}
@@ -94,55 +94,82 @@ class _Batches:
 PIECES = [("conv_id", pa.int64()), ("position", pa.int64()), ("role", pa.string()), ("piece", pa.string()), ("start", pa.int64()), ("end", pa.int64())]
 
 
-def _fold(final: bool):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, conv, at, position = _Batches(PIECES), None, {}, 0
-
-        def give(messages: list[tuple[str | None, list[str]]]) -> Iterator[pa.RecordBatch]:
-            nonlocal position
-            for role, text in messages:
-                piece, a, b = render(role, "".join(text))
-                yield from out.add((conv, position, role or "", piece, a, b), 4 * len(piece))
-                position += 1
-
-        for conv_id, kind, message, role, text in _sorted_rows(parts, ("conv_id", "kind", "message", "role", "text")):
-            if conv_id != conv:
-                yield from give(list(at.values()))
-                conv, at, position = conv_id, {}, 0
-            text = text or ""
-            if final:
-                yield from give([(role, [text])])
-            elif kind == "delta" and message in at:
-                at[message][1].append(text)
-            elif kind == "edit" and message in at:
-                at[message] = (at[message][0], [text])
-            elif kind == "regenerate" and message in at:
-                old, drop = at[message][0], False
-                for k in list(at):
-                    drop = drop or k == message
-                    if drop:
-                        del at[k]
-                if text:
-                    at[message] = (role or old, [text])
-            elif kind in ("message", "delta"):
-                at[message] = (role, [text])
-        yield from give(list(at.values()))
-        yield from out.flush()
-
-    return run
-
-
-def format_events(events: DataFrame, final: bool = False) -> DataFrame:
+def _fold(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Events in order -> pieces. ``born`` is the place of a message's first event, ``reach`` the smallest one that
+    later events have: messages born before it can't change any more."""
+    out, conv, at, position = _Batches(PIECES), None, {}, 0
+
+    def give(messages: list[tuple[str | None, list[str], int]]) -> Iterator[pa.RecordBatch]:
+        nonlocal position
+        for role, text, _ in messages:
+            piece, a, b = render(role, "".join(text))
+            yield from out.add((conv, position, role or "", piece, a, b), 4 * len(piece))
+            position += 1
+
+    for conv_id, kind, message, role, text, born, reach in _sorted_rows(parts, ("conv_id", "kind", "message", "role", "text", "born", "reach")):
+        if conv_id != conv:
+            yield from give(list(at.values()))
+            conv, at, position = conv_id, {}, 0
+        text = text or ""
+        if kind == "delta" and message in at:
+            at[message][1].append(text)
+        elif kind == "edit" and message in at:
+            at[message] = (at[message][0], [text], born)
+        elif kind == "regenerate" and message in at:
+            old, drop = at[message][0], False
+            for k in list(at):
+                drop = drop or k == message
+                if drop:
+                    del at[k]
+            if text:
+                at[message] = (role or old, [text], born)
+        elif kind in ("message", "delta"):
+            at[message] = (role, [text], born)
+        settled = []
+        for k, (*_, first) in at.items():
+            if reach is not None and first >= reach:
+                break
+            settled.append(k)
+        yield from give([at.pop(k) for k in settled])
+    yield from give(list(at.values()))
+    yield from out.flush()
+
+
+def format_events(events: DataFrame) -> DataFrame:
     """``events`` (conv_id, seq, kind, message, role, text, ...) -> pieces: conv_id, position, role, piece, start, end.
 
-    ``piece`` is the rendered turn and [start, end) the place of its escaped text in code points. ``final``: each row
-    is a whole new message. Edits and regenerations of unknown messages, and unknown kinds, do nothing; null text is
-    empty, null role is the role with no name; rows without conv_id are left out; rows of equal sequence come in the
-    order of kind, message, role and text. Other columns are ignored.
+    ``piece`` is the rendered turn and [start, end) the place of its escaped text in code points. Edits and
+    regenerations of unknown messages, and unknown kinds, do nothing; null text is empty, null role is the role with no
+    name; rows without conv_id are left out; a null sequence comes first; rows of equal sequence come in the order of
+    kind, message, role and text. Other columns are ignored.
     """
     rows = events.where("conv_id is not null").select("conv_id", "seq", "kind", "message", "role", "text")
-    order = ["conv_id", "seq"] if final else ["conv_id", "seq", "kind", "message"]
-    return rows.repartition("conv_id").sortWithinPartitions(*order, "role", "text").select("conv_id", "kind", "message", "role", "text").mapInArrow(_fold(final), "conv_id long, position long, role string, piece string, start long, end long")
+    order = ["seq", "kind", "message", "role", "text"]
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("conv_id").orderBy(*order)))
+    rows = rows.withColumn("born", F.min("at").over(Window.partitionBy("conv_id", "message")))
+    rows = rows.withColumn("reach", F.min("born").over(Window.partitionBy("conv_id").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)))
+    return rows.sortWithinPartitions("conv_id", "at").select("conv_id", "kind", "message", "role", "text", "born", "reach").mapInArrow(_fold, "conv_id long, position long, role string, piece string, start long, end long")
+
+
+def event_log(turns: DataFrame) -> DataFrame:
+    """``turns`` (conv_id, turn, role, text) -> a log that folds to them, as a chat service would have kept it.
+
+    A turn of the assistant is streamed in part, then a question follows that is dropped with it when it's regenerated, and
+    is streamed again to its end. Any other is first a draft, then edited. A conversation's rows come in the order of turn (null
+    last), role and text; its events leave this in no order.
+    """
+    text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
+    rows = turns.where("conv_id is not null").select("conv_id", "turn", role.alias("role"), text.alias("text"))
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("conv_id").orderBy(F.asc_nulls_last("turn"), "role", "text")).cast("long"))
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    begin, rest, none = F.substring("text", F.lit(1), half), F.expr("substring(text, int(floor(char_length(text) / 2)) + 1)"), F.lit(None).cast("string")
+
+    def event(k: int, kind: str, role: Column, text: Column, other: int = 0) -> Column:
+        return F.struct((F.col("at") * 8 + k).alias("seq"), F.lit(kind).alias("kind"), (F.col("at") * 2 + other).alias("message"), role.alias("role"), text.alias("text"))
+
+    streamed = F.array(event(4, "delta", none, rest), event(3, "delta", F.col("role"), begin), event(1, "message", F.lit("user"), F.lit("Again, please."), 1), event(0, "delta", F.col("role"), begin), event(2, "regenerate", none, none))
+    edited = F.array(event(1, "edit", none, F.col("text")), event(0, "message", F.col("role"), begin))
+    return rows.select("conv_id", F.explode(F.when(F.col("role") == "assistant", streamed).otherwise(edited)).alias("e")).select("conv_id", "e.*")
 
 
 DIGEST = [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
@@ -181,8 +208,7 @@ def op5_chat_formatting(spark, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    events = rows.unionByName(extra).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), F.col("turn").alias("message"), "role", "text")
-    return digests(format_events(events, final=True))
+    return digests(format_events(event_log(rows.unionByName(extra))))
 
 
 SQL = r"""
@@ -192,9 +218,9 @@ WITH c AS (
 e AS (
   SELECT *, length(text) + len(regexp_extract_all(text, '(<|\[)\x{2063}*(/?s>|/?(SYS|INST|OUT|ROLE)\b)'))
     + CASE role WHEN 'system' THEN length('<s>[SYS]  [/SYS]') WHEN 'user' THEN length('<s>[INST]  [/INST]') WHEN 'assistant' THEN length('<s>[OUT]  </s>') ELSE length('<s>[ROLE ]  [/ROLE]') + length(role) END AS chars FROM c)
-SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
