@@ -6,13 +6,13 @@ columns of ``documents``; the driver writes each result as Parquet and rereads i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tachyline.llm.common import materialize
 from tachyline.llm.ngram_join import jaccard_components
 from tachyline.llm.pieces import encode
 from tachyline.llm.secret_scan import scan_secrets
-from tachyline.llm.string_tiling import contamination, row_key
+from tachyline.llm.string_tiling import contamination, text_key
 from tachyline.llm.toxicity import fit, grades, score_toxicity
 
 
@@ -20,35 +20,47 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but doc_id and text under names that no operator uses, and what selects them back."""
+    held = {c: f"__{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    return docs.withColumnsRenamed(held), [F.col(held.get(c, c)).alias(c) for c in docs.columns]
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with P(grade > 0) of 0.5 or more go."""
     model = fit(docs, grades(_table(spark, sf_dir, "labels")))
-    return score_toxicity(docs, model).where("not toxic").select(docs.columns)
+    own, columns = _aside(docs)
+    return score_toxicity(own, model).where("not toxic").select(columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component at Jaccard 0.75 on five-word shingles the smallest doc_id stays; of rows that repeat a
-    doc_id one stays. Rows without doc_id link with nothing and stay."""
+    """Of each component at Jaccard 0.75 on five-word shingles the smallest doc_id stays. Of rows that repeat doc_id and
+    text one stays, the first by its other columns as JSON; different texts of one doc_id all stay. Rows without doc_id
+    link with nothing and stay."""
     found = jaccard_components(docs)
     gone = materialize(found.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
     again = materialize(found.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
     kept = docs.join(gone, "doc_id", "left_anti")
     once = kept.join(again, "doc_id", "left_anti")
-    return once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+    more = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")), F.lit(0).alias("__"))
+    repeated = kept.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min_by(more, F.to_json(more)).alias("__more")).select("doc_id", "text", "__more.*")
+    return once.select(docs.columns).unionByName(repeated.select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose tiles cover 0.6 of a benchmark item go."""
-    found = contamination(docs, _table(spark, sf_dir, "benchmark")).select("key")
-    return docs.withColumn("key", row_key()).join(found, "key", "left_anti").select(docs.columns)
+    found = contamination(docs, _table(spark, sf_dir, "benchmark")).select(F.col("key").alias("__text_key"))
+    own, columns = _aside(docs)
+    return own.withColumn("__text_key", text_key()).join(found, "__text_key", "left_anti").select(columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by their kind; all documents stay."""
-    found = scan_secrets(docs, redact=True)
+    own, columns = _aside(docs)
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.select(docs.columns)
+        at = docs.columns.index("n_chars")
+        columns[at] = F.when(F.size("secret_spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(f"__{at}")).alias("n_chars")
+    return scan_secrets(own, redact=True).select(columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
