@@ -154,6 +154,42 @@ def test_tiles_cover_what_the_naive_search_covers(seed):
         assert text[a : a + k] == item[b : b + k]
 
 
+def test_tiles_of_repeated_words_take_no_time():
+    import time
+
+    began = time.perf_counter()
+    assert string_tiling.tiles([7] * 20_000, [7] * 500, 5) == [(0, 0, 500)]
+    text, item = [7, 7, 7, 8] * 5000, ([7] * 9 + [8]) * 50
+    found = string_tiling.tiles(text, item, 5)
+    assert time.perf_counter() - began < 5 and found[0] == (0, 6, 7) and {n for *_, n in found} == {7}
+    assert string_tiling.tiles([1, 2, 3] * 4000, [3, 1, 2] * 90, 5)[0] == (2, 0, 270)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_contamination_equals_brute_force(spark, seed):
+    """Few words, many shared phrases, items that repeat their own seeds: the columns of the query."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(rng.choice([3, 12]))]
+    say = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    phrase = say(7)
+    items = [(k, phrase + say(rng.randint(0, 25)) + rng.choice([[], phrase, phrase])) for k in range(8)]
+    texts = []
+    for _ in range(25):
+        own = rng.choice(items)[1]
+        cut = rng.randint(0, len(own))
+        texts.append(rng.choice([say(30), phrase + say(20) + phrase, say(5) + own[cut:] + say(3) + own[:cut], own[: cut + 3] + say(9)]))
+    found = string_tiling.contamination(docs_of(spark, [" ".join(t) for t in texts]), spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string"))
+    by = {bytes(r.key): r for r in found.collect()}
+    for text in texts:
+        covered = {k: naive_tiles(text, item, 5) for k, item in items if len(item) >= 5}
+        good = {k: (sum(n for *_, n in t) / len(dict(items)[k]), len(t)) for k, t in covered.items() if sum(n for *_, n in t) / len(dict(items)[k]) >= 0.6}
+        r = by.get(hashlib.md5(" ".join(text).encode()).digest())
+        assert (r is None) == (not good)
+        if good:
+            best = min(good, key=lambda k: (-good[k][0], k))
+            assert (r.item_id, r.coverage, r.n_tiles, r.n_items) == (best, good[best][0], good[best][1], len(good))
+
+
 def test_contamination_finds_reordered_passages_only(spark, monkeypatch):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
@@ -163,9 +199,9 @@ def test_contamination_finds_reordered_passages_only(spark, monkeypatch):
     docs = docs_of(spark, texts)
     bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other)), (3, None), (4, ""), (5, "short"), (1, " ".join(item)), (None, "x y z a b c")], "item_id long, text string")
     expected = {1: (1, 1.0, 1), 2: (1, 1.0, 2), 6: (2, 1.0, 1)}
-    for limit in (string_tiling.TABLE_SEEDS, 0):
-        monkeypatch.setattr(string_tiling, "TABLE_SEEDS", limit)
-        found = docs.withColumn("key", string_tiling.row_key()).join(string_tiling.contamination(docs, bench), "key")
+    for bits in (string_tiling.TABLE_BITS, (6, 6)):
+        monkeypatch.setattr(string_tiling, "TABLE_BITS", bits)
+        found = docs.withColumn("key", string_tiling.text_key()).join(string_tiling.contamination(docs, bench), "key")
         assert {r.doc_id: (r.item_id, r.coverage, r.n_tiles) for r in found.collect()} == expected
 
 
@@ -173,7 +209,7 @@ def test_contamination_tests_every_text_of_an_item(spark):
     texts = [" ".join(f"{x}{k}" for k in range(12)) for x in ("ash", "birch", "cedar")]
     items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[2])], "item_id long, text string")
     docs = docs_of(spark, [*texts, "nothing of the sort is written in here"])
-    found = docs.withColumn("key", string_tiling.row_key()).join(string_tiling.contamination(docs, items), "key").orderBy("doc_id").collect()
+    found = docs.withColumn("key", string_tiling.text_key()).join(string_tiling.contamination(docs, items), "key").orderBy("doc_id").collect()
     assert [(r.doc_id, r.item_id, r.n_items, r.coverage) for r in found] == [(0, 1, 1, 1.0), (1, 1, 1, 1.0), (2, None, 1, 1.0)]
 
 
@@ -181,8 +217,10 @@ def test_contamination_on_awkward_tables(spark, awkward, nothing):
     df, _ = awkward
     bench = spark.createDataFrame([(1, "a b c d e f"), (2, "no id at all here")], "item_id long, text string")
     found = string_tiling.contamination(df, bench)
-    hit = df.withColumn("own", string_tiling.row_key()).join(found.withColumnRenamed("key", "own"), "own")
+    hit = df.withColumn("own", string_tiling.text_key()).join(found.withColumnRenamed("key", "own"), "own")
     assert sorted((r.doc_id or 0, r.item_id) for r in hit.select("doc_id", "item_id").collect()) == [(0, 2), (9, 1), (10, 1)]
+    long = " ".join(["again"] * 100_000)
+    assert string_tiling.contamination(docs_of(spark, [long]), spark.createDataFrame([(1, " ".join(["again"] * 300))], "item_id long, text string")).first().coverage == 1.0
     assert string_tiling.contamination(nothing, bench).count() == 0
     assert string_tiling.contamination(df, bench.limit(0)).count() == 0
 
@@ -216,6 +254,47 @@ def test_battery_tells_chance_from_words():
     assert min(secret_scan.battery(np.frombuffer(t, np.uint8))[1] for t in words_) > 1e-4
 
 
+def plain_battery(text):
+    """(name of the encoding, p-value) by the definitions, in plain Python."""
+    import math
+    import statistics
+
+    body = text.rstrip("=") or text[:1]
+    name, alphabet, excess, switch, tied = next(e for e in secret_scan.ENCODINGS if set(body.encode()) <= set(e[1]))
+    n, k, at = len(body), len(alphabet), [alphabet.index(x) for x in body.encode()]
+    chi = sum((at.count(x) - n / k) ** 2 / (n / k) for x in range(k))
+    z = [(chi - (k - 1 + n * excess)) / math.sqrt(2 * (k - 1) + 4 * n * excess)]
+    kind = lambda c: c in "aeiouyAEIOUY" if name == "lower" else "u" if c.isupper() else "l" if c.islower() else "d" if c.isdigit() else "s"
+    changes = sum(kind(a) != kind(b) for a, b in zip(body, body[1:]))
+    z.append(((n - 1) * switch - changes) / math.sqrt((n - 1) * switch * (1 - switch)))
+    mean, spread = statistics.fmean(at), n * statistics.pvariance(at)
+    r = sum((a - mean) * (b - mean) for a, b in zip(at, at[1:])) / spread if spread else 0.999
+    z.append((math.atanh(max(-0.999, min(0.999, r))) - math.atanh(tied)) * math.sqrt(n - 3))
+    if name == "lower":
+        z[1:] = [-x for x in z[1:]]
+    return name, statistics.NormalDist().cdf(sum(z) / math.sqrt(6))
+
+
+def test_battery_and_discoveries_equal_plain_ones(spark):
+    rng = random.Random(11)
+    alphabets = ["0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCabcdefXYZ0189", "abcdefABCDEF0123456789+/", "ab_-cd0", "eeeeeeetaoin"]
+    tokens = ["".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randint(20, 70))) for _ in range(60)]
+    tokens += ["".join(rng.choice(a) for _ in range(rng.randint(20, 140))) for a in alphabets for _ in range(25)] + ["a" * 30, "internationalization_of_it", "deadbeef" * 4]
+    for t in tokens:
+        kind, p = secret_scan.battery(np.frombuffer(t.encode(), np.uint8))
+        name, want = plain_battery(t)
+        assert secret_scan.ENCODINGS[kind][0] == name and p == pytest.approx(want, rel=1e-6, abs=1e-12)
+    group = lambda t: (plain_battery(t)[0], sum(len(t) >= x for x in (32, 48, 64, 128)))
+    level = lambda t: min(399, int(-np.log10(max(plain_battery(t)[1], 1e-300)) / 0.1))
+    found = set()
+    for g in {group(t) for t in tokens}:
+        own = sorted((t for t in tokens if group(t) == g), key=lambda t: -level(t))
+        last = max((k for k, t in enumerate(own, 1) if 10 ** (-0.1 * level(t)) <= 0.01 * k / len(own)), default=0)
+        found |= {t for t in own if last and level(t) >= level(own[last - 1])}
+    got = secret_scan.scan_secrets(docs_of(spark, tokens)).collect()
+    assert {tokens[r.doc_id] for r in got if any(x.kind == "random" for x in r.secret_spans)} == found and 20 < len(found) < len(tokens)
+
+
 def test_random_tokens_are_found_and_redacted(spark):
     rng = random.Random(9)
     alphabet = (secret_scan.UPPER + secret_scan.LOWER + secret_scan.DIGIT).decode()
@@ -243,10 +322,11 @@ def test_secrets_on_awkward_tables(awkward, nothing):
 
 
 def test_merkle_against_plain_python(spark, monkeypatch):
-    monkeypatch.setattr(merkle, "LEAST_WIDTH", 4)
+    monkeypatch.setattr(merkle, "RANGE_ROWS", 4)
+    monkeypatch.setattr(merkle, "STEPS", 5)
     rng = random.Random(4)
     sentence = lambda: " ".join("".join(rng.choice("abcé") for _ in range(4)) for _ in range(rng.randint(1, 8))) + rng.choice(".!?")
-    ids = rng.sample(range(-50, 4000), 60)
+    ids = rng.sample(range(-50, 4000), 57) + [-(2**63), 2**63 - 1, 2**62]
     texts = {i: rng.choice(["", "x", " ".join(sentence() for _ in range(6)), "\n".join(" ".join(sentence() for _ in range(3)) for _ in range(4))]) for i in ids}
     order = sorted(ids, reverse=True)
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
@@ -278,6 +358,10 @@ def test_merkle_on_awkward_tables(spark, awkward, nothing):
     same = [r.fingerprint for r in got if r.doc_id == 6]
     assert len(same) == 2 and same[0] == same[1] and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
     assert merkle.edited_fingerprints(nothing).count() == 0
+    bounds = [-5, 0, 7, 8, 90, 91, 1000, 2**40]
+    ids = [-(2**63), -6, -5, -1, 0, 6, 7, 8, 9, 89, 90, 91, 92, 999, 1000, 2**40 - 1, 2**40, 2**63 - 1]
+    got = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", merkle.range_of(bounds).alias("part")).collect()
+    assert {r.doc_id: r.part for r in got} == {i: sum(b <= i for b in bounds) for i in ids}
     one = merkle.edited_fingerprints(docs_of(spark, ["abcdef"])).first()
     assert one.near_next == 1.0 and one.edited_sha256 == hashlib.sha256(b"abcabc").hexdigest()
 
@@ -313,6 +397,47 @@ def test_events_are_folded(spark):
     assert chat_format.format_events(events.limit(0)).count() == 0
 
 
+def test_folds_equal_a_plain_fold_and_forget_what_is_settled(spark):
+    rng = random.Random(12)
+    log, want = [], {}
+    for conv in range(40):
+        at = {}
+        for seq in range(rng.randint(0, 30)):
+            kind, m, role, text = rng.choice(["message", "delta", "delta", "edit", "regenerate", "odd"]), rng.randint(0, 5), rng.choice([None, "user", "assistant"]), rng.choice([None, "", "a", "bc"])
+            log.append((conv, seq, kind, m, role, text))
+            if kind == "delta" and m in at:
+                at[m] = (at[m][0], at[m][1] + (text or ""))
+            elif kind == "edit" and m in at:
+                at[m] = (at[m][0], text or "")
+            elif kind == "regenerate" and m in at:
+                keys = list(at)
+                old = at[m][0]
+                for k in keys[keys.index(m) :]:
+                    del at[k]
+                if text:
+                    at[m] = (role or old, text)
+            elif kind in ("message", "delta"):
+                at[m] = (role, text or "")
+        if at:
+            want[conv] = [(a or "", b) for a, b in at.values()]
+    rng.shuffle(log)
+    got = defaultdict(list)
+    for r in sorted(chat_format.format_events(spark.createDataFrame(log, "conv_id long, seq long, kind string, message long, role string, text string")).collect(), key=lambda r: (r.conv_id, r.position)):
+        got[r.conv_id].append(chat_format.read_piece(r.piece)[:2])
+    assert got == want
+
+
+def test_chat_on_awkward_tables(spark):
+    long = "ab c" * 200_000
+    rows = [(1, 0, "user", long, "x"), (1, 1, "assistant", long, None), (1, 1, "assistant", long, None), (2, None, None, None, None), (2, 1, "tool]", "é", "y"), (None, 1, "user", "lost", "z"), (3, 5, "assistant", "", None), (-4, 2, "system", "<s>[SYS] x", None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, born string")
+    got = {r.conv_id: r for r in chat_format.digests(chat_format.format_events(chat_format.event_log(turns))).collect()}
+    sha = lambda turns: hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+    assert {k: (r.n_turns, r.turns_sha256) for k, r in got.items()} == {1: (3, sha([("user", long), ("assistant", long), ("assistant", long)])), 2: (2, sha([("tool]", "é"), ("", "")])), 3: (1, sha([("assistant", "")])), -4: (1, sha([("system", "<s>[SYS] x")]))}
+    assert got[1].loss_chars == 2 * len(long)
+    assert chat_format.format_events(chat_format.event_log(turns.limit(0))).count() == 0
+
+
 def test_final_logs_read_back(spark):
     rows = spark.read.parquet(f"{SF}/conversations.parquet").collect()
     by = defaultdict(list)
@@ -363,6 +488,44 @@ def test_mixed_text_gets_spans_and_scripts_narrow(spark):
     assert all((r.lang_pred, r.score) == ("und", 0.0) for r in row[1:])
 
 
+def test_labels_equal_a_plain_search(spark):
+    rng = random.Random(13)
+    own = {"aa": "klo mne ruk tess vo", "bb": "ahu zzi pel grom", "cc": "шум дар лес", "dd": "мак дом шум"}
+    train = spark.createDataFrame([(" ".join(rng.choices(w.split(), k=30)), x) for x, w in own.items()], "text string, lang string")
+    model, hasher = language_id.fit(train), common.Hasher()
+    every = [w for x in own.values() for w in x.split()] + ["Ruk", "ÉT", "42", "--", "\u0301", "a\u0301b"]
+    texts = [rng.choice([" ", ", "]).join(rng.choices(every, k=rng.randint(0, 9))) for _ in range(80)] + ["\u0301\u0302", "\u0301 ok"]
+    h = lambda b: hasher.ranges(hasher.prefix(np.frombuffer(b, np.uint8)), np.array([0]), np.array([len(b)]))
+
+    def score(word):
+        b = re.sub(rb"[A-Z]", lambda m: m[0].lower(), word.encode())
+        hits = []
+        for k in (1, 2, 3, 4):
+            hits += [int((h(b[i : i + k]) * np.uint64(2 * k + 1) >> np.uint64(48))[0]) for i in range(len(b) - k + 1)]
+            hits += [int((h(b[:k]) * np.uint64(0x9E3779B97F4A7C15 + 2 * k) >> np.uint64(48))[0])] if len(b) >= k else []
+        script = 3 if "\u0400" <= word[0] <= "\u052f" else 1 if word[0] < "\u0250" else 0
+        return [2 / len(hits) ** 0.5 * sum(model.score[x, k] for x in hits) if model.candidates[script, k] else -1e4 for k in range(4)]
+
+    import unicodedata
+
+    for r in language_id.label(docs_of(spark, texts), model).collect():
+        letter = lambda c: c.isalpha() or unicodedata.category(c)[0] == "M"
+        words_ = [w for w in "".join(c if letter(c) else " " for c in texts[r.doc_id]).split() if any(c.isalpha() for c in w)]
+        if not words_:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        s = [score(w) for w in words_]
+        best = [(x, [k]) for k, x in enumerate(s[0])]
+        for row in s[1:]:
+            best = [max(((v - (12.0 if p[-1] != k else 0) + row[k], p + [k]) for v, p in best), key=lambda x: x[0]) for k in range(4)]
+        path = max(best, key=lambda x: x[0])[1]
+        letters = [sum(len(w) for w, k in zip(words_, path) if k == x) for x in range(4)]
+        pick = max(range(4), key=lambda k: letters[k])
+        sums = [sum(max(row[k], -50) for row in s) for k in range(4)]
+        odds = [np.exp(max(-50, (x - max(sums)) / len(s) ** 0.5)) for x in sums]
+        assert r.lang_pred == model.languages[pick] and r.score == pytest.approx(letters[pick] / sum(letters) * odds[pick] / sum(odds))
+
+
 def test_more_languages_than_a_task_holds_are_all_learned(spark):
     r = random.Random(7)
     names = [f"l{k:03}" for k in range(140)]
@@ -535,6 +698,28 @@ def test_ordinal_gradient_orders_grades():
     assert w == pytest.approx([2, -1, 0], abs=0.35) and cuts == pytest.approx([0, 2], abs=0.4)
 
 
+def test_scores_equal_plain_sums(spark):
+    rng, hasher = np.random.default_rng(14), common.Hasher()
+    model = toxicity.Model(rng.normal(0, 1, 1 << toxicity.BITS), np.array([0.3, 1.1]))
+    texts = ["Some words, some WORDS again", "", None, "über élan x", "a", "12 !!", "longerwordswithmanyletters and short ones " * 40]
+    for r in toxicity.score_toxicity(docs_of(spark, texts), model).collect():
+        total, own = 0.0, re.findall(rb"[a-z\x80-\xff]+", (texts[r.doc_id] or "").encode().lower())
+        for w in own:
+            for k, n in enumerate((4, 6, 8, 0)):
+                part = w[:n] if n else w
+                if n == 0 or len(w) > n:
+                    total += model.weights[int((hasher.ranges(hasher.prefix(np.frombuffer(part, np.uint8)), np.array([0]), np.array([len(part)])) * np.uint64(2 * k + 1) >> np.uint64(64 - toxicity.BITS))[0])]
+        above = [1 / (1 + np.exp(c - 100 * total / (len(own) + 20))) for c in model.cuts]
+        assert r.severity == pytest.approx(sum(above)) and r.grade == sum(a > 0.5 for a in above) and r.toxic == (above[0] >= 0.5)
+
+
+def test_sample_counts_a_repeated_doc_id_once(spark):
+    docs = spark.createDataFrame([(1, "bad worst evil")] * 50 + [(k, "fine calm kind") for k in range(2, 9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1 if k == 1 else 0) for k in range(1, 9)], "doc_id long, grade int")
+    once = toxicity.fit(docs.dropDuplicates(["doc_id"]), labels)
+    assert np.allclose(toxicity.fit(docs, labels).weights, once.weights)
+
+
 def test_toxicity_on_awkward_tables(spark, awkward, nothing):
     df, rows = awkward
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")

@@ -77,6 +77,13 @@ def test_pipeline_on_awkward_rows(spark, tmp_path):
         if name == "near_duplicates":
             assert sorted((r.doc_id or 0) for r in docs.collect()) == [0, 0, 1, 2, 3]
     assert docs.count() == 5
+    clash = ["toxic", "severity", "grade", "key", "secret_spans", "__text_key", "tokens", "node"]
+    first = spark.createDataFrame([(i, t, None, None, None, *clash) for i, t in ((1, "some words that nobody else has"), (1, "some words that nobody else has"), (1, "other words under the same identifier"))], ", ".join(["doc_id long, text string, lang string, source string, n_chars long", *(f"`{c}` string" for c in clash)]))
+    own = first
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        own = materialize(stage(spark, own, SF), name)
+        assert own.schema.simpleString() == first.schema.simpleString()
+    assert sorted(r.text[:5] for r in own.collect()) == ["other", "some "] and all(list(r)[5:] == clash for r in own.collect())
     empty = docs.sparkSession.createDataFrame([], spark.read.parquet(f"{SF}/documents.parquet").schema)
     for name, stage in corpus_pipeline.STAGES:
         empty = materialize(stage(spark, empty, SF), name)
