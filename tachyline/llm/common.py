@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that a kernel works on at a time; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 20
@@ -22,16 +22,23 @@ U64 = np.uint64
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    Where the cluster names none (local tests), a temporary folder becomes the checkpoint folder.
+    Where a local session names none (tests), a temporary folder becomes the checkpoint folder; a cluster must name one.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="scratch")
         sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def row_key() -> Column:
+    """16 bytes that stand for a row's doc_id and text: a digest, so that rows with different texts don't meet."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.when(F.col("text").isNull(), "-").otherwise(":"), F.coalesce("text", F.lit("")))))
+
+
 def materialize(df: DataFrame, name: str, sort: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a table in the scratch folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

@@ -2,7 +2,8 @@
 
 The scans of induced sorting walk over buckets of suffixes with equal first byte. All suffixes that a bucket
 places in other buckets, and those that it places in itself run by run, are found at once, so a scan is a few
-array operations for each pair of bytes, linear in the text, whatever its length.
+array operations for each pair of bytes, linear in the text, whatever its length. The leftmost-smaller substrings
+get names; the string of names is sorted by recursion, in which an alphabet of any size is sorted column by column.
 """
 
 from __future__ import annotations
@@ -13,13 +14,11 @@ import numpy as np
 def _types(text: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the next one (S), the last included."""
     n = len(text)
-    differs = np.flatnonzero(text[:-1] != text[1:])
-    at = np.searchsorted(differs, np.arange(n - 1)) if n > 1 else np.zeros(0, np.int64)
     out = np.ones(n, bool)
     if n > 1:
-        known = at < len(differs)
-        where = differs[np.minimum(at, max(len(differs) - 1, 0))] if len(differs) else np.zeros(n - 1, np.int64)
-        out[:-1] = known & (text[where] < text[where + 1]) if len(differs) else False
+        at = np.where(text[:-1] != text[1:], np.arange(n - 1), n - 1)
+        where = np.minimum.accumulate(at[::-1])[::-1]  # the next place whose byte differs from the one behind it
+        out[:-1] = (where < n - 1) & (text[np.minimum(where, n - 2)] < text[np.minimum(where, n - 2) + 1])
     return out
 
 
@@ -87,44 +86,69 @@ def _same(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) ->
     return equal
 
 
-def _by_names(names: np.ndarray, rounds: int) -> np.ndarray:
-    """Order of the suffixes of ``names``: names of pairs of names, again and again, while some are equal.
+def _arranged(columns: tuple[np.ndarray, np.ndarray], at: np.ndarray, count: np.ndarray, final: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of items by ``count`` columns, then by ``final``: an item's first column is its head (``columns[0]``), the others
+    stand behind place ``at`` of ``columns[1]``. Also which of them in this order differ from the one before.
 
-    After ``rounds`` doublings those still equal keep their order.
+    Items that agree on all columns so far have the same count or are both short of it, so column after column
+    is compared, for those that are still alike only.
     """
-    n, h = len(names), 1
-    rank = names.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    sorted_ = rank[order]
-    first = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
-    start = np.repeat(first, np.diff(np.r_[first, n]))
-    rank[order] = start
-    single = np.diff(np.r_[first, n]) == 1
-    open_ = ~np.repeat(single, np.diff(np.r_[first, n]))
-    for _ in range(rounds):
-        slots = np.flatnonzero(open_)
-        if not len(slots):
-            break
+    head, columns = columns
+    order = np.argsort(head, kind="stable")
+    key = head[order]
+    new = np.r_[True, key[1:] != key[:-1]]
+    first = np.flatnonzero(new)
+    size = np.diff(np.r_[first, len(at)])
+    group, open_ = np.repeat(first, size), np.repeat(size > 1, size)
+    top, k = int(max(columns.max(), final.max())) + 1, 1
+    while len(slots := np.flatnonzero(open_)):
         items = order[slots]
-        follow = np.where(items + h < n, rank[np.minimum(items + h, n - 1)] + 1, 0)
-        key = rank[items] * (n + 1) + follow
+        inside = count[items] > k
+        value = np.where(inside, columns[np.minimum(at[items] + k, len(columns) - 1)], final[items])
+        key = group[slots] * top + value
         by = np.argsort(key, kind="stable")
-        key, items = key[by], items[by]
-        order[slots] = items
-        head = np.r_[True, key[1:] != key[:-1]]
-        at = np.flatnonzero(head)
-        sizes = np.diff(np.r_[at, len(key)])
-        rank[items] = np.repeat(slots[at], sizes)
-        open_[slots] = np.repeat(sizes > 1, sizes)
-        h *= 2
-    return order
-
-
-def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """Suffixes of ``text`` (uint8; the last byte is 0 and no other is) in order.
-
-    With ``depth``, suffixes that agree on that many bytes may come in any order among themselves.
+        key = key[by]
+        order[slots] = items[by]
+        edge = np.r_[True, key[1:] != key[:-1]]
+        first = np.flatnonzero(edge)
+        size = np.diff(np.r_[first, len(key)])
+        group[slots] = np.repeat(slots[first], size)
+        new[slots[first]] = True
+        open_[slots] = np.repeat(size > 1, size) & inside[by]
+        k += 1
+    return order, new
+
+
+def _by_names(names: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of ``names`` (integers; the last is smaller than all others), by recursion.
+
+    Its own leftmost-smaller substrings are named in turn until all names differ. The order of these suffixes then
+    orders all others: each is told by its symbols up to the next of them, and its rank. A run of one name is one
+    symbol: the longer it is, the larger before a smaller name, and the smaller before a larger one.
     """
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    if n < 2 or (np.diff(names[order]) > 0).all():
+        return order
+    small = _types(names)
+    marks = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    begin = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+    run = np.cumsum(np.r_[True, names[1:] != names[:-1]]) - 1
+    left = np.r_[begin[1:], n][run] - np.arange(n)
+    symbol = np.unique((2 * names.astype(np.int64) + small) * (2 * n + 2) + np.where(small, n - left, n + left), return_inverse=True)[1]
+    columns = symbol[begin]
+    follow = np.searchsorted(marks, np.arange(n), "right")
+    count = run[np.r_[marks, n - 1][follow]] - run + 1  # the symbol of the next mark included
+    order, new = _arranged((symbol[marks], columns), run[marks], count[marks], np.zeros(len(marks), np.int64))
+    reduced = np.empty(len(marks), np.int64)
+    reduced[order] = np.cumsum(new) - 1
+    rank = np.zeros(len(marks) + 1, np.int64)  # the last is behind the last name, which stands alone
+    rank[_by_names(reduced)] = np.arange(len(marks))
+    return _arranged((symbol, columns), run, count, rank[follow])[0]
+
+
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Suffixes of ``text`` (uint8; the last byte is 0 and no other is) in order."""
     small = _types(text)
     marks = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     if len(marks) <= 1:
@@ -143,9 +167,7 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     new[alike] = ~_same(text, sorted_[alike - 1], sorted_[alike], own[alike])
     names = np.zeros(len(marks), np.int64)
     names[place[sorted_]] = np.cumsum(new) - 1
-    # Prefix doubling in place of recursion: names of pairs of substrings; each substring steps over one byte at least.
-    rounds = 64 if depth is None else int(np.ceil(np.log2(depth + 1))) + 1
-    return _induce(text, marks[_by_names(names, rounds)])
+    return _induce(text, marks[_by_names(names)])
 
 
 def _compare(eight: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -22,16 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import U64, Hasher, by_filter, chunks, key_filter, materialize, texts_of
+from .common import U64, Hasher, by_filter, chunks, key_filter, materialize, row_key, texts_of
 from .induced_sort import common_prefixes, suffix_array
 
 SHARD_BYTES = 2 << 20
 #: An anchor with more than one in so many of all occurrences is hot; its occurrences aren't dealt out by it.
 HOT_SHARE = 1000
-
-
-def row_key():
-    return F.xxhash64("doc_id", "text")
+#: Bytes of a ``row_key``.
+KEY = 16
 
 
 def _smallest(value: np.ndarray, width: int) -> np.ndarray:
@@ -46,11 +44,11 @@ def _smallest(value: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(row, start, count, hash, context): the windows from ``start`` on, ``count`` of them, choose the anchor with
-    ``hash``; ``context`` is the hash of their bytes."""
+    """(row, start, count, owners, hash, context): the windows from ``start`` on, ``count`` of them, choose the anchor
+    with ``hash``, which stands at ``owners`` places; ``context`` is the hash of their bytes."""
     n, anchor, none = len(data), length // 4, np.zeros(0, np.int64)
     if n < length:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     prefix = hasher.prefix(data)
     at = np.arange(n - anchor + 1)
     hashes = hasher.ranges(prefix, at, at + anchor)
@@ -61,54 +59,60 @@ def anchors(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, length: int)
         inside[a : a + k - length + 1] = True
     start = np.flatnonzero(inside)
     if not len(start):
-        return none, none, none, none, none
-    owner = chosen[start].astype(np.int64)
+        return none, none, none, none, none, none
+    at = chosen[start].astype(np.int64)
+    owner = hashes[at]
     edge = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)])
+    # Where a string repeats itself closely, the same anchor is chosen on and on: runs end after as many windows as one can own.
+    since = np.arange(len(start)) - np.repeat(edge, np.diff(np.r_[edge, len(start)]))
+    edge = np.flatnonzero(since % (length - anchor + 1) == 0)
     count = np.diff(np.r_[edge, len(start)])
+    owners = np.add.reduceat(np.r_[True, at[1:] != at[:-1]].astype(np.int32), edge)
+    owners += ~np.r_[True, at[1:] != at[:-1]][edge]
     first = start[edge]
     row = np.searchsorted(offsets, first, "right") - 1
-    return row, first - offsets[row], count, hashes[owner[edge]].view(np.int64), hasher.ranges(prefix, first, first + count - 1 + length).view(np.int64)
+    return row, first - offsets[row], count, owners, owner[edge].view(np.int64), hasher.ranges(prefix, first, first + count - 1 + length).view(np.int64)
 
 
 def _anchor_rows(length: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for part in parts:
-            keys = np.array(part.column("key"))
+            keys = part.column("key")
             data, offsets = texts_of(part.column("text"))
             for i, j in chunks(offsets):
-                row, start, count, found, context = anchors(hasher, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length)
+                row, start, count, owners, found, context = anchors(hasher, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length)
                 if len(row):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][row]), pa.array(found), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(context)], ["key", "anchor", "start", "count", "context"])
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(row + i)), pa.array(found), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(owners.astype(np.int32)), pa.array(context)], ["key", "anchor", "start", "count", "owners", "context"])
 
     return run
 
 
 def _contexts(length: int):
-    """Texts with their repeated anchors -> contexts; equal ones of a batch share a row."""
+    """Texts with their repeated anchors -> contexts; equal ones that a task meets soon after one another share a row."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[tuple[int, int, bytes], tuple[list[bytes], list[int]]] = {}
+        size = 0
         for part in parts:
-            rows: dict[tuple[int, int, bytes], tuple[list[int], list[int]]] = {}
-            size = 0
             for key, text, own in zip(part.column("key").to_pylist(), part.column("text"), part.column("own").to_pylist(), strict=True):
                 text = text.as_buffer().to_pybytes()
                 for x in own:
                     context = text[x["start"] : x["start"] + x["count"] - 1 + length]
                     keys, starts = rows.setdefault((x["anchor"], x["count"], context), ([], []))
-                    size += len(context) if not keys else 0
+                    size += len(context) if not keys else KEY + 4
                     keys.append(key)
                     starts.append(x["start"])
                 if size > SHARD_BYTES:
                     yield emit(rows)
                     rows, size = {}, 0
-            if rows:
-                yield emit(rows)
+        if rows:
+            yield emit(rows)
 
     def emit(rows: dict) -> pa.RecordBatch:
         anchor, count, context = zip(*rows, strict=True)
         keys, starts = zip(*rows.values(), strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(count, pa.int32()), pa.array(context, pa.binary()), pa.array([np.array(k, np.int64).tobytes() for k in keys], pa.binary()), pa.array([np.array(s, np.int32).tobytes() for s in starts], pa.binary())], ["anchor", "count", "context", "keys", "starts"])
+        return pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(count, pa.int32()), pa.array(context, pa.binary()), pa.array([b"".join(k) for k in keys], pa.binary()), pa.array([np.array(s, np.int32).tobytes() for s in starts], pa.binary())], ["anchor", "count", "context", "keys", "starts"])
 
     return run
 
@@ -116,9 +120,9 @@ def _contexts(length: int):
 def _windows(length: int):
     """Texts with their runs of windows -> (high, low, key, start): 128 bits of a digest of each window's bytes."""
 
-    def emit(digests: list[bytes], keys: list[np.ndarray], starts: list[np.ndarray]) -> pa.RecordBatch:
+    def emit(digests: list[bytes], keys: list[bytes], starts: list[np.ndarray]) -> pa.RecordBatch:
         halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (halves[:, 0], halves[:, 1], np.concatenate(keys), np.concatenate(starts))], ["high", "low", "key", "start"])
+        return pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(keys, pa.binary()), pa.array(np.concatenate(starts))], ["high", "low", "key", "start"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests, keys, starts = [], [], []
@@ -128,7 +132,7 @@ def _windows(length: int):
                 for x in own:
                     at = range(x["start"], x["start"] + x["count"])
                     digests += [hashlib.blake2b(text[a : a + length], digest_size=16).digest() for a in at]
-                    keys.append(np.full(len(at), key, np.int64))
+                    keys += [key] * len(at)
                     starts.append(np.array(at, np.int64))
                     if len(digests) > 1 << 16:
                         yield emit(digests, keys, starts)
@@ -148,7 +152,7 @@ def repeated(contexts: list[tuple[bytes, int]], length: int) -> list[np.ndarray]
     counted = np.zeros(len(text), bool)
     for a, (_, n) in zip(begin.tolist(), contexts, strict=True):
         counted[a : a + n] = True
-    order = suffix_array(text, length)
+    order = suffix_array(text)
     order = order[counted[order]]
     shared = common_prefixes(text, order)
     twice = np.zeros(len(text), bool)
@@ -175,7 +179,9 @@ def _shards(length: int):
             for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
                 out.append((keys, starts + a, starts + b - 1 + length))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["key", "start", "end"])
+            keys, starts, ends = map(np.concatenate, zip(*out, strict=True))
+            places = pa.py_buffer(np.arange(0, KEY * len(keys) + 1, KEY, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(keys), [None, places, pa.py_buffer(keys.tobytes())]), pa.array(starts), pa.array(ends)], ["key", "start", "end"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, size, last = {}, 0, None
@@ -188,7 +194,7 @@ def _shards(length: int):
                 last = anchor
                 at = group.setdefault((anchor, count, context), ([], []))
                 size += len(context) if not at[0] else 0
-                at[0].append(np.frombuffer(keys, np.int64))
+                at[0].append(np.frombuffer(keys, f"V{KEY}"))
                 at[1].append(np.frombuffer(starts, np.int32))
         yield from solve(group)
 
@@ -199,9 +205,9 @@ def dealt(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataFrame | No
     """The contexts of anchors that fit a shard (anchor, count, context, keys, starts), and the windows of wide
     anchors (high, low, key, start), if there are any."""
     texts = docs.select(row_key().alias("key"), "text").where(F.octet_length("text") >= length)
-    found = materialize(texts.mapInArrow(_anchor_rows(length), "key long, anchor long, start int, count int, context long"), "anchors")
-    counts = materialize(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "counts")
-    hot = F.col("n") * HOT_SHARE > found.count()  # fewer than HOT_SHARE anchors, so they are broadcast
+    found = materialize(texts.mapInArrow(_anchor_rows(length), "key binary, anchor long, start int, count int, owners int, context long"), "anchors")
+    counts = materialize(found.groupBy("anchor").agg(F.sum("owners").alias("n")).where("n > 1"), "counts")
+    hot = F.col("n") * HOT_SHARE > found.agg(F.coalesce(F.sum("owners"), F.lit(0))).first()[0]  # fewer than HOT_SHARE anchors, so they are broadcast
 
     def of(chosen: DataFrame) -> DataFrame:
         return found.join(F.broadcast(chosen.where(hot)), "anchor", "left_semi").unionByName(found.join(chosen.where(~hot), "anchor", "left_semi"))
@@ -216,7 +222,7 @@ def dealt(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataFrame | No
     windows = None
     narrow = counts
     if not wide.isEmpty():
-        windows = with_texts(of(counts.join(wide, "anchor", "left_semi")), "wide_own").mapInArrow(_windows(length), "high long, low long, key long, start long")
+        windows = with_texts(of(counts.join(wide, "anchor", "left_semi")), "wide_own").mapInArrow(_windows(length), "high long, low long, key binary, start long")
         narrow = counts.join(wide, "anchor", "left_anti")
     return with_texts(of(narrow), "own").mapInArrow(_contexts(length), "anchor long, count int, context binary, keys binary, starts binary"), windows
 
@@ -224,7 +230,7 @@ def dealt(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataFrame | No
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """``docs`` (doc_id, text, ...) -> key, spans: by ``row_key`` of a document, the byte ranges that repeated windows cover."""
     contexts, windows = dealt(docs, length)
-    spans = contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length), "key long, start long, end long")
+    spans = contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length), "key binary, start long, end long")
     if windows is not None:
         windows = materialize(windows, "windows")
         again = materialize(windows.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "again")
@@ -273,8 +279,9 @@ def suffix_dedup(docs: DataFrame, length: int = 400) -> DataFrame:
 
 
 def op10_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept")
+    """Per document: doc_id, has_repeat (something was removed), n_bytes, n_removed, n_spans, kept_sha256."""
+    found = suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", (F.col("n_removed") > 0).alias("has_repeat"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 SQL = r"""
@@ -285,7 +292,7 @@ g AS (SELECT doc_id, pos, sum(CASE WHEN prior IS NULL OR pos > prior + 400 THEN
       FROM (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS prior FROM r)),
 s AS (SELECT doc_id, run, min(pos) AS a, max(pos) + 400 AS b FROM g GROUP BY doc_id, run),
 k AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS runs, array_agg(a ORDER BY a) AS starts, array_agg(b ORDER BY a) AS ends FROM s GROUP BY doc_id)
-SELECT d.doc_id, (len(h)//2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans,
+SELECT d.doc_id, runs IS NOT NULL AS has_repeat, (len(h)//2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans,
   sha256(unhex(CASE WHEN runs IS NULL THEN h ELSE
     array_to_string(list_transform(range(1, runs + 2), lambda i: h[2 * (CASE WHEN i = 1 THEN 0 ELSE ends[i-1] END) + 1 : 2 * (CASE WHEN i = runs + 1 THEN len(h)//2 ELSE starts[i] END)]), '') END)) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)
