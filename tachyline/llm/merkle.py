@@ -12,8 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Neighbouring documents are found in this many ranges of doc_id at most; one row for each range is broadcast.
-RANGES, LEAST_WIDTH = 65_536, 1024
+#: Neighbouring documents are found in ranges of doc_id of about this many rows, 256 * 256 ranges at most; one row for
+#: each range is broadcast. The ranges' bounds come from a sample of identifiers, as in Spark's own range partitioning:
+#: they only decide which task has which rows.
+RANGE_ROWS, STEPS, SAMPLE = 2048, 256, 1_000_000
 
 
 def tree(text: Column) -> Column:
@@ -62,22 +64,48 @@ def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerpri
     return own.withColumn(name, fingerprint(F.col("__tree"), F.col("__sections"))).drop("__tree", "__sections")
 
 
+def ranges(docs: DataFrame) -> list[int]:
+    """Lower bounds, ascending, of ranges of doc_id with about ``RANGE_ROWS`` rows each; the first range has none."""
+    ids = docs.where("doc_id is not null").select("doc_id")
+    rows = ids.count()
+    parts = min(STEPS * STEPS, rows // RANGE_ROWS)
+    if parts < 2:
+        return []
+    share = F.array(*(F.lit(k / parts) for k in range(1, parts)))
+    drawn = ids.sample(min(1.0, SAMPLE / rows), 7) if rows > SAMPLE else ids
+    return sorted(set(drawn.agg(F.percentile_approx("doc_id", share, 4 * parts)).first()[0] or []))
+
+
+def range_of(bounds: list[int]) -> Column:
+    """The number of the range that a doc_id is in, found in two steps over a constant table."""
+    if not bounds:
+        return F.lit(0)
+    rows = [bounds[k : k + STEPS] for k in range(0, len(bounds), STEPS)]
+    table = F.array(*(F.array(*(F.lit(x).cast("long") for x in row)) for row in rows))
+    heads = F.array(*(F.lit(row[0]).cast("long") for row in rows))
+    row = F.size(F.filter(heads, lambda x: x <= F.col("doc_id")))
+    inside = F.size(F.filter(F.get(table, row - 1), lambda x: x <= F.col("doc_id")))
+    return F.when(row == 0, 0).otherwise((row - 1) * STEPS + inside)
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text and next_text: the text of the next row in descending doc_id; after the last comes the first.
+    """doc_id, text, fingerprint, next_text and next_fingerprint: those of the next row in descending doc_id; after the
+    last comes the first.
 
     Rows that share a doc_id come in the order of their texts. Each range of identifiers is sorted on its own; the
-    top rows of a range also stand, as guests, at the end of the range that comes before it.
+    top rows of a range also stand, as guests, at the end of the range that comes before it. Fingerprints are made
+    where the rows have arrived, once for each.
     """
     rows = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    width = max(LEAST_WIDTH, ((high or 0) - (low or 0)) // RANGES + 1)
-    part = F.floor(F.col("doc_id") / width) if low is None else F.floor((F.col("doc_id") - low) / width)
-    tops = docs.where("doc_id is not null").groupBy(part.alias("part")).agg(F.max("doc_id").alias("doc_id"))
+    part = range_of(ranges(docs)).alias("part")
+    tops = docs.where("doc_id is not null").groupBy(part).agg(F.max("doc_id").alias("doc_id"))
     order = Window.orderBy("part")  # one row for each range
     hosts = tops.select("doc_id", F.coalesce(F.lead("part").over(order), F.min("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("part"))
-    guests = rows.join(F.broadcast(hosts), "doc_id").select("part", F.lit(1).alias("guest"), "doc_id", "text")  # at most RANGES + 1 rows
+    guests = rows.join(F.broadcast(hosts), "doc_id").select("part", F.lit(1).alias("guest"), "doc_id", "text")  # one doc_id for each range
+    both = rows.select(part, F.lit(0).alias("guest"), "doc_id", "text").unionByName(guests).repartition("part")
     own = Window.partitionBy("part").orderBy("guest", F.desc("doc_id"), "text")
-    return rows.select(part.alias("part"), F.lit(0).alias("guest"), "doc_id", "text").unionByName(guests).withColumn("next_text", F.lead("text").over(own)).where("guest = 0").select("doc_id", "text", "next_text")
+    both = with_fingerprint(both).withColumn("next", F.lead(F.struct("text", "fingerprint")).over(own))
+    return both.where("guest = 0").select("doc_id", "text", "fingerprint", F.col("next.text").alias("next_text"), F.col("next.fingerprint").alias("next_fingerprint"))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -93,8 +121,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half)))
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    for text, name in (("text", "fingerprint"), ("edited", "edited_fingerprint"), ("next_text", "next_fingerprint")):
-        rows = with_fingerprint(rows, text, name).drop(text)
+    rows = with_fingerprint(rows, "edited", "edited_fingerprint")
     for name in ("fingerprint", "edited_fingerprint", "next_fingerprint"):
         rows = rows.withColumn(f"__{name}", paragraphs(F.col(name)))
     return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("__fingerprint"), F.col("__edited_fingerprint")).alias("near_edited"), likeness(F.col("__fingerprint"), F.col("__next_fingerprint")).alias("near_next"), edited_sections(F.col("fingerprint"), F.col("edited_fingerprint")).alias("edited_at"))
