@@ -7,9 +7,9 @@ own) are dealt out by the anchor's hash, so equal windows meet in one shard. In
 merged, the suffix array of the rest is built by induced sorting, and permuted common prefixes between successive
 window starts tell which windows occur more than once. Their bytes are then cut from the documents.
 
-Shards are cut between anchors at ``SHARD_BYTES`` of distinct contexts; contexts that are equal count once, so a
+Shards are cut between anchors at ``SHARD_BYTES`` of distinct contexts at least; contexts that are equal count once, so a
 passage in any number of documents is one context but for the two at its ends. Those carry each document's own bytes,
-so an anchor there may have more than ``SHARD_BYTES`` of distinct contexts. Such a wide anchor has no shard: its
+so an anchor there may have more than ``WIDE_BYTES`` of distinct contexts. Such a wide anchor has no shard: its
 windows are dealt one by one, by a digest of all their bytes, and those whose digest occurs more than once are repeated.
 """
 
@@ -26,6 +26,8 @@ from .common import U64, Hasher, by_filter, chunks, key_filter, materialize, row
 from .induced_sort import common_prefixes, suffix_array
 
 SHARD_BYTES = 2 << 20
+#: An anchor with more bytes of distinct contexts is wide.
+WIDE_BYTES = 1 << 19
 #: An anchor with more than one in so many of all occurrences is hot; its occurrences aren't dealt out by it.
 HOT_SHARE = 1000
 #: Bytes of a ``row_key``.
@@ -217,8 +219,8 @@ def dealt(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataFrame | No
         return by_filter(texts, key_filter(own)).join(own, "key")
 
     # A context has fewer than 2 * length bytes, so anchors with few of them can't be wide.
-    sizes = of(counts.where(F.col("n") * 2 * length > SHARD_BYTES)).select("anchor", "count", "context").distinct().groupBy("anchor").agg(F.sum(F.col("count") - 1 + length).alias("size"))
-    wide = materialize(sizes.where(F.col("size") > SHARD_BYTES).select("anchor"), "wide")
+    sizes = of(counts.where(F.col("n") * 2 * length > WIDE_BYTES)).select("anchor", "count", "context").distinct().groupBy("anchor").agg(F.sum(F.col("count") - 1 + length).alias("size"))
+    wide = materialize(sizes.where(F.col("size") > WIDE_BYTES).select("anchor"), "wide")
     windows = None
     narrow = counts
     if not wide.isEmpty():

@@ -770,6 +770,7 @@ def brute_cut(texts, length):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_cuts_equal_brute_force(spark, monkeypatch, seed):
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(suffix_dedup, "WIDE_BYTES", 2000)
     monkeypatch.setattr(suffix_dedup, "HOT_SHARE", 20)
     rng = random.Random(seed)
     text = lambda n: "".join(rng.choice("abé ") for _ in range(n))
@@ -785,6 +786,7 @@ def test_cuts_equal_brute_force(spark, monkeypatch, seed):
 def test_cuts_of_an_anchor_with_more_contexts_than_a_shard_holds(spark, monkeypatch):
     """A passage between words of each document's own: the anchors at its edges have a context in each."""
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 1500)
+    monkeypatch.setattr(suffix_dedup, "WIDE_BYTES", 1500)
     r = random.Random(5)
     own = lambda: "".join(r.choices("abcdefgh ", k=90))
     passage, ends = own(), [own()[:9] for _ in range(4)]
