@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import automaton_queries, kpi_queries, signal_queries, streaming_queries
+from .plans import automaton_queries, drive_queries, kpi_queries, signal_queries, streaming_queries
 
-QUERIES: dict = {**signal_queries.QUERIES, **kpi_queries.QUERIES, **automaton_queries.QUERIES, **streaming_queries.QUERIES}
-ORACLE: dict[str, str] = {**signal_queries.ORACLE, **kpi_queries.ORACLE, **streaming_queries.ORACLE}
+QUERIES: dict = {**signal_queries.QUERIES, **kpi_queries.QUERIES, **automaton_queries.QUERIES, **drive_queries.QUERIES, **streaming_queries.QUERIES}
+ORACLE: dict[str, str] = {**signal_queries.ORACLE, **kpi_queries.ORACLE, **automaton_queries.ORACLE, **drive_queries.ORACLE, **streaming_queries.ORACLE}

@@ -126,6 +126,15 @@ def priority_pick(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Co
 
 
 def merge_samples(samples: DataFrame, keys: Sequence[str], time: str, source: str, width: float, tie: Sequence[str] = ()) -> DataFrame:
-    """Samples of several files in time order; of those within ``width`` of the one before, the first file's stays."""
+    """Samples of several files in time order, the first file's first; each within ``width`` of the last one kept goes.
+
+    Samples that are farther than that from both neighbours stay as they are; only chains of close ones are walked through.
+    """
+    from .automata import far_from_last, scan
+
     w = Window.partitionBy(*keys).orderBy(time, source, *tie)
-    return samples.withColumn("__p", F.lag(time).over(w)).where(F.col("__p").isNull() | (F.col(time) - F.col("__p") > width)).drop("__p")
+    far = lambda other: F.coalesce(F.abs(F.col(time) - other) > width, F.lit(True))
+    marked = samples.withColumn("__alone", far(F.lag(time).over(w)) & far(F.lead(time).over(w)))
+    rest = [c for c in samples.columns if c not in keys]
+    chains = scan(marked.where("not __alone"), keys, [time, source, *tie], rest, far_from_last(time, width), ", ".join(f"`{c}` {samples.schema[c].dataType.simpleString()}" for c in rest))
+    return marked.where("__alone").select(*samples.columns).unionByName(chains)

@@ -84,27 +84,60 @@ def stable_ranges(limits: dict[str, float], min_duration: float, time: str = "t"
     return machine
 
 
-def stable_or_slide(value: str, span: float, min_duration: float, time: str = "t") -> Machine:
+class _Extremes:
+    """The samples held, and the least and the greatest of their values, at a constant cost for each sample."""
+
+    def __init__(self) -> None:
+        self.held: deque = deque()
+        self.low: deque = deque()
+        self.high: deque = deque()
+
+    def add(self, item: tuple) -> None:
+        x = item[1]
+        self.held.append(item)
+        while self.low and self.low[-1] > x:
+            self.low.pop()
+        self.low.append(x)
+        while self.high and self.high[-1] < x:
+            self.high.pop()
+        self.high.append(x)
+
+    def drop(self) -> None:
+        x = self.held.popleft()[1]
+        if self.low[0] == x:
+            self.low.popleft()
+        if self.high[0] == x:
+            self.high.popleft()
+
+    def clear(self) -> None:
+        for x in (self.held, self.low, self.high):
+            x.clear()
+
+
+def stable_or_slide(value: str, span: float, min_duration: float, time: str = "t", reference: str | None = None, tolerance: float = 0.0) -> Machine:
     """As ``stable_ranges`` of one series, but a stretch that is too short gives up its first sample only, and a span
-    that reaches the limit breaks it: (start, end, n)."""
+    that reaches the limit breaks it, as does a ``reference`` farther than ``tolerance`` from the first sample's: (start, end, n)."""
 
     def machine() -> Generator:
-        held: deque = deque()
+        kept = _Extremes()
+        held = kept.held
         out: list = []
         while True:
             s = yield out
             out = []
             x = None if s is None else getattr(s, value)
-            while held and (x is None or max(max(v for _, v in held), x) - min(min(v for _, v in held), x) >= span):
+            r = getattr(s, reference) if reference and x is not None else None
+            x = None if reference and r is None else x
+            while held and (x is None or max(kept.high[0], x) - min(kept.low[0], x) >= span or (reference and abs(r - held[0][2]) > tolerance)):
                 if held[-1][0] - held[0][0] >= min_duration:
                     out.append((held[0][0], held[-1][0], len(held)))
-                    held.clear()
+                    kept.clear()
                 elif x is None:
-                    held.clear()
+                    kept.clear()
                 else:
-                    held.popleft()
+                    kept.drop()
             if x is not None:
-                held.append((getattr(s, time), x))
+                kept.add((getattr(s, time), x, r))
 
     return machine
 
@@ -183,52 +216,18 @@ def steady_band(mask: str, speed: str, set_speed: str, band: float, dwell: float
     return machine
 
 
-def lookahead_bridge(core: str, hold: str, frames: int, time: str = "t") -> Machine:
-    """Runs of ``core`` that go on over at most ``frames`` samples without it while ``hold`` lasts: (start, end, n)."""
+def far_from_last(time: str, width: float) -> Machine:
+    """The samples farther than ``width`` from the last one given, whole."""
 
     def machine() -> Generator:
+        last = None
         out: list = []
-        first = end = None
-        n = waiting = 0
         while True:
             s = yield out
             out = []
-            on, held = s is not None and bool(getattr(s, core)), s is not None and bool(getattr(s, hold))
-            if on:
-                if first is None:
-                    first, n = getattr(s, time), 0
-                n, waiting, end = n + waiting + 1, 0, getattr(s, time)
-            elif first is not None:
-                if held and waiting < frames:
-                    waiting += 1
-                else:
-                    out.append((first, end, n))
-                    first, waiting = None, 0
-
-    return machine
-
-
-def debounced_flips(value: str, stable: int = 3) -> Machine:
-    """Sign changes accepted once ``stable`` samples in a row have the new sign; zeros are passed over: (flips,)."""
-
-    def machine() -> Generator:
-        out: list = []
-        sign = run = flips = 0
-        fresh = 0
-        while True:
-            s = yield out
-            out = []
-            if s is None:
-                out.append((flips,))
-                continue
-            x = getattr(s, value)
-            if not x:
-                continue
-            now = 1 if x > 0 else -1
-            run, fresh = (run + 1, now) if now == fresh else (1, now)
-            if run >= stable and now != sign:
-                flips += sign != 0
-                sign = now
+            if s is not None and (last is None or getattr(s, time) - last > width):
+                last = getattr(s, time)
+                out.append(tuple(s))
 
     return machine
 
@@ -351,43 +350,3 @@ def rebounds(value: str, jump: float = 0.5, jump_time: float = 0.8, jump_slope:
             settle(s is None)
 
     return machine
-
-
-def long_cycles(value: str, short: float = 1.5, long: float = 3.5, amplitude: float = 0.3, phases: int = 4, gap: float = 0.6, time: str = "t") -> Machine:
-    """At least ``phases`` alternating signed phases of ``short`` to ``long`` and ``amplitude``, at most ``gap`` apart: (start, end, phases)."""
-
-    def machine() -> Generator:
-        out: list = []
-        phase: list | None = None  # sign, start, end, peak
-        chain: list = []
-
-        def end_chain() -> None:
-            if len(chain) >= phases:
-                out.append((chain[0][1], chain[-1][2], len(chain)))
-            chain.clear()
-
-        def end_phase() -> None:
-            nonlocal phase
-            if phase and short <= phase[2] - phase[1] <= long and phase[3] >= amplitude:
-                if chain and (chain[-1][0] == phase[0] or phase[1] - chain[-1][2] > gap):
-                    end_chain()
-                chain.append(phase)
-            elif phase and phase[2] - phase[1] > gap:
-                end_chain()
-            phase = None
-
-        while True:
-            s = yield out
-            out = []
-            if s is None:
-                end_phase()
-                end_chain()
-                continue
-            t, x = getattr(s, time), getattr(s, value)
-            sign = 0 if not x else 1 if x > 0 else -1
-            if phase and sign != phase[0]:
-                end_phase()
-            if sign:
-                phase = [sign, t, t, abs(x)] if not phase else [sign, phase[1], t, max(phase[3], abs(x))]
-
-    return machine

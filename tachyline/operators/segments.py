@@ -74,3 +74,39 @@ def full_windows(df: DataFrame, edge: Column | str, hold: Column | str, width: f
     df = df.withColumn("start_t", F.min(time).over(Window.partitionBy(*keys, "__e"))).withColumn("__last", F.max(time).over(Window.partitionBy(*keys)))
     inside = df.where((F.col("__e") > 0) & (F.col(time) - F.col("start_t") <= width))
     return inside.groupBy(*keys, "__e", "start_t").agg(F.count("*").alias("n"), F.bool_and("__h").alias("__all"), F.max("__last").alias("__last")).where((F.col("__all")) & (F.col("__last") >= F.col("start_t") + width)).select(*keys, "start_t", "n")
+
+
+def lookahead_bridge(df: DataFrame, core: Column | str, hold: Column | str, frames: int, keys: Sequence[str], order: Sequence[str], time: str) -> DataFrame:
+    """Runs of ``core`` that go on over at most ``frames`` samples without it while ``hold`` lasts: keys, start_t, end_t, n.
+
+    Every sample knows its place among all and among those with ``core``; a break is a gap of more samples than allowed,
+    or one in which a sample doesn't hold.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    rows = df.select(*keys, F.col(time).alias("__t"), F.row_number().over(w).alias("__k"), _true(core).alias("__core"), F.sum((~_true(hold) & ~_true(core)).cast("long")).over(w).alias("__loose"))
+    on = Window.partitionBy(*keys).orderBy("__k")
+    rows = rows.where("__core").withColumn("__new", (F.coalesce(F.col("__k") - F.lag("__k").over(on) - 1 > frames, F.lit(True)) | (F.col("__loose") != F.lag("__loose").over(on))).cast("long"))
+    runs = rows.withColumn("__run", F.sum("__new").over(on)).groupBy(*keys, "__run")
+    return runs.agg(F.min("__t").alias("start_t"), F.max("__t").alias("end_t"), (F.max("__k") - F.min("__k") + 1).cast("long").alias("n")).drop("__run")
+
+
+def debounced_flips(df: DataFrame, value: str, stable: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """keys, flips: changes between the signs that ``stable`` samples in a row have; zeros are passed over."""
+    signs = df.where(F.coalesce(F.col(value) != 0, F.lit(False))).withColumn("__up", F.col(value) > 0)
+    runs = islands(signs, F.lit(True), keys, order, order[0], split_on="__up", aggs=[F.first("__up").alias("__up")]).where(F.col("n") >= stable)
+    flip = F.col("__up") != F.lag("__up").over(Window.partitionBy(*keys).orderBy("island"))
+    found = runs.withColumn("__flip", F.coalesce(flip, F.lit(False)).cast("long")).groupBy(*keys).agg(F.sum("__flip").alias("flips"))
+    return df.select(*keys).distinct().join(found, list(keys), "left").select(*keys, F.coalesce("flips", F.lit(0)).cast("long").alias("flips"))
+
+
+def long_cycles(df: DataFrame, value: str, short: float, long: float, amplitude: float, phases: int, gap: float, keys: Sequence[str], order: Sequence[str], time: str) -> DataFrame:
+    """At least ``phases`` phases of alternating sign, each ``short`` to ``long`` and ``amplitude`` high, at most ``gap`` apart, with
+    no other phase longer than ``gap`` between them: keys, start_t, end_t, phases."""
+    signed = df.withColumn("__sign", F.signum(F.coalesce(value, F.lit(0.0))))
+    runs = islands(signed, F.col("__sign") != 0, keys, order, time, split_on="__sign", aggs=[F.first("__sign").alias("__sign"), F.max(F.abs(value)).alias("__peak")])
+    good = F.col("duration").between(short, long) & (F.col("__peak") >= amplitude)
+    w = Window.partitionBy(*keys).orderBy("island")
+    runs = runs.withColumn("__good", good).withColumn("__breaks", F.sum((~good & (F.col("duration") > gap)).cast("long")).over(w)).where("__good")
+    first = F.lag("island").over(w).isNull() | (F.lag("__sign").over(w) == F.col("__sign")) | (F.col("start_t") - F.lag("end_t").over(w) > gap) | (F.lag("__breaks").over(w) != F.col("__breaks"))
+    chains = runs.withColumn("__new", first.cast("long")).withColumn("__chain", F.sum("__new").over(w)).groupBy(*keys, "__chain")
+    return chains.agg(F.min("start_t").alias("start_t"), F.max("end_t").alias("end_t"), F.count("*").alias("phases")).where(F.col("phases") >= phases).drop("__chain")

@@ -26,6 +26,16 @@ def time_mean(df: DataFrame, value: str, width: int, keys: Sequence[str], time:
     return df.withColumn(name, F.avg(value).over(centred(keys, time, width)))
 
 
+def box_mean(df: DataFrame, value: str, size: int, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Mean over ``size`` samples (an odd number) around each; the first and last value go on beyond the ends."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    reach = range(1, size // 2 + 1)
+    before = [F.when(F.lag(F.lit(1), k).over(w) == 1, F.lag(value, k).over(w)).otherwise(F.first(value).over(w)) for k in reach]
+    after = [F.when(F.lead(F.lit(1), k).over(w) == 1, F.lead(value, k).over(w)).otherwise(F.last(value).over(whole)) for k in reach]
+    return df.withColumn(name, sum([*before, *after], F.col(value)) / size)
+
+
 def time_slope(df: DataFrame, value: str, width: int, keys: Sequence[str], time: str, name: str, unit: float = US) -> DataFrame:
     """Least-squares slope per ``unit`` of time over the centred window: null under 3 samples or half the width.
 

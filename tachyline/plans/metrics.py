@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import scalars as S
 from ..operators import automata as M, segments as G, windows as W
 from ..operators.kpi import rollup, severity_outside
+from . import torque as T
 from .scenes import CELL, KEYS, SCENES, SECOND, follow_start, samples_in
 
 c = F.col
@@ -232,68 +233,35 @@ def set_speed_not_reached(frame: DataFrame, powertrain: str = "PHEV") -> DataFra
     return _events(runs, F.greatest(c("wanted") - c("most"), F.lit(0.0)))
 
 
-def low_speed(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
-    """A steady displayed speed of 5 or more, 8 km/h or more under the set speed with a clear road, for 8 s."""
-    from .scenes import clear
+def steady_speeds(frame: DataFrame) -> DataFrame:
+    """Stretches of 8 s in control with a clear road, a displayed speed that spans less than 1.5 from 5 up, and a constant set
+    speed: recording_id, start_us, end_us, deficit (of the fastest sample to the set speed, as displayed)."""
+    shown, wanted, limit = S.display_speed(c("ego_speed")), S.display_speed(c("set_speed")), c("curv_speed_limit")
+    free = ~c("curv_enable_flag") | ~S.finite(limit) | S.holds(S.display_speed(limit) >= wanted)
+    base = c("in_control") & ~c("front_valid") & ~c("cutin_valid") & free & S.finite(c("ego_speed")) & S.finite(c("set_speed")) & S.holds(wanted >= 1)
+    rows = frame.select("recording_id", "us", F.when(base, shown).alias("v"), wanted.alias("wanted"))
+    found = M.scan(rows, KEYS, ["us"], ["us", "v", "wanted"], M.stable_or_slide("v", 1.5, 8 * SECOND, "us", "wanted", 0.1), "start_us long, end_us long, n long")
+    one = samples_in(rows, found).groupBy("recording_id", "start_us", "end_us").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.median("wanted").alias("wanted"))
+    return one.where("least >= 5").select("recording_id", "start_us", "end_us", (c("wanted") - c("most")).alias("deficit"))
+
 
-    short = c("in_control") & clear() & S.holds(c("set_speed") - S.display_speed(c("ego_speed")) >= 8) & S.holds(S.display_speed(c("ego_speed")) >= 5)
-    rows = frame.select("recording_id", "us", F.when(short, S.display_speed(c("ego_speed"))).alias("v"))
-    return _events(M.scan(rows, KEYS, ["us"], ["us", "v"], M.stable_or_slide("v", 1.5, 8 * SECOND, "us"), "start_us long, end_us long, n long"))
+def low_speed(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
+    """Of the ``steady_speeds`` those 8 km/h or more under the set speed."""
+    return _events(steady_speeds(frame).where("deficit >= 8"), c("deficit"))
 
 
 def heavy_braking(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
-    """Smoothed acceleration under -2 (gaps of 0.5 s in control filled) for 0.2 s, that fell by 3 within a second at a jerk of -3."""
+    """Smoothed acceleration under -2 (gaps of 0.5 s in control filled) for 0.2 s, that from a second before to its end spans 3
+    in control and has a jerk of -3."""
     rows = W.time_mean(with_jerk(frame), "acceleration_total", 300_000, KEYS, "us", "smooth")
-    look = Window.partitionBy(*KEYS).orderBy("us").rangeBetween(-SECOND, 0)
-    rows = rows.withColumn("fall", F.max("smooth").over(look) - c("smooth"))
     rows = G.fill_short_gaps(rows, c("in_control") & (c("smooth") < -2), SECOND // 2, KEYS, ["us"], "us", "in_control")
-    runs = _runs(rows, c("filled"), 0.2, [F.max("fall").alias("fall"), F.min("jerk").alias("jerk"), F.min("smooth").alias("least")])
-    found = runs.where("fall >= 3 and -jerk >= 3")
+    runs = _runs(rows, c("filled"), 0.2, [F.min("smooth").alias("least")]).select("recording_id", c("start_us").alias("s"), c("end_us").alias("e"), "least", (c("start_us") - SECOND).alias("start_us"), c("end_us"))
+    valid = F.when(c("in_control"), c("smooth"))
+    one = samples_in(rows.select("recording_id", "us", "smooth", "jerk", "in_control"), runs).groupBy("recording_id", "s", "e", "least").agg((F.max(valid) - F.min(valid)).alias("fall"), F.min("jerk").alias("jerk"))
+    found = one.where("fall >= 3 and -jerk >= 3").withColumnsRenamed({"s": "start_us", "e": "end_us"})
     return _events(found, 50 * F.greatest(-c("least") - 2, F.lit(0.0)) + 25 * F.greatest(c("fall") - 3, F.lit(0.0)) + 10 * F.greatest(-c("jerk") - 3, F.lit(0.0)))
 
 
-def jerkiness(frame: DataFrame, powertrain: str = "PHEV", within: Column | None = None) -> DataFrame:
-    """Stretches of jerk over 0.8 either way, over 0.5 s and up to 4 s long, amplitude 0.75, one change of sign."""
-    rows = with_jerk(frame)
-    on = c("in_control") if within is None else within
-    runs = G.mark_islands(rows, on & S.holds(F.abs("jerk") > 0.8), KEYS, ["us"], "run").where("run is not null")
-    flips = F.signum("jerk") != F.lag(F.signum("jerk")).over(Window.partitionBy(*KEYS, "run").orderBy("us"))
-    agg = runs.withColumn("flip", S.holds(flips).cast("int")).groupBy("recording_id", "run").agg(F.min("us").alias("start_us"), F.max("us").alias("end_us"), F.sum("flip").alias("flips"), (F.max("acceleration_total") - F.min("acceleration_total")).alias("amplitude"), F.max(F.abs("jerk")).alias("peak"))
-    length = c("end_us") - c("start_us")
-    return _events(agg.where((length > SECOND // 2) & (length <= 4 * SECOND) & (c("amplitude") >= 0.75) & (c("flips") >= 1)), 10 * c("amplitude") + c("peak"))
-
-
-def jerkiness_after_release(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
-    """Jerkiness within the 2 s after an override ends."""
-    w = Window.partitionBy(*KEYS).orderBy("us")
-    released = S.holds(F.lag("pedal_override_flag").over(w)) & ~c("pedal_override_flag")
-    rows = frame.withColumn("released", released)
-    return jerkiness(G.after_edge(rows, "released", 2 * SECOND, KEYS, ["us"], "us", "fresh"), powertrain, c("in_control") & c("fresh"))
-
-
-def jerkiness_after_activation(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
-    """Jerkiness within a second after the function comes on."""
-    w = Window.partitionBy(*KEYS).orderBy("us")
-    rows = frame.withColumn("came_on", c("acc_active_flag") & ~F.coalesce(F.lag("acc_active_flag").over(w), F.lit(True)))
-    return jerkiness(G.after_edge(rows, "came_on", SECOND, KEYS, ["us"], "us", "fresh"), powertrain, c("in_control") & c("fresh"))
-
-
-def override_with_brake_request(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
-    """Jerkiness while the driver overrides by the pedal."""
-    return jerkiness(frame, powertrain, c("acc_active_flag") & c("pedal_override_flag") & S.holds(c("accelerator_pedal_pos") > 0) & S.holds(c("ego_speed_mps") > 0))
-
-
-def brake_tap(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
-    """A pulse of brake torque, 63 over the recording's 20th percentile, gaps of 0.1 s filled, 0.08 to 1.5 s, 180 high."""
-    floor = F.percentile("actual_brake_torque", F.lit(0.2)).over(Window.partitionBy(*KEYS))
-    rows = frame.withColumn("floor", floor).withColumn("pulse", c("in_control") & S.holds(c("actual_brake_torque") > c("floor") + 63))
-    rows = G.fill_short_gaps(rows, "pulse", SECOND // 10, KEYS, ["us"], "us", "in_control")
-    look = Window.partitionBy(*KEYS).orderBy("us").rangeBetween(-600_000, 600_000)
-    rows = rows.withColumn("drop", F.max("acceleration_total").over(look) - F.min("acceleration_total").over(look))
-    runs = _runs(rows, c("filled"), 0.08, [(F.max("actual_brake_torque") - F.min("floor")).alias("height"), F.max("drop").alias("drop")])
-    return _events(runs.where((c("end_us") - c("start_us") <= 1.5 * SECOND) & (c("height") >= 180) & (c("drop") >= 0.2)), c("height") / 100 + 10 * c("drop"))
-
-
 INCIDENTS: dict[str, Callable[..., DataFrame]] = {
     "acc_lost_arbitration": lost_arbitration,
     "acc_rollback_count": rollback,
@@ -302,14 +270,16 @@ INCIDENTS: dict[str, Callable[..., DataFrame]] = {
     "acc_set_speed_reach": set_speed_not_reached,
     "acc_unreasonable_low_speed_count": low_speed,
     "acc_heavy_braking_count": heavy_braking,
-    "acc_torque_jerkiness_count": jerkiness,
-    "acc_jerkiness_after_override_release": jerkiness_after_release,
-    "acc_start_no_override_jerkiness": jerkiness_after_activation,
-    "acc_override_brake_request_jerkiness": override_with_brake_request,
-    "acc_brake_tap_count": brake_tap,
+    "acc_torque_jerkiness_count": T.torque_jerkiness,
+    "acc_jerkiness_after_override_release": T.jerkiness_after_release,
+    "acc_start_no_override_jerkiness": T.jerkiness_after_activation,
+    "acc_override_brake_request_jerkiness": T.jerkiness_in_override,
+    "acc_brake_tap_count": T.brake_tap,
+    "acc_heavy_braking_after_override_release_count": T.braking_after_release,
 }
 #: Fields that an incident metric reads besides the derived ones.
-INCIDENT_FIELDS = {"acc_lost_arbitration": ["acc_request_state"], "acc_rollback_count": ["brake_request_type", "gear", *(f"wheel_{k}_{w}" for k in ("dir", "speed") for w in ("lf", "rf", "lr", "rr"))], "tcs_activation_count": ["tcs_active"], "vse_activation_count": ["vse_active"], "acc_override_brake_request_jerkiness": ["accelerator_pedal_pos"], "acc_brake_tap_count": ["actual_brake_torque"]}
+TORQUES = ["actual_drive_torque", "actual_brake_torque"]
+INCIDENT_FIELDS = {"acc_lost_arbitration": ["acc_request_state"], "acc_rollback_count": ["brake_request_type", "gear", *(f"wheel_{k}_{w}" for k in ("dir", "speed") for w in ("lf", "rf", "lr", "rr"))], "tcs_activation_count": ["tcs_active"], "vse_activation_count": ["vse_active"], "acc_torque_jerkiness_count": TORQUES, "acc_jerkiness_after_override_release": TORQUES, "acc_start_no_override_jerkiness": TORQUES, "acc_override_brake_request_jerkiness": ["accelerator_pedal_pos", *TORQUES], "acc_heavy_braking_after_override_release_count": TORQUES, "acc_brake_tap_count": ["control_brake_request_torque", "actual_brake_torque"]}
 
 
 def incidents(frame: DataFrame, powertrain: str = "PHEV", metrics: Iterable[str] | None = None) -> DataFrame:

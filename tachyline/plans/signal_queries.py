@@ -203,10 +203,12 @@ def union_recordings(spark, sf_dir):
 
 @query(
     "dedup_first_wins",
-    f"""WITH {{events}}, r AS (SELECT *, lag(t) OVER (PARTITION BY user_id ORDER BY t, event_type, event_id) AS p FROM e) SELECT event_id, user_id, t FROM r WHERE p IS NULL OR t - p > {2 * HOUR}""",
+    f"""WITH RECURSIVE {{events}}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_type, event_id) AS k FROM e),
+r AS (SELECT event_id, user_id, t, k, t AS kept FROM n WHERE k = 1 UNION ALL SELECT n.event_id, n.user_id, n.t, n.k, CASE WHEN n.t - r.kept > {20 * HOUR} THEN n.t ELSE r.kept END FROM r JOIN n ON n.user_id = r.user_id AND n.k = r.k + 1),
+f AS (SELECT *, kept = t AND (k = 1 OR kept <> lag(kept) OVER (PARTITION BY user_id ORDER BY k)) AS stays FROM r) SELECT event_id, user_id, t FROM f WHERE stays""",
 )
 def dedup_first_wins(spark, sf_dir):
-    return A.merge_samples(events(spark, sf_dir), K, "t", "event_type", 2 * HOUR, ["event_id"]).select("event_id", "user_id", "t")
+    return A.merge_samples(events(spark, sf_dir), K, "t", "event_type", 20 * HOUR, ["event_id"]).select("event_id", "user_id", "t")
 
 
 @query("priority_fallback", "WITH {events}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'error' THEN 1 ELSE 2 END, t, event_id) AS k FROM e) SELECT user_id, event_type, event_id, value FROM r WHERE k = 1")
