@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import metrics as MT, scenes as SC, torque as T
+from ..operators import windows as W
+from . import metrics as MT, planner as P, scenes as SC, torque as T
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -32,7 +33,8 @@ SIGNALS = {
     "curv_enable": "CASE WHEN q BETWEEN 1 AND 2 THEN 1 ELSE 0 END", "curv_speed_limit": "CASE WHEN q = 2 THEN 5e0 ELSE 2e2 END", "left_lane_c2": "CASE WHEN q = 1 THEN 3e-3 + k / 1e5 ELSE 0e0 END", "right_lane_c2": "CASE WHEN q = 1 THEN 2e-3 ELSE 0e0 END",
     "acc_request_state": "CASE WHEN q = 3 AND k > 20 THEN 2 ELSE 1 END", "brake_request_type": "CASE WHEN k > 55 THEN 5 ELSE 0 END", "gear": "12", "tcs_active": "CASE WHEN q = 6 AND k BETWEEN 5 AND 9 THEN 1 ELSE 0 END", "vse_active": "CASE WHEN q = 7 AND k % 40 = 3 THEN 1 ELSE 0 END",
     **{f"wheel_dir_{w}": "CASE WHEN q = 4 AND k BETWEEN 60 AND 70 THEN 4 ELSE 1 END" for w in ("lf", "rf", "lr", "rr")}, **{f"wheel_speed_{w}": f"CASE WHEN k > {60 + i} THEN 2e-2 ELSE 0e0 END" for i, w in enumerate(("lf", "rf", "lr", "rr"))},
-    "actual_drive_torque": "1e2 + 12e1 * greatest(acc, 0e0)", "actual_brake_torque": "15e1 * greatest(-acc, 0e0)", "control_brake_request_torque": "CASE WHEN q = 8 AND k BETWEEN 60 AND 65 THEN 4e2 ELSE 0e0 END",
+    "actual_drive_torque": "1e2 + 12e1 * greatest(acc, 0e0)", "actual_brake_torque": "15e1 * greatest(-acc, 0e0)", "red_light": "CASE WHEN event_type = 'click' AND p < 5 AND q <> 3 AND k NOT BETWEEN 50 AND 55 THEN 1 ELSE 0 END", "stop_distance": "1e0 + q * 5e-1 + greatest(78 - k, 0) * 15e-1", "lead_id": "CASE WHEN p = 9 THEN 99 WHEN p >= 7 THEN 1 + q % 2 ELSE -1 END", "digit": "q",
+    "control_brake_request_torque": "CASE WHEN q = 8 AND k BETWEEN 60 AND 65 THEN 4e2 ELSE 0e0 END",
 }
 
 
@@ -334,3 +336,103 @@ def release_windows(spark, sf_dir):
 
 
 _register("override_release_windows", release_windows, TORQUE[: TORQUE.index("tj AS (")].rstrip().rstrip(",") + f" SELECT recording_id, w AS start_us, stop AS end_us FROM {WINDOWS}")
+
+
+# Planner frames: the same drives with up to three objects in each frame.
+
+
+def planner_frames(spark, sf_dir: str) -> DataFrame:
+    rows = W.jerk(drives(spark, sf_dir), "acceleration", ["recording_id"], "us")
+    c = F.col
+    thing = lambda i, x, y, ttc, v, a: F.struct(i.cast("long").alias("id"), x.cast("double").alias("x"), F.lit(float(y)).alias("y"), ttc.cast("double").alias("ttc"), v.cast("double").alias("velocity"), a.cast("double").alias("acceleration"), F.lit(4.5).alias("length"))
+    closing = c("ego_speed_mps") - c("front_velocity_abs")
+    ttc = F.when(closing > 1e-6, F.least(c("front_range") / closing, F.lit(999.0))).otherwise(999.0)
+    front = F.when(c("front_target_id") != 0, thing(c("front_target_id"), c("front_range"), 0.5, ttc, c("front_velocity_abs"), F.when(c("front_range") <= 10, -0.6).otherwise(0.1)))
+    second = F.when(c("digit") % 2 == 0, thing(F.lit(9), F.lit(45.0), 1.0, F.lit(50.0), F.lit(10.0), F.lit(0.0)))
+    beside = thing(F.lit(8), F.lit(3.0), 3.0, F.lit(2.0), F.lit(5.0), F.lit(0.0))
+    return rows.select(
+        "recording_id", "us", c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", "jerk", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
+        c("lead_id").cast("long").alias("lead_id"), c("us").alias("objects_us"), F.lit(True).alias("primary"), F.filter(F.array(front, second, beside), lambda o: o.isNotNull()).alias("objects"),
+    )
+
+
+PLANNER = (
+    FRAME
+    + JERK
+    + """, ob AS (SELECT recording_id, us, front_target_id AS id, front_range AS x, 0.5 AS y, least(ttc, 999) AS ottc, CASE WHEN front_range <= 10 THEN -0.6 ELSE 0.1 END AS oacc FROM jf WHERE front_target_id <> 0
+  UNION ALL SELECT recording_id, us, 9, 45, 1.0, 50, 0 FROM jf WHERE digit % 2 = 0 UNION ALL SELECT recording_id, us, 8, 3, 3.0, 2, 0 FROM jf),
+lane AS (SELECT *, row_number() OVER (PARTITION BY recording_id, us ORDER BY x, id) AS k FROM ob WHERE abs(y) <= 1.5 AND x > 0),
+fol AS (SELECT *, row_number() OVER (PARTITION BY recording_id, us ORDER BY x, id) AS kf FROM lane WHERE x BETWEEN 1 AND 50),
+ld AS (SELECT ob.* FROM ob JOIN jf ON jf.recording_id = ob.recording_id AND jf.us = ob.us AND lead_id >= 0 AND ob.id = lead_id),
+ahead AS (SELECT recording_id, us, id, x, ottc FROM lane WHERE k = 1 UNION SELECT recording_id, us, id, x, ottc FROM ld),
+tg AS (SELECT recording_id, us, id, x, ottc, oacc FROM fol WHERE kf = 1 UNION SELECT recording_id, us, id, x, ottc, oacc FROM ld),
+bad AS (SELECT DISTINCT recording_id, us FROM ahead WHERE NOT (x > 20 AND ottc > 8) UNION SELECT recording_id, us FROM jf WHERE lead_id >= 0 AND (recording_id, us) NOT IN (SELECT (recording_id, us) FROM ld)),
+pf AS (SELECT jf.*, bad.us IS NULL AS road, row_number() OVER o AS place, coalesce(abs(set_speed - lag(set_speed) OVER o) <= 1e-6, true) AS steady FROM jf LEFT JOIN bad ON bad.recording_id = jf.recording_id AND bad.us = jf.us WINDOW o AS (PARTITION BY jf.recording_id ORDER BY jf.us))"""
+)
+FOLLOW = PLANNER + """, tf AS (SELECT pf.*, id, ottc, oacc, place - row_number() OVER (PARTITION BY pf.recording_id, id ORDER BY place) AS run FROM tg JOIN pf ON pf.recording_id = tg.recording_id AND pf.us = tg.us),
+tm AS (SELECT *, ctl AND NOT still AND NOT (red_light = 1 AND stop_distance < 10) AS mv, coalesce(lead(still AND ctl) OVER w, false) AS stands FROM tf WINDOW w AS (PARTITION BY recording_id, id, run ORDER BY place)),
+tp AS (SELECT *, sum(CASE WHEN mv AND NOT coalesce(pm, false) THEN 1 ELSE 0 END) OVER (PARTITION BY recording_id, id, run ORDER BY place) AS part FROM (SELECT *, lag(mv) OVER (PARTITION BY recording_id, id, run ORDER BY place) AS pm FROM tm)),
+tb AS (SELECT *, min(CASE WHEN mps > 2 THEN place END) OVER (PARTITION BY recording_id, id, run, part) AS first FROM tp WHERE mv),
+g AS (SELECT recording_id, id AS target_id, min(us) AS start_us, max(us) AS end_us FROM tb WHERE place >= first GROUP BY recording_id, id, run, part HAVING count(*) > 5 AND max_by(stands, place))"""
+RED = PLANNER + """, rc AS (SELECT *, road AND ctl AND steady AND NOT still AS hold, road AND ctl AND steady AND NOT still AND red_light = 1 AND stop_distance < 150 AS core, coalesce(lead(still AND road AND red_light = 1 AND ctl) OVER (PARTITION BY recording_id ORDER BY us), false) AS stands FROM pf),
+rl AS (SELECT *, sum(CASE WHEN hold THEN 0 ELSE 1 END) OVER (PARTITION BY recording_id ORDER BY us) AS loose FROM rc),
+rr AS (SELECT *, sum(CASE WHEN place - pp <= 20 AND loose = pl THEN 0 ELSE 1 END) OVER (PARTITION BY recording_id ORDER BY us) AS g FROM (SELECT *, lag(place) OVER w AS pp, lag(loose) OVER w AS pl FROM rl WHERE core WINDOW w AS (PARTITION BY recording_id ORDER BY us))),
+rs AS (SELECT recording_id, min(us) FILTER (mps > 2) AS start_us, max(us) AS end_us, max_by(stands, us) AS stands FROM rr GROUP BY recording_id, g),
+g AS (SELECT rs.recording_id, start_us, end_us FROM rs JOIN pf ON pf.recording_id = rs.recording_id AND us BETWEEN start_us AND end_us WHERE stands GROUP BY ALL HAVING count(*) > 5)"""
+GREEN = PLANNER + """, gt AS (SELECT *, lag(red_light) OVER w = 1 AND red_light = 0 AND lag(stop_distance) OVER w < 5 AND ctl AND steady AND still AND road AS trig, ctl AND road AS holds FROM pf WINDOW w AS (PARTITION BY recording_id ORDER BY us)),
+gs AS (SELECT recording_id, us AS start_us, place AS p0, mps AS m0 FROM gt WHERE trig),
+gr AS (SELECT gs.recording_id, start_us, p0, p0 AS place, m0 AS peak, m0 AS v, NULL::DOUBLE AS v1, NULL::DOUBLE AS v2, start_us AS us, 1 AS n, false AS over, false AS gone FROM gs
+UNION ALL SELECT gr.recording_id, start_us, p0, gt.place, CASE WHEN holds THEN greatest(peak, mps) ELSE peak END, mps, v, v1, gt.us, n + 1, holds AND (greatest(peak, mps) >= 10 OR coalesce(mps < v AND v < v1, false)), NOT holds FROM gr JOIN gt ON gt.recording_id = gr.recording_id AND gt.place = gr.place + 1 WHERE NOT over AND NOT gone),
+ge AS (SELECT recording_id, start_us, max(us) AS end_us, max(n) AS n, bool_or(gone) AS gone, bool_or(over) AS over FROM gr GROUP BY recording_id, start_us),
+gw AS (SELECT *, max(end_us) OVER (PARTITION BY recording_id ORDER BY start_us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS busy FROM ge),
+g AS (SELECT recording_id, start_us, end_us FROM gw WHERE NOT gone AND n > 10 AND (busy IS NULL OR start_us > busy))"""
+
+
+def planner_candidates(spark, sf_dir):
+    """How many frames of a recording follow and see ahead which objects."""
+    ids = lambda x: F.array_join(F.transform(x, lambda o: o["id"]), ",").alias(x)
+    return P.candidates(planner_frames(spark, sf_dir)).groupBy("recording_id", "unmatched", "clear", ids("followed"), ids("ahead")).agg(F.count("*").alias("n"), F.sum("us").alias("sum_us"))
+
+
+_register("planner_candidates", planner_candidates, PLANNER + """ SELECT pf.recording_id, lead_id >= 0 AND l.id IS NULL AS unmatched, road AS clear, concat_ws(',', f.id, CASE WHEN l.id IS DISTINCT FROM f.id THEN l.id END) AS followed, concat_ws(',', a.id, CASE WHEN l.id IS DISTINCT FROM a.id THEN l.id END) AS ahead, count(*) AS n, sum(pf.us)::BIGINT AS sum_us
+FROM pf LEFT JOIN (SELECT * FROM fol WHERE kf = 1) f ON f.recording_id = pf.recording_id AND f.us = pf.us LEFT JOIN (SELECT * FROM lane WHERE k = 1) a ON a.recording_id = pf.recording_id AND a.us = pf.us LEFT JOIN ld l ON l.recording_id = pf.recording_id AND l.us = pf.us GROUP BY ALL""")
+_register("planner_follow_stop", lambda spark, sf_dir: P.follow_stop(planner_frames(spark, sf_dir)), FOLLOW + " SELECT recording_id, target_id, start_us, end_us FROM g")
+_register("planner_red_light_stop", lambda spark, sf_dir: P.red_light_stop(planner_frames(spark, sf_dir)), RED + " SELECT recording_id, start_us, end_us FROM g")
+_register("planner_green_light_start", lambda spark, sf_dir: P.green_light_start(planner_frames(spark, sf_dir)), GREEN + " SELECT recording_id, start_us, end_us FROM g")
+
+
+def _planner_case(metric: str, keys: str, inside: str, value: str, at: str, low: str | None, high: str | None, base: float) -> str:
+    severity = _out("value", low, high, base)
+    return f""", z1 AS ({inside}), z2 AS (SELECT {keys}, start_us, end_us, {value} AS value, {at} AS at_us, min_by(mps, us) AS v0 FROM z1 GROUP BY {keys}, start_us, end_us)
+SELECT '{metric}' AS metric, recording_id, start_us, end_us, round(value, 6) AS value, at_us, {severity} > 0 AS bad, {severity} AS severity FROM z2 WHERE value IS NOT NULL"""
+
+
+_TARGET = "SELECT tf.*, start_us, end_us, id AS target_id, {} AS mn FROM g JOIN tf ON tf.recording_id = g.recording_id AND id = target_id AND us BETWEEN start_us AND end_us"
+_PLAIN = "SELECT pf.*, start_us, end_us, {} AS mn FROM g JOIN pf ON pf.recording_id = g.recording_id AND us BETWEEN start_us AND end_us"
+_OWN, _ONE = "OVER (PARTITION BY g.recording_id, target_id, start_us)", "OVER (PARTITION BY g.recording_id, start_us)"
+_NEAR = f"SELECT *, min(ottc) FILTER (us BETWEEN brakes AND stops) OVER (PARTITION BY recording_id, target_id, start_us) AS mn FROM (SELECT tf.*, start_us, end_us, id AS target_id, min(CASE WHEN oacc <= -0.5 THEN us END) {_OWN} AS brakes, max(CASE WHEN mps >= 0.2 THEN us END) {_OWN} AS stops FROM g JOIN tf ON tf.recording_id = g.recording_id AND id = target_id AND us BETWEEN start_us AND end_us)"
+_AFTER = "SELECT gx.recording_id, gx.start_us, gx.end_us, pf.us, pf.mps, lag(pf.mps) OVER (PARTITION BY gx.recording_id, gx.start_us ORDER BY pf.us) AS pm, 0 AS mn FROM g gx JOIN pf ON pf.recording_id = gx.recording_id AND pf.us >= gx.start_us"
+_TWO = "recording_id, target_id"
+PLANNER_CASES = {
+    "follow_stop_ttc": (P.follow_stop_cases, FOLLOW + _planner_case("follow_stop_ttc", _TWO, _TARGET.format("0"), "min_by(ottc, us) FILTER (acceleration <= -0.5)", "min(us) FILTER (acceleration <= -0.5)", "4.5", None, 2)),
+    "follow_stop_max_acc": (P.follow_stop_cases, FOLLOW + _planner_case("follow_stop_max_acc", _TWO, _TARGET.format(f"min(acceleration) {_OWN}"), "min(acceleration)", "min(us) FILTER (acceleration = mn)", "greatest(least(-v0 / 5.5, -1.75), -4.0) - 1", None, 2)),
+    "follow_stop_min_jerk": (P.follow_stop_cases, FOLLOW + _planner_case("follow_stop_min_jerk", _TWO, _TARGET.format(f"min(jerk) {_OWN}"), "min(jerk)", "min(us) FILTER (jerk = mn)", "-2.0", None, 1)),
+    "follow_stop_min_ttc_frntobj_dec": (P.follow_stop_cases, FOLLOW + _planner_case("follow_stop_min_ttc_frntobj_dec", _TWO, _NEAR, "min(mn)", "min(us) FILTER (ottc = mn AND us BETWEEN brakes AND stops)", "1.5", None, 1)),
+    "redlight_min_jerk": (P.red_light_cases, RED + _planner_case("redlight_min_jerk", "recording_id", _PLAIN.format(f"min(jerk) {_ONE}"), "min(jerk)", "min(us) FILTER (jerk = mn)", "-2.0", None, 1)),
+    "redlight_stop_dis": (P.red_light_cases, RED + _planner_case("redlight_stop_dis", "recording_id", _PLAIN.format(f"min(stop_distance) {_ONE}"), "min(stop_distance) + 1.3", "min(us) FILTER (stop_distance = mn)", "1.5", "3.5", 2)),
+    "traffic_light_stop2go_time": (P.green_light_cases, GREEN + _planner_case("traffic_light_stop2go_time", "recording_id", _AFTER, "(min(us) FILTER (mps > 0.2 AND pm > 0.2) - start_us) / 1e6", "min(us) FILTER (mps > 0.2 AND pm > 0.2)", None, "1.5", 3)),
+    "traffic_light_stop2go_max_accel": (P.green_light_cases, GREEN + _planner_case("traffic_light_stop2go_max_accel", "recording_id", _PLAIN.format(f"max(acceleration) {_ONE}"), "max(acceleration)", "min(us) FILTER (acceleration = mn)", "1.0", "2.3", 2)),
+    "traffic_light_stop2go_max_jerk": (P.green_light_cases, GREEN + _planner_case("traffic_light_stop2go_max_jerk", "recording_id", _PLAIN.format(f"max(jerk) {_ONE}"), "max(jerk)", "min(us) FILTER (jerk = mn)", None, "2.5", 1)),
+    "traffic_light_stop2go_accel_time": (P.green_light_cases, GREEN + _planner_case("traffic_light_stop2go_accel_time", "recording_id", _AFTER, "(min(us) FILTER (mps > 8) - min(us) FILTER (mps > 0.5)) / 1e6", "min(us) FILTER (mps > 8)", None, "6.0", 4)),
+}
+
+
+def _planner(metric: str):
+    def run(spark, sf_dir):
+        return PLANNER_CASES[metric][0](planner_frames(spark, sf_dir)).where(F.col("metric") == metric).withColumn("value", F.round("value", 6))
+
+    return run
+
+
+for _name, (_, _sql) in PLANNER_CASES.items():
+    _register(f"planner_case_{_name}", _planner(_name), _sql)
