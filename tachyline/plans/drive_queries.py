@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import windows as W
 from . import metrics as MT, planner as P, scenes as SC, torque as T
 
 QUERIES: dict = {}
@@ -342,8 +341,7 @@ _register("override_release_windows", release_windows, TORQUE[: TORQUE.index("tj
 
 
 def planner_frames(spark, sf_dir: str) -> DataFrame:
-    rows = W.jerk(drives(spark, sf_dir), "acceleration", ["recording_id"], "us")
-    c = F.col
+    rows, c = drives(spark, sf_dir), F.col
     thing = lambda i, x, y, ttc, v, a: F.struct(i.cast("long").alias("id"), x.cast("double").alias("x"), F.lit(float(y)).alias("y"), ttc.cast("double").alias("ttc"), v.cast("double").alias("velocity"), a.cast("double").alias("acceleration"), F.lit(4.5).alias("length"))
     closing = c("ego_speed_mps") - c("front_velocity_abs")
     ttc = F.when(closing > 1e-6, F.least(c("front_range") / closing, F.lit(999.0))).otherwise(999.0)
@@ -351,7 +349,7 @@ def planner_frames(spark, sf_dir: str) -> DataFrame:
     second = F.when(c("digit") % 2 == 0, thing(F.lit(9), F.lit(45.0), 1.0, F.lit(50.0), F.lit(10.0), F.lit(0.0)))
     beside = thing(F.lit(8), F.lit(3.0), 3.0, F.lit(2.0), F.lit(5.0), F.lit(0.0))
     return rows.select(
-        "recording_id", "us", c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", "jerk", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
+        "recording_id", "us", c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
         c("lead_id").cast("long").alias("lead_id"), c("us").alias("objects_us"), F.lit(True).alias("primary"), F.filter(F.array(front, second, beside), lambda o: o.isNotNull()).alias("objects"),
     )
 
@@ -410,19 +408,29 @@ SELECT '{metric}' AS metric, recording_id, start_us, end_us, round(value, 6) AS
 _TARGET = "SELECT tf.*, start_us, end_us, id AS target_id, {} AS mn FROM g JOIN tf ON tf.recording_id = g.recording_id AND id = target_id AND us BETWEEN start_us AND end_us"
 _PLAIN = "SELECT pf.*, start_us, end_us, {} AS mn FROM g JOIN pf ON pf.recording_id = g.recording_id AND us BETWEEN start_us AND end_us"
 _OWN, _ONE = "OVER (PARTITION BY g.recording_id, target_id, start_us)", "OVER (PARTITION BY g.recording_id, start_us)"
+
+
+def _scene_jerk(base: str, part: str, pick: str) -> str:
+    """SQL of ``base`` with the jerk over each scene's own samples and its extreme mn."""
+    near = f"(PARTITION BY {part} ORDER BY us RANGE BETWEEN 150000 PRECEDING AND 150000 FOLLOWING)"
+    mean = f"SELECT * EXCLUDE (jerk, smooth, mn), avg(acceleration) OVER {near} AS own_mean FROM ({base})"
+    slope = f"SELECT *, CASE WHEN count(*) OVER w >= 3 AND max(us) OVER w - min(us) OVER w >= 150000 THEN regr_slope(own_mean, (us - start_us) / 1e6) OVER w END AS jerk FROM ({mean}) WINDOW w AS {near}"
+    return f"SELECT *, {pick}(jerk) OVER (PARTITION BY {part}) AS mn FROM ({slope})"
+
+
 _NEAR = f"SELECT *, min(ottc) FILTER (us BETWEEN brakes AND stops) OVER (PARTITION BY recording_id, target_id, start_us) AS mn FROM (SELECT tf.*, start_us, end_us, id AS target_id, min(CASE WHEN oacc <= -0.5 THEN us END) {_OWN} AS brakes, max(CASE WHEN mps >= 0.2 THEN us END) {_OWN} AS stops FROM g JOIN tf ON tf.recording_id = g.recording_id AND id = target_id AND us BETWEEN start_us AND end_us)"
 _AFTER = "SELECT gx.recording_id, gx.start_us, gx.end_us, pf.us, pf.mps, lag(pf.mps) OVER (PARTITION BY gx.recording_id, gx.start_us ORDER BY pf.us) AS pm, 0 AS mn FROM g gx JOIN pf ON pf.recording_id = gx.recording_id AND pf.us >= gx.start_us"
 _TWO = "recording_id, target_id"
 PLANNER_CASES = {
     "follow_stop_ttc": (P.follow_stop_cases, FOLLOW + _planner_case("follow_stop_ttc", _TWO, _TARGET.format("0"), "min_by(ottc, us) FILTER (acceleration <= -0.5)", "min(us) FILTER (acceleration <= -0.5)", "4.5", None, 2)),
     "follow_stop_max_acc": (P.follow_stop_cases, FOLLOW + _planner_case("follow_stop_max_acc", _TWO, _TARGET.format(f"min(acceleration) {_OWN}"), "min(acceleration)", "min(us) FILTER (acceleration = mn)", "greatest(least(-v0 / 5.5, -1.75), -4.0) - 1", None, 2)),
-    "follow_stop_min_jerk": (P.follow_stop_cases, FOLLOW + _planner_case("follow_stop_min_jerk", _TWO, _TARGET.format(f"min(jerk) {_OWN}"), "min(jerk)", "min(us) FILTER (jerk = mn)", "-2.0", None, 1)),
+    "follow_stop_min_jerk": (P.follow_stop_cases, FOLLOW + _planner_case("follow_stop_min_jerk", _TWO, _scene_jerk(_TARGET.format("0"), "recording_id, target_id, start_us", "min"), "min(jerk)", "min(us) FILTER (jerk = mn)", "-2.0", None, 1)),
     "follow_stop_min_ttc_frntobj_dec": (P.follow_stop_cases, FOLLOW + _planner_case("follow_stop_min_ttc_frntobj_dec", _TWO, _NEAR, "min(mn)", "min(us) FILTER (ottc = mn AND us BETWEEN brakes AND stops)", "1.5", None, 1)),
-    "redlight_min_jerk": (P.red_light_cases, RED + _planner_case("redlight_min_jerk", "recording_id", _PLAIN.format(f"min(jerk) {_ONE}"), "min(jerk)", "min(us) FILTER (jerk = mn)", "-2.0", None, 1)),
+    "redlight_min_jerk": (P.red_light_cases, RED + _planner_case("redlight_min_jerk", "recording_id", _scene_jerk(_PLAIN.format("0"), "recording_id, start_us", "min"), "min(jerk)", "min(us) FILTER (jerk = mn)", "-2.0", None, 1)),
     "redlight_stop_dis": (P.red_light_cases, RED + _planner_case("redlight_stop_dis", "recording_id", _PLAIN.format(f"min(stop_distance) {_ONE}"), "min(stop_distance) + 1.3", "min(us) FILTER (stop_distance = mn)", "1.5", "3.5", 2)),
     "traffic_light_stop2go_time": (P.green_light_cases, GREEN + _planner_case("traffic_light_stop2go_time", "recording_id", _AFTER, "(min(us) FILTER (mps > 0.2 AND pm > 0.2) - start_us) / 1e6", "min(us) FILTER (mps > 0.2 AND pm > 0.2)", None, "1.5", 3)),
     "traffic_light_stop2go_max_accel": (P.green_light_cases, GREEN + _planner_case("traffic_light_stop2go_max_accel", "recording_id", _PLAIN.format(f"max(acceleration) {_ONE}"), "max(acceleration)", "min(us) FILTER (acceleration = mn)", "1.0", "2.3", 2)),
-    "traffic_light_stop2go_max_jerk": (P.green_light_cases, GREEN + _planner_case("traffic_light_stop2go_max_jerk", "recording_id", _PLAIN.format(f"max(jerk) {_ONE}"), "max(jerk)", "min(us) FILTER (jerk = mn)", None, "2.5", 1)),
+    "traffic_light_stop2go_max_jerk": (P.green_light_cases, GREEN + _planner_case("traffic_light_stop2go_max_jerk", "recording_id", _scene_jerk(_PLAIN.format("0"), "recording_id, start_us", "max"), "max(jerk)", "min(us) FILTER (jerk = mn)", None, "2.5", 1)),
     "traffic_light_stop2go_accel_time": (P.green_light_cases, GREEN + _planner_case("traffic_light_stop2go_accel_time", "recording_id", _AFTER, "(min(us) FILTER (mps > 8) - min(us) FILTER (mps > 0.5)) / 1e6", "min(us) FILTER (mps > 8)", None, "6.0", 4)),
 }
 

@@ -1,6 +1,6 @@
 """Scenes and case metrics on planner frames: one row per planning message with the objects seen at that moment.
 
-A frame has recording_id, us, np_on, override, speed (m/s), acceleration, jerk, still, set_speed, red_light, stop_distance,
+A frame has recording_id, us, np_on, override, speed (m/s), acceleration, still, set_speed, red_light, stop_distance,
 lead_id, objects_us, primary and ``objects`` (array of id, x, y, ttc, velocity, acceleration, length). Unlike the wide
 frames of ``scenes``, a frame may follow several targets at once, so follow scenes are looked for target by target.
 """
@@ -12,7 +12,7 @@ from collections.abc import Generator
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import scalars as S
-from ..operators import automata as M, segments as G
+from ..operators import automata as M, segments as G, windows as W
 from .scenes import KEYS, SECOND, samples_in
 
 c = F.col
@@ -137,13 +137,19 @@ def _judged(rows: DataFrame, metric: str, low: Column | float | None, high: Colu
     return rows.where("value is not null").select(F.lit(metric).alias("metric"), *KEYS, "start_us", "end_us", "value", "at_us", (severity > 0).alias("bad"), severity.alias("severity"))
 
 
+def _with_jerk(inside: DataFrame, own: list[str]) -> DataFrame:
+    """Jerk over a scene's own samples: its windows end with the scene. Of samples of one time the last counts."""
+    once = inside.withColumn("__r", F.row_number().over(Window.partitionBy(*own, "us").orderBy(F.desc("acceleration")))).where("__r = 1").drop("__r")
+    return W.jerk(once, "acceleration", own, "us")
+
+
 def follow_stop_cases(frames: DataFrame) -> DataFrame:
     """The four metrics of ``follow_stop``: time to collision as the vehicle begins to brake (at -0.5), strongest braking against a
     bound by the first speed, strongest jerk, and the least time to collision from the target's braking to the vehicle's stop."""
     scenes = follow_stop(frames)
-    rows = target_frames(with_control(candidates(frames))).select(*KEYS, "target_id", "us", "speed", "acceleration", "jerk", c("target.ttc").alias("ttc"), c("target.acceleration").alias("target_acc"))
+    rows = target_frames(with_control(candidates(frames))).select(*KEYS, "target_id", "us", "speed", "acceleration", c("target.ttc").alias("ttc"), c("target.acceleration").alias("target_acc"))
     own = [*KEYS, "target_id", "start_us", "end_us"]
-    inside = samples_in(rows.withColumnRenamed("target_id", "tid"), scenes).where("tid = target_id")
+    inside = _with_jerk(samples_in(rows.withColumnRenamed("target_id", "tid"), scenes).where("tid = target_id"), own)
     whole = Window.partitionBy(*own)
     inside = inside.withColumn("brakes", F.min(F.when(c("target_acc") <= -0.5, c("us"))).over(whole)).withColumn("stops", F.max(F.when(c("speed") >= 0.2, c("us"))).over(whole))
     least = lambda x, when=None: F.min(F.when(c(x).isNotNull() & ~F.isnan(x) & (F.lit(True) if when is None else when), F.struct(c(x).alias("v"), "us")))
@@ -162,7 +168,7 @@ def follow_stop_cases(frames: DataFrame) -> DataFrame:
 
 def red_light_cases(frames: DataFrame, powertrain: str = "PHEV") -> DataFrame:
     """The metrics of ``red_light_stop``: strongest jerk, and the least distance to the stop line (1.3 m from the sensor on)."""
-    inside = samples_in(frames.select(*KEYS, "us", "jerk", "stop_distance"), red_light_stop(frames))
+    inside = _with_jerk(samples_in(frames.select(*KEYS, "us", "acceleration", "stop_distance"), red_light_stop(frames)), [*KEYS, "start_us", "end_us"])
     least = lambda x: F.min(F.when(c(x).isNotNull() & ~F.isnan(x), F.struct(c(x).alias("v"), "us")))
     one = inside.groupBy(*KEYS, "start_us", "end_us").agg(least("jerk").alias("jerk"), least("stop_distance").alias("line"))
     jerk = _judged(one.withColumn("value", c("jerk.v")).withColumn("at_us", c("jerk.us")), "redlight_min_jerk", S.by_powertrain(powertrain, -2.3, -2.0), None, 1)
@@ -173,7 +179,7 @@ def green_light_cases(frames: DataFrame, powertrain: str = "PHEV") -> DataFrame:
     """The metrics of ``green_light_start``: time to move (the second frame in a row above 0.2 m/s), strongest acceleration and
     jerk, and the time from 0.5 to 8 m/s. Times look beyond the scene."""
     scenes = green_light_start(frames)
-    inside = samples_in(frames.select(*KEYS, "us", "acceleration", "jerk"), scenes)
+    inside = _with_jerk(samples_in(frames.select(*KEYS, "us", "acceleration"), scenes), [*KEYS, "start_us", "end_us"])
     most = lambda x: F.min(F.when(c(x).isNotNull() & ~F.isnan(x), F.struct((-c(x)).alias("v"), "us")))
     one = inside.groupBy(*KEYS, "start_us", "end_us").agg(most("acceleration").alias("acc"), most("jerk").alias("jerk"))
     back = Window.partitionBy(*KEYS).orderBy(F.desc("us"))
