@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import metrics as MT, planner as P, scenes as SC, torque as T
+from . import gated as X, metrics as MT, planner as P, scenes as SC, torque as T
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -444,3 +444,23 @@ def _planner(metric: str):
 
 for _name, (_, _sql) in PLANNER_CASES.items():
     _register(f"planner_case_{_name}", _planner(_name), _sql)
+
+
+# Bus signals held against the planner's state, which is told at every fourth sample.
+
+
+def _gated(find):
+    def run(spark, sf_dir):
+        frame = drives(spark, sf_dir)
+        states = frame.where("(us div 100000) % 4 = 0").select("recording_id", "us", (F.col("digit") != 5).alias("np_on"))
+        return find(X.gated(frame, states))
+
+    return run
+
+
+GATED = FRAME + """, sg AS (SELECT recording_id, us, digit <> 5 AS np FROM f WHERE us // 100000 % 4 = 0),
+h1 AS (SELECT f.*, b.us AS bu, b.np AS bn FROM f ASOF LEFT JOIN sg b ON f.recording_id = b.recording_id AND f.us >= b.us), h2 AS (SELECT h1.*, n.us AS nu, n.np AS nn FROM h1 ASOF LEFT JOIN sg n ON h1.recording_id = n.recording_id AND h1.us <= n.us),
+gf AS (SELECT *, ctl AND CASE WHEN nu IS NULL OR us - bu <= nu - us THEN bn ELSE nn END AS gctl FROM h2 WHERE recording_id NOT IN (SELECT recording_id FROM h2 WHERE coalesce(least(us - bu, nu - us), us - bu, nu - us) > 300000))"""
+_WHEELS = " AND ".join(f"wheel_dir_{w} = 4 AND abs(wheel_speed_{w}) > 0.01" for w in ("lf", "rf", "lr", "rr"))
+_register("gated_lost_arbitration", _gated(X.lost_arbitration), GATED + f" SELECT {_SPAN} FROM ({runs('gf', 'gctl AND acc_request_state = 2')}) WHERE b - a >= 5000000")
+_register("gated_rollback", _gated(X.rollback), GATED + f" SELECT recording_id, a AS start_us, b AS end_us, round(speed, 3) AS severity FROM ({runs('gf', f'gctl AND brake_request_type = 5 AND gear = 12 AND ego_speed < 0.5 AND {_WHEELS}', 'avg((abs(wheel_speed_lf) + abs(wheel_speed_rf) + abs(wheel_speed_lr) + abs(wheel_speed_rr)) / 4) AS speed')}) WHERE b - a >= 200000")
