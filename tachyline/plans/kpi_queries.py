@@ -140,8 +140,8 @@ def run_state_summary(spark, sf_dir):
 @query("missing_fields_antijoin", "SELECT DISTINCT c.c_custkey, p.prio FROM customer c, (SELECT DISTINCT o_orderpriority AS prio FROM orders) p WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = p.prio)")
 def missing_fields_antijoin(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("prio"))
-    fields = orders.agg(F.array_sort(F.collect_set("prio")).alias("prios"))  # one row, the few fields that there are
-    required = _table(spark, sf_dir, "customer").select("c_custkey").join(F.broadcast(fields)).select("c_custkey", F.explode("prios").alias("prio"))
+    fields = sorted(r["prio"] for r in orders.select("prio").distinct().collect())  # the few fields that there are
+    required = _table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(*map(F.lit, fields))).alias("prio"))
     return R.missing_fields(required, orders, ["c_custkey", "prio"])
 
 

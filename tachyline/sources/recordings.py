@@ -91,9 +91,13 @@ def to_frame(signals: DataFrame, fields: Sequence[str], axis: str = "acceleratio
 
 
 def missing_signals(required: DataFrame, signals: DataFrame) -> DataFrame:
-    """(recording_id, metric, field) of required fields without samples."""
+    """(recording_id, metric, field) of required fields without samples. ``required`` (metric, field) is configuration."""
     have = signals.select("recording_id", "field").distinct()
-    return signals.select("recording_id").distinct().join(F.broadcast(required)).join(have, ["recording_id", "field"], "left_anti")
+    wanted = [F.struct(F.lit(r["metric"]).alias("metric"), F.lit(r["field"]).alias("field")) for r in required.select("metric", "field").distinct().collect()]
+    if not wanted:
+        return have.select("recording_id", F.lit(None).cast("string").alias("metric"), "field").limit(0)
+    every = signals.select("recording_id").distinct().select("recording_id", F.explode(F.array(*wanted)).alias("w")).select("recording_id", "w.metric", "w.field")
+    return every.join(have, ["recording_id", "field"], "left_anti")
 
 
 def manifest(recordings: DataFrame) -> DataFrame:

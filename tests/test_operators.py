@@ -151,10 +151,12 @@ def test_steady_band_rules():
     assert run(machine, step(10, 20, on=False), fields) == []
 
 
-def test_bridge_flips_top_and_match():
-    rows = [(0, 1, 1), (1, 0, 1), (2, 0, 1), (3, 1, 1), (4, 0, 1), (5, 0, 0), (6, 1, 0)]
-    assert run(M.lookahead_bridge("core", "hold", 2), rows, ["t", "core", "hold"]) == [(0, 3, 4), (6, 6, 1)]
-    assert run(M.debounced_flips("x", 2), [(x,) for x in (1, 1, -1, 1, 0, -1, -1, -1, 1, 1)], ["x"]) == [(2,)]
+def test_bridge_flips_top_and_match(spark):
+    rows = [("r", 0, 1, 1), ("r", 1, 0, 1), ("r", 2, 0, 1), ("r", 3, 1, 1), ("r", 4, 0, 1), ("r", 5, 0, 0), ("r", 6, 1, 0)]
+    found = G.lookahead_bridge(spark.createDataFrame(rows, "id string, t long, core int, hold int"), "core = 1", "hold = 1", 2, ["id"], ["t"], "t")
+    assert sorted((r.start_t, r.end_t, r.n) for r in found.collect()) == [(0, 3, 4), (6, 6, 1)]
+    signs = spark.createDataFrame([("r", k, float(x)) for k, x in enumerate((1, 1, -1, 1, 0, -1, -1, -1, 1, 1))] + [("none", 0, 0.0)], "id string, t long, x double")
+    assert {r.id: r.flips for r in G.debounced_flips(signs, "x", 2, ["id"], ["t"]).collect()} == {"r": 2, "none": 0}
     assert run(M.separated_top("s", "t", 2, 4), [(10, 9.0), (12, 8.0), (15, 7.0), (30, 6.0)], ["t", "s"]) == [(10, 9.0, 1), (15, 7.0, 2)]
 
 
@@ -173,11 +175,18 @@ def test_greedy_match_equals_the_direct_search(seed):
     assert run(M.greedy_match("side", "s", 10), edges, ["t", "side", "s"]) == want
 
 
-def test_drops_rebounds_and_cycles():
+def test_samples_are_held_against_the_last_one_kept(spark):
+    rows = spark.createDataFrame([("r", t, s, t + 0.5) for t, s in ((0, "a"), (0, "b"), (15, "b"), (30, "a"), (31, "a"), (100, "b"), (300, "a"))], "id string, t long, source string, v double")
+    got = A.merge_samples(rows, ["id"], "t", "source", 20)
+    assert got.columns == rows.columns and sorted((r.t, r.source) for r in got.collect()) == [(0, "a"), (30, "a"), (100, "b"), (300, "a")]
+
+
+def test_drops_rebounds_and_cycles(spark):
     assert run(M.forward_drops("x", 3.0, 1.6, 3.0, -2.0, 0.2), [(round(k / 10, 1), x) for k, x in enumerate([0, 0, -1, -2, -3.2, -3, -3, 0, 0])], ["t", "x"]) == [(0.0, 0.4, 3.2)]
     assert run(M.rebounds("x"), [(0.0, 0.0), (0.1, 0.6), (0.2, 0.0), (0.5, 0.0), (3.0, 0.0)], ["t", "x"]) == [(0.0, 0.1, 0.2)]
     wave = [(round(k / 10, 1), math.sin(2 * math.pi * k / 40)) for k in range(161)]
-    assert [x[2] for x in run(M.long_cycles("x"), wave, ["t", "x"])] == [8]
+    frame = spark.createDataFrame([("r", t, x) for t, x in wave], "id string, t double, x double")
+    assert [r.phases for r in G.long_cycles(frame, "x", 1.5, 3.5, 0.3, 4, 0.6, ["id"], ["t"], "t").collect()] == [8]
 
 
 def test_machines_keep_recordings_apart(spark):
