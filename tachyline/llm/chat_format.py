@@ -25,6 +25,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import map_batches
+
 #: Control strings of the template.
 BEGIN = {"system": "<s>[SYS] ", "user": "<s>[INST] ", "assistant": "<s>[OUT] "}
 OTHER = "<s>[ROLE "  # followed by the escaped role and "] "
@@ -148,7 +150,7 @@ def format_events(events: DataFrame) -> DataFrame:
     rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("conv_id").orderBy(*order)))
     rows = rows.withColumn("born", F.min("at").over(Window.partitionBy("conv_id", "message")))
     rows = rows.withColumn("reach", F.min("born").over(Window.partitionBy("conv_id").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)))
-    return rows.sortWithinPartitions("conv_id", "at").select("conv_id", "kind", "message", "role", "text", "born", "reach").mapInArrow(_fold, "conv_id long, position long, role string, piece string, start long, end long")
+    return rows.sortWithinPartitions("conv_id", "at").select("conv_id", "kind", "message", "role", "text", "born", "reach").transform(map_batches, _fold, "conv_id long, position long, role string, piece string, start long, end long")
 
 
 def event_log(turns: DataFrame) -> DataFrame:
@@ -200,7 +202,7 @@ def _read_back(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(pieces: DataFrame) -> DataFrame:
     """What the rendered pieces say, read back: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
-    return pieces.mapInArrow(_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return pieces.transform(map_batches, _read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def op5_chat_formatting(spark, sf_dir: str) -> DataFrame:

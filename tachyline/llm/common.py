@@ -6,16 +6,20 @@ chunks of a few MB, so a task's memory doesn't depend on the size of its partiti
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that a kernel works on at a time; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 20
+#: Bytes of an Arrow batch that a task is handed, at most; a longer row is a batch of its own.
+BATCH_BYTES = 8 << 20
 U64 = np.uint64
 
 
@@ -47,6 +51,15 @@ def materialize(df: DataFrame, name: str, sort: list[str] | None = None) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with batches of ``BATCH_BYTES`` at most: the session's limit is lowered to that where it is higher."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", conf.get(name))
+    if not now or int(now[1]) > BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 #: Bits of a ``key_filter``; its table has one row for 64 bits at most, whatever the number of keys.
 FILTER_BITS = 1 << 24
 

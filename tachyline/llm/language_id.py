@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import LOWER, U64, Hasher, chunks, classes, texts_of, words
+from .common import LOWER, U64, Hasher, chunks, classes, map_batches, texts_of, words
 
 BITS = 16
 GRAMS = (1, 2, 3, 4)
@@ -177,7 +177,7 @@ def fit(texts: DataFrame) -> Model:
     languages = sorted(r["lang"] for r in texts.select("lang").distinct().collect())
     if not languages:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros((N_SCRIPTS, 0), bool))
-    table = texts.mapInArrow(_counts(languages), "kind int, language int, bucket int, n long").groupBy("kind", "language", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most languages x (buckets + scripts) rows
+    table = texts.transform(map_batches, _counts(languages), "kind int, language int, bucket int, n long").groupBy("kind", "language", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most languages x (buckets + scripts) rows
     kind, language, bucket, n = (np.array(table.column(c)) for c in ("kind", "language", "bucket", "n"))
     count = np.zeros((1 << BITS, len(languages)))
     count[bucket[kind == 0], language[kind == 0]] = n[kind == 0]
@@ -297,7 +297,7 @@ def label(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     columns and repeated rows stay. A model without languages labels all ``und``."""
     docs = docs.drop("lang_pred", "score", "lang_spans")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(_labelled(model, switch), ", ".join([*fields, "lang_pred string", "score double", f"lang_spans {SPANS}"]))
+    return docs.transform(map_batches, _labelled(model, switch), ", ".join([*fields, "lang_pred string", "score double", f"lang_spans {SPANS}"]))
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:

@@ -31,20 +31,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, Hasher, chunks, materialize, mix, shingles, texts_of
+from .common import U64, Hasher, by_filter, chunks, key_filter, map_batches, materialize, mix, shingles, texts_of
 from .components import components
 
 #: Tokens that a cell of the hash space holds on average, whatever the size of the input.
 CELL_TOKENS = 1_000_000
-#: Cells at least. A batch's block for a cell is small, so the Arrow batches that bring 10,000 blocks are, too.
-CELLS = 1024
+#: Cells at least (a token's first eight bits are its cell's then), and documents of a batch at most.
+CELLS, BATCH_DOCS = 256, 2048
 #: Seeds of the orders within a class of frequencies.
 ORDERS = (0x51ED270B, 0x2545F491, 0x9E6C63D0)
 BLOCK = "batch long, cell int, runs binary, low binary, high binary, layout binary"
 FIELDS = ["batch", "cell", "runs", "low", "high", "layout"]
 SETS = "doc_id long, n_tokens long, key1 long, key2 long, unique long, tokens array<long>, first array<long>, second array<long>, third array<long>"
-#: Mark of a further document with the same token, in a batch's list of documents.
-AGAIN = 0x8000
+#: Mark of a further document with the same token, in a batch's list of documents, which has 12 bits for each.
+AGAIN = 0x800
 
 
 def _packed(values: np.ndarray, edges: np.ndarray) -> pa.Array:
@@ -61,6 +61,17 @@ def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
     return data.view(kind), (offsets - offsets[0]) // np.dtype(kind).itemsize
 
 
+def _twelve(values: np.ndarray) -> bytes:
+    """Numbers of 12 bits, two in three bytes."""
+    a, b = np.append(values, np.zeros(len(values) % 2, values.dtype)).astype(np.uint16).reshape(-1, 2).T
+    return np.stack([a & 255, a >> 8 | (b & 15) << 4, b >> 4], axis=1).astype(np.uint8).tobytes()
+
+
+def _from_twelve(data: bytes, n: int) -> np.ndarray:
+    x, y, z = np.frombuffer(data, np.uint8).reshape(-1, 3).T.astype(np.uint16)
+    return np.stack([x | (y & 15) << 8, y >> 4 | z << 4], axis=1).ravel()[:n]
+
+
 def _block(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), FIELDS)
 
@@ -75,11 +86,11 @@ def _deal(cells: int, size: int):
         for part in parts:
             ids = np.array(part.column("doc_id").fill_null(0))
             data, offsets = texts_of(part.column("text"))
-            for i, j in chunks(offsets):
+            for i, j in chunks(offsets, rows=BATCH_DOCS):
                 sets = shingles(hasher, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
                 sizes = np.array([len(s) for s in sets], np.int64)
-                both = np.sort((np.concatenate(sets) >> U64(16)) << U64(12) | np.repeat(np.arange(j - i, dtype=np.uint64), sizes))
-                token, doc = both >> U64(12), (both & U64(4095)).astype(np.uint16)
+                both = np.sort((np.concatenate(sets) >> U64(16)) << U64(11) | np.repeat(np.arange(j - i, dtype=np.uint64), sizes))
+                token, doc = both >> U64(11), (both & U64(BATCH_DOCS - 1)).astype(np.uint16)
                 fresh = np.r_[True, token[1:] != token[:-1]][: len(token)]
                 doc[~fresh] |= AGAIN
                 at = np.flatnonzero(fresh)
@@ -88,7 +99,7 @@ def _deal(cells: int, size: int):
                 edges = np.flatnonzero(np.r_[np.r_[True, cell[1:] != cell[:-1]][: len(cell)], True])
                 own = cell[edges[:-1]]
                 layout = np.stack([own, np.diff(edges)]).astype(np.int32)
-                yield _block(*(pa.array([x], t) for x, t in ((batch, pa.int64()), (-1, pa.int32()), (doc.tobytes(), pa.binary()), (ids[i:j].tobytes(), pa.binary()), (sizes.tobytes(), pa.binary()), (layout.tobytes(), pa.binary()))))
+                yield _block(*(pa.array([x], t) for x, t in ((batch, pa.int64()), (-1, pa.int32()), (_twelve(doc), pa.binary()), (ids[i:j].tobytes(), pa.binary()), (sizes.tobytes(), pa.binary()), (layout.tobytes(), pa.binary()))))
                 if len(own):
                     yield _block(pa.array(np.full(len(own), batch)), pa.array(own), _packed(runs, edges), _packed(token.astype(np.uint32), edges), _packed((token >> U64(32)).astype(np.uint8), edges), _packed(runs[:0], np.zeros(len(edges), np.int64)))
                 batch += 1
@@ -161,7 +172,8 @@ def _prefixes(cells: int, percent: int):
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slices in _runs(parts, "batch"):
-            entry, ids, size, layout = (np.frombuffer(slices[0].column(c)[0].as_py(), t) for c, t in (("runs", np.uint16), ("low", np.int64), ("high", np.int64), ("layout", np.int32)))
+            ids, size, layout = (np.frombuffer(slices[0].column(c)[0].as_py(), t) for c, t in (("low", np.int64), ("high", np.int64), ("layout", np.int32)))
+            entry = _from_twelve(slices[0].column("runs")[0].as_py(), int(size.sum()))
             of, n = layout.reshape(2, -1)
             begin = np.cumsum(n) - n
             level, token = np.zeros(int(n.sum()), np.uint8), np.zeros(int(n.sum()), np.uint64)
@@ -176,7 +188,7 @@ def _prefixes(cells: int, percent: int):
                     token[at[own > 0]] = _tokens(low, _flat(part.column("high"), np.uint8)[0], np.repeat(cell, np.diff(edge)), cells)
             place = np.cumsum(entry < AGAIN) - 1
             hit = level[place] > 0 if len(place) else np.zeros(0, bool)
-            doc, place = (entry[hit] & 4095).astype(np.int64), place[hit]
+            doc, place = (entry[hit] & (BATCH_DOCS - 1)).astype(np.int64), place[hit]
             token, level = token[place], level[place]
             shared = np.bincount(doc, minlength=len(ids))
             prefix = size - (percent * size + 99) // 100 + 1
@@ -212,9 +224,9 @@ def token_sets(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
     texts = docs.select("doc_id", "text").where("doc_id is not null")
     amount = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = max(CELLS, 1 << (amount // 6 // CELL_TOKENS).bit_length())
-    dealt = texts.mapInArrow(_deal(cells, size), BLOCK)
-    counted = dealt.repartition(F.when(F.col("cell") < 0, -1 - F.col("batch")).otherwise(F.col("cell"))).sortWithinPartitions("cell").mapInArrow(_count(cells), BLOCK)
-    return counted.repartition("batch").sortWithinPartitions("batch", "cell").mapInArrow(_prefixes(cells, percent), SETS)
+    dealt = texts.transform(map_batches, _deal(cells, size), BLOCK)
+    counted = dealt.repartition(F.when(F.col("cell") < 0, -1 - F.col("batch")).otherwise(F.col("cell"))).sortWithinPartitions("cell").transform(map_batches, _count(cells), BLOCK)
+    return counted.repartition("batch").sortWithinPartitions("batch", "cell").transform(map_batches, _prefixes(cells, percent), SETS)
 
 
 def _similar_sizes(a: str, b: str, percent: int):
@@ -223,10 +235,14 @@ def _similar_sizes(a: str, b: str, percent: int):
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), which share a token of the first order's prefixes, that do so in all orders and have the similarity."""
-    side = lambda s, *more: sets.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in more))
+    pairs = materialize(pairs, "pairs")
+    in_pairs = lambda pairs: by_filter(sets, key_filter(pairs.select(F.explode(F.array("a", "b")).alias("node")), "node"), "node")
+    side = lambda s, *more: own.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in more))
+    own = in_pairs(pairs)
     met = pairs.join(side("a", "n_tokens", "second", "third"), "a").join(side("b", "n_tokens", "second", "third"), "b")
     met = met.where(_similar_sizes("n_tokens_a", "n_tokens_b", percent) & F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
     met = materialize(met.select("a", "b", (F.col("n_tokens_a") + F.col("n_tokens_b")).alias("both")), "met")
+    own = in_pairs(met)
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     found = met.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b").withColumn("shared", shared)
     return found.where(F.col("shared") * 100 >= (F.col("both") - F.col("shared")) * percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -261,7 +277,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, size: int = 5) -> Dat
     # Written, so that the aggregate's dealing isn't reused by the join below and a large class can be split there.
     classes = materialize(found.groupBy("key1", "key2", "n_tokens").agg(F.min("doc_id").alias("node")), "classes")
     members = found.select("key1", "key2", "n_tokens", "doc_id").join(classes, ["key1", "key2", "n_tokens"]).select("doc_id", "node").distinct()
-    nodes = materialize(found.join(classes.select("key1", "key2", "n_tokens", F.col("node").alias("doc_id")), ["key1", "key2", "n_tokens", "doc_id"], "left_semi").dropDuplicates(["key1", "key2", "n_tokens"]).withColumnRenamed("doc_id", "node"), "nodes")
+    nodes = materialize(found.join(classes.select("key1", "key2", "n_tokens", F.col("node").alias("doc_id")), ["key1", "key2", "n_tokens", "doc_id"], "left_semi").dropDuplicates(["key1", "key2", "n_tokens", "doc_id"]).withColumnRenamed("doc_id", "node"), "nodes")
 
     postings = nodes.select("node", "n_tokens", "unique", F.posexplode("first").alias("at", "token"))
     postings = postings.select("token", "node", "n_tokens", (F.col("n_tokens") - F.col("unique") - F.col("at")).alias("rest"))

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Hasher, chunks, texts_of
+from .common import Hasher, chunks, map_batches, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁".encode()
@@ -289,7 +289,7 @@ def encode(docs: DataFrame, model: str = MODEL, digests: bool = False, zipf: boo
     docs = docs.drop("n_tokens", "token_ids", "ids_sha256", "round_trip")
     vocabulary = Vocabulary.load(model, zipf)
     fixed = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"]
-    return docs.mapInArrow(_encoded(vocabulary, digests), ", ".join([*fixed, "n_tokens long", *(["ids_sha256 string", "round_trip boolean"] if digests else ["token_ids array<int>"])]))
+    return docs.transform(map_batches, _encoded(vocabulary, digests), ", ".join([*fixed, "n_tokens long", *(["ids_sha256 string", "round_trip boolean"] if digests else ["token_ids array<int>"])]))
 
 
 def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
@@ -307,7 +307,7 @@ def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
 
     tokens = tokens.drop("text")
     fixed = [f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema.fields if f.name != "token_ids"]
-    return tokens.mapInArrow(run, ", ".join([*fixed, "text string"]))
+    return tokens.transform(map_batches, run, ", ".join([*fixed, "text string"]))
 
 
 def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, classes, texts_of, words
+from .common import chunks, classes, map_batches, texts_of, words
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -112,7 +112,7 @@ def _histogram(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def thresholds(docs: DataFrame, rate: float = 0.01) -> dict[int, int]:
     """For each stratum with discoveries, the lowest bin that counts as one, at a false-discovery rate of ``rate``."""
-    rows = docs.select("text").mapInArrow(_histogram, "stratum int, bin int, n long").groupBy("stratum", "bin").agg(F.sum("n").alias("n")).collect()  # at most strata x bins rows
+    rows = docs.select("text").transform(map_batches, _histogram, "stratum int, bin int, n long").groupBy("stratum", "bin").agg(F.sum("n").alias("n")).collect()  # at most strata x bins rows
     out = {}
     for stratum in {r["stratum"] for r in rows}:
         own = sorted(((r["bin"], r["n"]) for r in rows if r["stratum"] == stratum), reverse=True)
@@ -194,7 +194,7 @@ def scan_secrets(docs: DataFrame, rate: float = 0.01, redact: bool = False) -> D
     floor = thresholds(docs, rate)
     fields = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["text string"] * redact + ["secret_spans array<struct<kind:string,start:long,end:long>>"])
-    return docs.mapInArrow(_scan(floor, redact), schema)
+    return docs.transform(map_batches, _scan(floor, redact), schema)
 
 
 def op3_secret_scan(spark, sf_dir: str) -> DataFrame:

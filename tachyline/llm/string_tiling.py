@@ -22,11 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import LOWER, U64, Hasher, chunks, classes, materialize, mix, texts_of, words
+from .common import LOWER, U64, Hasher, chunks, classes, map_batches, materialize, mix, texts_of, words
 
 TOKEN = classes(members=bytes(range(48, 58)) + bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)))
-#: Bits of the table of seeds, as a power of two, at least and at most; 16 for each seed in between.
-TABLE_BITS = (16, 26)
+#: Bits of the table of seeds, as a power of two, at least and at most; 256 for each seed in between, so few others pass.
+TABLE_BITS = (24, 26)
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -192,7 +192,7 @@ def text_key() -> Column:
 def _table(seeds: DataFrame) -> tuple[np.ndarray, int]:
     """A bit table of the distinct ``seeds``, gathered by words of 64 bits, and its size as a power of two."""
     least, most = TABLE_BITS
-    bits = min(most, max(least, (16 * seeds.count()).bit_length()))
+    bits = min(most, max(least, (256 * seeds.count()).bit_length()))
     slot = F.shiftrightunsigned("seed", 64 - bits)
     rows = seeds.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(seed, {64 - bits}) & 63))")).alias("bits")).toArrow()
     table = np.zeros(1 << bits - 6, np.uint64)
@@ -205,9 +205,9 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame, least: int = 5, share: fl
 
     Items are told apart by identifier and text, so each text of an item_id, or of none, is tested."""
     code = F.md5(F.concat_ws(":", "item_id", "text")).alias("code")
-    items = materialize(benchmark.select("item_id", code, "text").mapInArrow(_items(least), "item_id long, code string, item array<long>, seeds array<long>, counts array<long>").dropDuplicates(["code"]), "items")
+    items = materialize(benchmark.select("item_id", code, "text").transform(map_batches, _items(least), "item_id long, code string, item array<long>, seeds array<long>, counts array<long>").dropDuplicates(["code"]), "items")
     table, bits = _table(items.select(F.explode("seeds").alias("seed")).distinct())
-    hits = materialize(docs.where("text is not null").select(text_key().alias("key"), "text").mapInArrow(_hits(table, bits, least), "key binary, parts array<long>, seeds array<long>").dropDuplicates(["key"]), "hits")
+    hits = materialize(docs.where("text is not null").select(text_key().alias("key"), "text").transform(map_batches, _hits(table, bits, least), "key binary, parts array<long>, seeds array<long>").dropDuplicates(["key"]), "hits")
     found = hits.select("key", F.explode("seeds").alias("seed"))
     common = found.groupBy("seed").agg(F.count("*").alias("df"))
     own = items.select("code", F.size("item").alias("n"), F.explode(F.arrays_zip("seeds", "counts")).alias("x")).select("code", "n", F.col("x.seeds").alias("seed"), F.col("x.counts").alias("times")).join(common, "seed")
@@ -215,7 +215,7 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame, least: int = 5, share: fl
     joining = own.withColumn("ahead", ahead).where(F.col("ahead") >= F.ceil(F.col("n") * (share / least) - 1e-9)).select("code", "seed")
     pairs = found.join(joining, "seed").select("key", "code").distinct()
     both = pairs.join(hits.select("key", "parts"), "key").join(items.select("item_id", "code", "item", F.size("item").cast("long").alias("n_item")), "code")
-    return both.select("key", "item_id", "n_item", "parts", "item").mapInArrow(_tiled(least, share - 1e-9), "key binary, item_id long, n_item long, covered long, n_tiles long")
+    return both.select("key", "item_id", "n_item", "parts", "item").transform(map_batches, _tiled(least, share - 1e-9), "key binary, item_id long, n_item long, covered long, n_tiles long")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 5, share: float = 0.6) -> DataFrame:

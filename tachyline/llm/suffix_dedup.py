@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import U64, Hasher, by_filter, chunks, key_filter, materialize, row_key, texts_of
+from .common import U64, Hasher, by_filter, chunks, key_filter, map_batches, materialize, row_key, texts_of
 from .induced_sort import common_prefixes, suffix_array
 
 SHARD_BYTES = 2 << 20
@@ -207,7 +207,7 @@ def dealt(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataFrame | No
     """The contexts of anchors that fit a shard (anchor, count, context, keys, starts), and the windows of wide
     anchors (high, low, key, start), if there are any."""
     texts = docs.select(row_key().alias("key"), "text").where(F.octet_length("text") >= length)
-    found = materialize(texts.mapInArrow(_anchor_rows(length), "key binary, anchor long, start int, count int, owners int, context long"), "anchors")
+    found = materialize(texts.transform(map_batches, _anchor_rows(length), "key binary, anchor long, start int, count int, owners int, context long"), "anchors")
     counts = materialize(found.groupBy("anchor").agg(F.sum("owners").alias("n")).where("n > 1"), "counts")
     hot = F.col("n") * HOT_SHARE > found.agg(F.coalesce(F.sum("owners"), F.lit(0))).first()[0]  # fewer than HOT_SHARE anchors, so they are broadcast
 
@@ -224,15 +224,15 @@ def dealt(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataFrame | No
     windows = None
     narrow = counts
     if not wide.isEmpty():
-        windows = with_texts(of(counts.join(wide, "anchor", "left_semi")), "wide_own").mapInArrow(_windows(length), "high long, low long, key binary, start long")
+        windows = with_texts(of(counts.join(wide, "anchor", "left_semi")), "wide_own").transform(map_batches, _windows(length), "high long, low long, key binary, start long")
         narrow = counts.join(wide, "anchor", "left_anti")
-    return with_texts(of(narrow), "own").mapInArrow(_contexts(length), "anchor long, count int, context binary, keys binary, starts binary"), windows
+    return with_texts(of(narrow), "own").transform(map_batches, _contexts(length), "anchor long, count int, context binary, keys binary, starts binary"), windows
 
 
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """``docs`` (doc_id, text, ...) -> key, spans: by ``row_key`` of a document, the byte ranges that repeated windows cover."""
     contexts, windows = dealt(docs, length)
-    spans = contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length), "key binary, start long, end long")
+    spans = contexts.repartition("anchor").sortWithinPartitions("anchor").transform(map_batches, _shards(length), "key binary, start long, end long")
     if windows is not None:
         windows = materialize(windows, "windows")
         again = materialize(windows.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "again")
@@ -277,7 +277,7 @@ def suffix_dedup(docs: DataFrame, length: int = 400) -> DataFrame:
     rows, table = docs.select("doc_id", "text", row_key().alias("key")), key_filter(spans)
     cut = by_filter(rows, table).join(spans, "key", "left").select("doc_id", "text", "spans")
     whole = by_filter(rows, table, maybe=False).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
-    return cut.unionByName(whole).mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    return cut.unionByName(whole).transform(map_batches, _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
 
 
 def op10_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import LOWER, U64, Hasher, chunks, classes, materialize, texts_of, words
+from .common import LOWER, U64, Hasher, chunks, classes, map_batches, materialize, texts_of, words
 
 #: Labelled documents that a model is fitted on, at most; those whose identifiers have the smallest hashes.
 SAMPLE = 8000
@@ -114,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FE
     Of rows that share a doc_id the smallest text counts, so ``sample`` bounds what is gathered."""
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     own = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.first("grade").alias("grade"), F.min("text").alias("text"))  # one row for a doc_id
-    rows = materialize(own.select("grade", "text").mapInArrow(_sampled, "grade int, n_words long, features array<int>, counts array<int>"), "sampled")  # the sample is bounded
+    rows = materialize(own.select("grade", "text").transform(map_batches, _sampled, "grade int, n_words long, features array<int>, counts array<int>"), "sampled")  # the sample is bounded
     n, toxic = rows.agg(F.count("*"), F.count_if(F.col("grade") > 0)).first()
     nothing = Model(np.zeros(1 << BITS), np.array([50.0, 51.0]))
     if not toxic or toxic == n:
@@ -133,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FE
                 out.append((grade, words_, [x for x, _ in own], [y for _, y in own]))
             yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())), strict=True)], ["grade", "n_words", "features", "counts"])
 
-    table = rows.mapInArrow(pick, rows.schema).orderBy("grade", "n_words", "features").toArrow()  # at most ``sample`` rows
+    table = rows.transform(map_batches, pick, rows.schema).orderBy("grade", "n_words", "features").toArrow()  # at most ``sample`` rows
     lengths = np.array([len(x) for x in table.column("features").to_pylist()])
     column = np.concatenate([np.array(x, np.int64) for x in table.column("features").to_pylist()])
     count = np.concatenate([np.array(x, np.float64) for x in table.column("counts").to_pylist()])
@@ -166,7 +166,7 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.5) -> Dat
     """
     docs = docs.drop("severity", "grade", "toxic")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_scored(model, threshold), f"{schema}, severity double, grade int, toxic boolean")
+    return docs.transform(map_batches, _scored(model, threshold), f"{schema}, severity double, grade int, toxic boolean")
 
 
 def op9_toxicity_severity(spark, sf_dir: str) -> DataFrame:

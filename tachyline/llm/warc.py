@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize
+from .common import map_batches, materialize
 
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 8 << 20
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed values of the format
@@ -133,7 +133,7 @@ def bundles(pages: DataFrame, least: int = 100) -> DataFrame:
     first = named.groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"), F.count("*").alias("times")).where("times > 1")
     # The payloads meet their references by page, not by digest, so copies of one page spread over all tasks.
     later = named.select("page_id", "digest").join(first, "digest").where("first.page_id < page_id").select("page_id", "digest", F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_url")).distinct()
-    return rows.join(later, ["page_id", "digest"], "left").select("page_id", "url", "html", "digest", "refers_to", "refers_url").mapInArrow(_pack, BUNDLE)
+    return rows.join(later, ["page_id", "digest"], "left").select("page_id", "url", "html", "digest", "refers_to", "refers_url").transform(map_batches, _pack, BUNDLE)
 
 
 def _records(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +158,7 @@ def _records(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_records(archive: DataFrame) -> DataFrame:
     """All records of bundles: page_id, payload_bytes, payload_digest (of the bytes read), record_type, refers_to, url, payload."""
-    return archive.mapInArrow(_records, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
+    return archive.transform(map_batches, _records, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
 
 
 def index(archive: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def index(archive: DataFrame) -> DataFrame:
                 n = len(ids) // 8
                 yield pa.RecordBatch.from_arrays([pa.array(struct.unpack(f"<{n}q", ids), pa.int64()), pa.array([bundle] * n), pa.array(struct.unpack(f"<{n}I", frames), pa.int64()), pa.array(struct.unpack(f"<{n}I", offsets), pa.int64())], ["page_id", "bundle", "frame", "offset"])
 
-    return archive.select("bundle", "ids", "frames", "offsets").mapInArrow(run, "page_id long, bundle string, frame long, offset long")
+    return archive.select("bundle", "ids", "frames", "offsets").transform(map_batches, run, "page_id long, bundle string, frame long, offset long")
 
 
 def export(archive: DataFrame, folder: str) -> DataFrame:
@@ -185,7 +185,7 @@ def export(archive: DataFrame, folder: str) -> DataFrame:
                 os.replace(part_name, f"{folder}/{bundle}")
                 yield pa.RecordBatch.from_arrays([pa.array([bundle]), pa.array([len(data)], pa.int64())], ["bundle", "bytes"])
 
-    return archive.select("bundle", "data").mapInArrow(run, "bundle string, bytes long")
+    return archive.select("bundle", "data").transform(map_batches, run, "bundle string, bytes long")
 
 
 def op7_warc_bundles(spark, sf_dir: str) -> DataFrame:
