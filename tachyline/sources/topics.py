@@ -108,3 +108,31 @@ def control(dumps: DataFrame) -> DataFrame:
     text = _got(p, r'extra:\s*[\s\S]*?json:\s*"([\s\S]*)')
     value = lambda name: _got(text, r'"[\\\s]*' + name + r'[\\\s]*"[\\\s]*:\s*(-?[0-9]+\.?[0-9]*|-?\.[0-9]+)').try_cast("double").alias(name)
     return rows.select(*(c for c in rows.columns if c not in ("stamp", "paragraph")), *(value(n) for n in ("slope_acc", "acc_ref", "acc_wheel", "acc_ego_real")))
+
+
+def _matched(rows: DataFrame, messages: DataFrame, keys: list[str], ref: str, values: list[str]) -> DataFrame:
+    """``rows`` with the values of the message nearest to the time ``ref`` that each names, the earlier if as near; null without one."""
+    from ..operators.alignment import asof
+
+    named = asof(rows.where(F.col(ref).isNotNull()).withColumn("at_ms__", F.col(ref)), messages.select(*keys, F.col("at_ms").alias("at_ms__"), *values), keys, "at_ms__", values).drop("at_ms__", "match_t", "gap")
+    none = rows.where(F.col(ref).isNull()).select("*", *(F.lit(None).cast(messages.schema[v].dataType).alias(v) for v in values))
+    return named.select(*none.columns).unionByName(none)
+
+
+def frames(plans: DataFrame, things: DataFrame, vehicle: DataFrame, keys: list[str]) -> DataFrame:
+    """Planning messages with the object and chassis messages that they were made from, as planner frames (``plans.planner``).
+
+    A message that names no time borrows that of the message before, if the one behind names one as well. The pedal tells an
+    override where its own field is missing.
+    """
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*keys).orderBy("at_ms")
+    rows = plans
+    for ref in ("objects_ms", "chassis_ms"):
+        rows = rows.withColumn(ref, F.coalesce(ref, F.when(F.lead(ref).over(w).isNotNull(), F.lag(ref).over(w))))
+    seen = things.withColumn("objects_at", F.col("at_ms"))
+    rows = _matched(rows, seen, keys, "objects_ms", ["objects", "objects_at"])
+    rows = _matched(rows, vehicle.withColumn("over", F.coalesce("override", F.col("pedal") > 0, F.lit(False))), keys, "chassis_ms", ["acceleration", "speed", "over", "still"])
+    us = lambda x: (F.col(x) * 1000).cast("long")
+    return rows.select(*keys, us("at_ms").alias("us"), "np_on", F.col("over").alias("override"), "speed", "acceleration", F.coalesce("still", F.lit(False)).alias("still"), "set_speed", "red_light", "stop_distance", "lead_id", us("objects_at").alias("objects_us"), F.lit(True).alias("primary"), F.coalesce("objects", F.from_json(F.lit("[]"), f"array<struct<{OBJECT.replace(' ', ':')}>>".replace(",:", ","))).alias("objects"))

@@ -91,3 +91,17 @@ def test_chassis_and_control_messages(spark):
 def test_dumps_are_read_whole(spark, tmp_path):
     (tmp_path / "x_chassis.txt").write_text(CHASSIS)
     assert T.chassis(T.read_dumps(spark, [str(tmp_path / "x_chassis.txt")])).count() == 1
+
+
+def test_frames_take_the_messages_that_they_name(spark):
+    from tachyline.plans import planner as P
+
+    plans = spark.createDataFrame([("a", 1000.0, True, False, 9.0, 60.0, 7, 990.0, 995.0), ("a", 1100.0, True, False, 9.0, 60.0, 7, None, 1095.0), ("a", 1200.0, True, True, 9.0, 60.0, None, 1190.0, None)], "path string, at_ms double, np_on boolean, red_light boolean, stop_distance double, set_speed double, lead_id long, objects_ms double, chassis_ms double")
+    things = spark.createDataFrame([("a", 980.0, [(7, 30.0, 0.0, 9.5, 8.0, 0.0, 4.5)]), ("a", 1190.0, [])], f"path string, at_ms double, objects array<struct<{T.OBJECT.replace(', ', ',').replace(' ', ':')}>>")
+    vehicle = spark.createDataFrame([("a", 990.0, -1.0, 10.0, 5.0, None, False), ("a", 1000.0, -2.0, 9.0, 5.0, False, False)], "path string, at_ms double, acceleration double, speed double, pedal double, override boolean, still boolean")
+    one, two, three = T.frames(plans, things, vehicle, ["path"]).orderBy("us").collect()
+    assert (one.acceleration, one.override, one.objects_us, len(one.objects)) == (-1.0, True, 980000, 1)
+    assert (two.acceleration, two.override, two.objects_us, len(two.objects)) == (-2.0, False, 980000, 1)
+    assert (three.acceleration, three.speed, three.objects_us, three.objects) == (None, None, 1190000, [])
+    seen = P.candidates(T.frames(plans, things, vehicle, ["path"])).orderBy("us").select("unmatched", "clear").collect()
+    assert [tuple(r) for r in seen] == [(False, True), (False, True), (False, True)]
