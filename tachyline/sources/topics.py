@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 NUMBER = r"(-?[0-9]+\.?[0-9]*)"
-#: A mark that no dump holds, for cutting.
-CUT = "\u0001"
 
 
 def read_dumps(spark, paths: list[str]) -> DataFrame:
@@ -21,9 +19,10 @@ def read_dumps(spark, paths: list[str]) -> DataFrame:
 def paragraphs(dumps: DataFrame, marker: str) -> DataFrame:
     """The other columns of ``dumps`` (text, ...), position, stamp (19 digits) and paragraph."""
     head = r"([0-9]{19})\s+" + marker + r":\s*"
-    parts = F.split(F.regexp_replace("text", head, CUT + "$1" + CUT), CUT)
-    rows = dumps.select(*(c for c in dumps.columns if c != "text"), F.posexplode(F.transform(F.sequence(F.lit(1), F.floor((F.size(parts) - 1) / 2).cast("int")), lambda k: F.struct(F.get(parts, 2 * k - 1).alias("stamp"), F.rtrim(F.get(parts, 2 * k)).alias("paragraph")))).alias("position", "p"))
-    return rows.where("p.stamp is not null").select(*(c for c in rows.columns if c != "p"), "p.stamp", "p.paragraph")
+    stamps = F.regexp_extract_all("text", F.lit(head), 1)
+    bodies = F.slice(F.split("text", head, -1), 2, 2**31 - 1)
+    rows = dumps.select(*(c for c in dumps.columns if c != "text"), F.posexplode(F.arrays_zip(stamps.alias("stamp"), bodies.alias("body"))).alias("position", "p"))
+    return rows.select(*(c for c in rows.columns if c != "p"), F.col("p.stamp").alias("stamp"), F.rtrim("p.body").alias("paragraph"))
 
 
 def _got(text: Column, pattern: str) -> Column:
