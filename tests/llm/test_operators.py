@@ -803,10 +803,5 @@ def test_cuts_of_an_anchor_with_more_contexts_than_a_shard_holds(spark, monkeypa
 def test_cuts_on_awkward_tables(awkward, nothing):
     df, rows = awkward
     got = suffix_dedup.suffix_dedup(df).collect()
-    want = brute_cut([t for _, t in rows if t is None or len(t) < 5000], 400)
-    assert len(got) == len(rows)
-    by = defaultdict(list)
-    for r in got:
-        by[r.doc_id].append((r.n_bytes, r.n_removed))
-    assert by[6][0][0] == by[6][0][1] and by[11] == [(900, 900)] and by[-8] == [(1400, 1400)] and by[1] == [(0, 0)]
-    assert len(want) < len(rows) and suffix_dedup.suffix_dedup(nothing).count() == 0
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(brute_cut([t for _, t in rows], 400))
+    assert suffix_dedup.suffix_dedup(nothing).count() == 0
