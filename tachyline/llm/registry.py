@@ -1,6 +1,6 @@
 """The queries of this subpackage, and the SQL for those that SQL can express."""
 
-from . import chat_format, language_id, merkle, ngram_join, pieces, secret_scan, string_tiling, suffix_dedup, toxicity, warc
+from . import chat_format, language_id, merkle, ngram_join, pieces, secret_scan, string_tiling, suffix_dedup, token_store, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_toxicity_severity": toxicity.op9_toxicity_severity,
     "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
+    "op11_token_store": token_store.op11_token_store,
 }
 ORACLE = {
     "op1_ngram_jaccard_join": ngram_join.SQL,
