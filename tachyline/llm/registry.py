@@ -1,6 +1,6 @@
 """The queries of this subpackage, and the SQL for those that SQL can express."""
 
-from . import chat_format, language_id, merkle, ngram_join, pieces, secret_scan, string_tiling, suffix_dedup, token_store, toxicity, warc
+from . import chat_format, language_id, manifest, merkle, ngram_join, pieces, secret_scan, string_tiling, suffix_dedup, token_store, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_toxicity_severity": toxicity.op9_toxicity_severity,
     "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
     "op11_token_store": token_store.op11_token_store,
+    "op12_merkle_manifest": manifest.op12_merkle_manifest,
 }
 ORACLE = {
     "op1_ngram_jaccard_join": ngram_join.SQL,
@@ -21,4 +22,5 @@ ORACLE = {
     "op5_chat_formatting": chat_format.SQL,
     "op7_warc_bundles": warc.SQL,
     "op10_suffix_array_dedup": suffix_dedup.SQL,
+    "op12_merkle_manifest": manifest.SQL,
 }
