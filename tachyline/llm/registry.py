@@ -1,6 +1,6 @@
 """The queries of this subpackage, and the SQL for those that SQL can express."""
 
-from . import chat_format, language_id, manifest, merkle, ngram_join, pieces, secret_scan, string_tiling, suffix_dedup, token_store, toxicity, warc
+from . import chat_format, language_id, manifest, merkle, ngram_join, pieces, prefix_trie, secret_scan, string_tiling, suffix_dedup, token_store, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
     "op11_token_store": token_store.op11_token_store,
     "op12_merkle_manifest": manifest.op12_merkle_manifest,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 ORACLE = {
     "op1_ngram_jaccard_join": ngram_join.SQL,
@@ -23,4 +24,5 @@ ORACLE = {
     "op7_warc_bundles": warc.SQL,
     "op10_suffix_array_dedup": suffix_dedup.SQL,
     "op12_merkle_manifest": manifest.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
