@@ -34,7 +34,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_numbered_query_is_registered():
     names = __spark_entry__.queries()
-    assert [n for n in range(1, 11) if not any(re.match(rf"op{n}_", x) for x in names)] == [] and "pipeline" in names
+    assert [n for n in range(1, 14) if not any(re.match(rf"op{n}_", x) for x in names)] == [] and "pipeline" in names
 
 
 def test_pipeline_stages(spark):
