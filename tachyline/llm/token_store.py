@@ -184,10 +184,10 @@ def token_files(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
 
 def with_starts(files: DataFrame) -> DataFrame:
-    """Written ``files`` with ``start``: the tokens before each file in the whole corpus. One row for each range is summed."""
+    """Written ``files`` with ``start``: the tokens before each file in the whole corpus. One row for each range of the sort is summed and broadcast."""
     ranges = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    return files.join(ranges.select("part", F.coalesce(before, F.lit(0)).alias("earlier")), "part").withColumn("start", F.col("earlier") + F.col("before")).drop("earlier")
+    return files.join(F.broadcast(ranges.select("part", F.coalesce(before, F.lit(0)).alias("earlier"))), "part").withColumn("start", F.col("earlier") + F.col("before")).drop("earlier")
 
 
 def _documents(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,12 +14,13 @@ from __future__ import annotations
 import re
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
 END_ID = 1
 #: Distinct words, and pieces, that a process remembers.
-WORDS, PIECES = 1 << 18, 1 << 18
+WORDS, PIECES = 1 << 19, 1 << 19
 #: Bytes of a text that are cut into words at a time.
 SEGMENT = 1 << 20
 _GAP = re.compile(rb"[\t-\r ]")
@@ -68,21 +69,25 @@ class WordEncoder:
         self.begin, self.length, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
         self.used = 0
 
-    def _piece(self, piece: str) -> list[int]:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            found = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.names))]
-        return found
+    def _cut(self, word: str) -> list[int]:
+        """The identifiers of a word of Latin letters, piece by piece."""
+        out, known = [], self.pieces
+        for piece in _PIECE.findall(word.lower()):
+            found = known.get(piece)
+            if found is None:
+                if len(known) >= PIECES:
+                    known.clear()
+                found = known[piece] = tuple([t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.names))])
+            out += found
+        return out
 
     def _learn(self) -> None:
         """Identifiers of the words noted by ``places``."""
         texts = [w.decode() for w in self.places.fresh]
         plain = [(t.isascii() or (max(t) < _PLAIN and "İ" not in t)) and "<|" not in t for t in texts]
         whole = iter(self.tokenizer.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
-        found = [[i for piece in _PIECE.findall(t.lower()) for i in self._piece(piece)] if p else next(whole).ids for t, p in zip(texts, plain, strict=True)]
-        n, first = np.array([len(x) for x in found], np.int64), len(self.places) - len(texts)
+        found = [self._cut(t) if p else next(whole).ids for t, p in zip(texts, plain, strict=True)]
+        n, first = np.fromiter(map(len, found), np.int64, len(found)), len(self.places) - len(texts)
         total = int(n.sum())
         for name, need in (("begin", len(self.places)), ("length", len(self.places)), ("flat", self.used + total)):
             old = getattr(self, name)
@@ -90,7 +95,7 @@ class WordEncoder:
                 setattr(self, name, np.concatenate([old, np.zeros(max(need, 2 * len(old)) - len(old), old.dtype)]))
         self.begin[first : len(self.places)] = self.used + np.cumsum(n) - n
         self.length[first : len(self.places)] = n
-        self.flat[self.used : self.used + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
         self.used += total
         self.places.fresh = []
 
