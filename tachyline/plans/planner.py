@@ -1,8 +1,9 @@
 """Scenes and case metrics on planner frames: one row per planning message with the objects seen at that moment.
 
-A frame has recording_id, us, np_on, override, speed (m/s), acceleration, still, set_speed, red_light, stop_distance,
-lead_id, objects_us, primary and ``objects`` (array of id, x, y, ttc, velocity, acceleration, length). Unlike the wide
-frames of ``scenes``, a frame may follow several targets at once, so follow scenes are looked for target by target.
+A frame has recording_id, us, arrival (order in which messages came), np_on, override, speed (m/s), acceleration, still,
+set_speed, red_light, stop_distance, non_straight (turns, changes lane or makes a U-turn), lead_id, objects_us, primary and
+``objects`` (array of id, x, y, ttc, velocity, acceleration, length). Unlike the wide frames of ``scenes``, a frame may
+follow several targets at once, so follow scenes are looked for target by target.
 """
 
 from __future__ import annotations
@@ -63,7 +64,7 @@ def follow_stop(frames: DataFrame) -> DataFrame:
     own = [*KEYS, "target_id", "run"]
     w = Window.partitionBy(*own).orderBy("place")
     steady = F.lag("set_speed").over(w).isNull() | S.holds(F.abs(c("set_speed") - F.lag("set_speed").over(w)) <= 1e-6)
-    moving = c("control") & steady & ~c("still") & ~(c("red_light") & S.holds(c("stop_distance") < 10))
+    moving = c("control") & ~S.holds(c("non_straight")) & steady & ~c("still") & ~(c("red_light") & S.holds(c("stop_distance") < 10))
     rows = rows.withColumn("moving", moving).withColumn("stands", S.holds(F.lead("still").over(w) & F.lead("control").over(w)))
     runs = G.mark_islands(rows, "moving", own, ["place"], "part").where("part is not null")
     begins = F.min(F.when(c("primary") & (c("speed") > 2), c("place"))).over(Window.partitionBy(*own, "part"))
@@ -121,11 +122,11 @@ def _green(least: int, top: float) -> M.Machine:
 
 
 def green_light_start(frames: DataFrame) -> DataFrame:
-    """Starts after a red light that was under 5 m away turns: recording_id, start_us, end_us."""
+    """Starts straight on after a red light that was under 5 m away turns: recording_id, start_us, end_us. A turn later on ends nothing."""
     rows = with_control(candidates(frames))
     w = Window.partitionBy(*KEYS).orderBy("us")
     turned = S.holds(F.lag("red_light").over(w)) & ~c("red_light") & S.holds(F.lag("stop_distance").over(w) < 5)
-    rows = rows.select(*KEYS, "us", "speed", "steady", (turned & c("control") & c("steady") & c("still") & c("clear") & c("primary")).alias("trigger"), (c("control") & c("clear")).alias("holds"))
+    rows = rows.select(*KEYS, "us", "speed", "steady", (turned & c("control") & ~S.holds(c("non_straight")) & c("steady") & c("still") & c("clear") & c("primary")).alias("trigger"), (c("control") & c("clear")).alias("holds"))
     return M.scan(rows, KEYS, ["us"], ["us", "speed", "steady", "trigger", "holds"], _green(LEAST_START, 10.0), "start_us long, end_us long")
 
 
@@ -138,16 +139,23 @@ def _judged(rows: DataFrame, metric: str, low: Column | float | None, high: Colu
 
 
 def _with_jerk(inside: DataFrame, own: list[str]) -> DataFrame:
-    """Jerk over a scene's own samples: its windows end with the scene. Of samples of one time the last counts."""
-    once = inside.withColumn("__r", F.row_number().over(Window.partitionBy(*own, "us").orderBy(F.desc("acceleration")))).where("__r = 1").drop("__r")
-    return W.jerk(once, "acceleration", own, "us")
+    """``inside`` with jerk over a scene's own samples: its windows end with the scene.
+
+    Samples whose acceleration isn't known, and those at no time after 0, have none; of samples of one time the one that
+    came last counts and the others have none.
+    """
+    good = S.finite(c("acceleration")) & (c("us") > 0)
+    last = F.row_number().over(Window.partitionBy(*own, "us", "__good").orderBy(F.desc("arrival"))) == 1
+    rows = inside.withColumn("__good", good).withColumn("__good", c("__good") & last)
+    fitted = W.jerk(rows.where("__good"), "acceleration", own, "us")
+    return fitted.unionByName(rows.where("not __good").withColumn("jerk", F.lit(None).cast("double"))).drop("__good")
 
 
 def follow_stop_cases(frames: DataFrame) -> DataFrame:
     """The four metrics of ``follow_stop``: time to collision as the vehicle begins to brake (at -0.5), strongest braking against a
     bound by the first speed, strongest jerk, and the least time to collision from the target's braking to the vehicle's stop."""
     scenes = follow_stop(frames)
-    rows = target_frames(with_control(candidates(frames))).select(*KEYS, "target_id", "us", "speed", "acceleration", c("target.ttc").alias("ttc"), c("target.acceleration").alias("target_acc"))
+    rows = target_frames(with_control(candidates(frames))).select(*KEYS, "target_id", "us", "arrival", "speed", "acceleration", c("target.ttc").alias("ttc"), c("target.acceleration").alias("target_acc"))
     own = [*KEYS, "target_id", "start_us", "end_us"]
     inside = _with_jerk(samples_in(rows.withColumnRenamed("target_id", "tid"), scenes).where("tid = target_id"), own)
     whole = Window.partitionBy(*own)
@@ -168,7 +176,7 @@ def follow_stop_cases(frames: DataFrame) -> DataFrame:
 
 def red_light_cases(frames: DataFrame, powertrain: str = "PHEV") -> DataFrame:
     """The metrics of ``red_light_stop``: strongest jerk, and the least distance to the stop line (1.3 m from the sensor on)."""
-    inside = _with_jerk(samples_in(frames.select(*KEYS, "us", "acceleration", "stop_distance"), red_light_stop(frames)), [*KEYS, "start_us", "end_us"])
+    inside = _with_jerk(samples_in(frames.select(*KEYS, "us", "arrival", "acceleration", "stop_distance"), red_light_stop(frames)), [*KEYS, "start_us", "end_us"])
     least = lambda x: F.min(F.when(c(x).isNotNull() & ~F.isnan(x), F.struct(c(x).alias("v"), "us")))
     one = inside.groupBy(*KEYS, "start_us", "end_us").agg(least("jerk").alias("jerk"), least("stop_distance").alias("line"))
     jerk = _judged(one.withColumn("value", c("jerk.v")).withColumn("at_us", c("jerk.us")), "redlight_min_jerk", S.by_powertrain(powertrain, -2.3, -2.0), None, 1)
@@ -179,7 +187,7 @@ def green_light_cases(frames: DataFrame, powertrain: str = "PHEV") -> DataFrame:
     """The metrics of ``green_light_start``: time to move (the second frame in a row above 0.2 m/s), strongest acceleration and
     jerk, and the time from 0.5 to 8 m/s. Times look beyond the scene."""
     scenes = green_light_start(frames)
-    inside = _with_jerk(samples_in(frames.select(*KEYS, "us", "acceleration"), scenes), [*KEYS, "start_us", "end_us"])
+    inside = _with_jerk(samples_in(frames.select(*KEYS, "us", "arrival", "acceleration"), scenes), [*KEYS, "start_us", "end_us"])
     most = lambda x: F.min(F.when(c(x).isNotNull() & ~F.isnan(x), F.struct((-c(x)).alias("v"), "us")))
     one = inside.groupBy(*KEYS, "start_us", "end_us").agg(most("acceleration").alias("acc"), most("jerk").alias("jerk"))
     back = Window.partitionBy(*KEYS).orderBy(F.desc("us"))
