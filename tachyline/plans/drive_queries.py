@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import gated as X, metrics as MT, planner as P, scenes as SC, torque as T
+from . import gated as X, metrics as MT, planner as P, scenes as SC, stitched as ST, torque as T
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,7 @@ SIGNALS = {
     "acc_request_state": "CASE WHEN q = 3 AND k > 20 THEN 2 ELSE 1 END", "brake_request_type": "CASE WHEN k > 55 THEN 5 ELSE 0 END", "gear": "12", "tcs_active": "CASE WHEN q = 6 AND k BETWEEN 5 AND 9 THEN 1 ELSE 0 END", "vse_active": "CASE WHEN q = 7 AND k % 40 = 3 THEN 1 ELSE 0 END",
     **{f"wheel_dir_{w}": "CASE WHEN q = 4 AND k BETWEEN 60 AND 70 THEN 4 ELSE 1 END" for w in ("lf", "rf", "lr", "rr")}, **{f"wheel_speed_{w}": f"CASE WHEN k > {60 + i} THEN 2e-2 ELSE 0e0 END" for i, w in enumerate(("lf", "rf", "lr", "rr"))},
     "actual_drive_torque": "1e2 + 12e1 * greatest(acc, 0e0)", "actual_brake_torque": "15e1 * greatest(-acc, 0e0)", "red_light": "CASE WHEN event_type = 'click' AND p < 5 AND q <> 3 AND k NOT BETWEEN 50 AND 55 THEN 1 ELSE 0 END", "stop_distance": "1e0 + q * 5e-1 + greatest(78 - k, 0) * 15e-1", "lead_id": "CASE WHEN p = 9 THEN 99 WHEN p >= 7 THEN 1 + q % 2 ELSE -1 END", "digit": "q",
+    "turning": "CASE WHEN q = 6 AND k BETWEEN 40 AND 60 THEN 1 WHEN q = 2 AND k BETWEEN 5 AND 25 THEN 1 WHEN q % 4 = 0 AND p % 3 = 0 AND k < 8 THEN 1 ELSE 0 END",
     "control_brake_request_torque": "CASE WHEN q = 8 AND k BETWEEN 60 AND 65 THEN 4e2 ELSE 0e0 END",
 }
 
@@ -119,11 +120,12 @@ FROM (SELECT *, lag(m) OVER w AS pm{', ' + other[4:] + ' AS fresh' if split else
 
 SCENE_SQL["slope_no_front"] = f""", on0 AS ({_chains("f", "ctl AND NOT still AND abs(9.80665e0 * sin(radians(slope_deg))) >= 0.1 AND (NOT front OR (front_range > 50 AND ttc > 20)) AND (NOT cutin OR (front_range > 50 AND ttc > 20)) AND curv_speed_limit >= mps AND set_speed > 0", "set_speed")}),
 on1 AS (SELECT recording_id, g, i, us, abs(mps - set_speed / 3.6e0) <= 0.3 + 1e-9 AS inside, count(*) OVER (PARTITION BY recording_id, g) AS size FROM on0),
-st AS (SELECT recording_id, g, 0::BIGINT AS i, NULL::BIGINT AS since, NULL::BIGINT AS start_, NULL::BIGINT AS away, NULL::BIGINT AS before_, NULL::BIGINT AS last, NULL::BIGINT AS oa, NULL::BIGINT AS ob FROM on1 WHERE i = 1
+st AS (SELECT recording_id, g, 0::BIGINT AS i, NULL::BIGINT AS since, NULL::BIGINT AS start_, NULL::BIGINT AS away, NULL::BIGINT AS before_, NULL::BIGINT AS last, NULL::BIGINT AS oa, NULL::BIGINT AS ob, NULL::BIGINT AS cand, true AS was_cut FROM on1 WHERE i = 1
 UNION ALL SELECT recording_id, g, i + 1, CASE WHEN cut THEN NULL WHEN start_ IS NULL THEN CASE WHEN inside THEN coalesce(since, us) END ELSE since END, CASE WHEN cut THEN NULL WHEN start_ IS NULL AND inside AND us - coalesce(since, us) >= 1000000 THEN us ELSE start_ END,
-  CASE WHEN cut OR inside OR start_ IS NULL THEN NULL ELSE coalesce(away, us) END, CASE WHEN start_ IS NOT NULL AND NOT inside AND away IS NULL THEN last ELSE before_ END, us, CASE WHEN cut AND before_ - start_ >= 5000000 THEN start_ END, CASE WHEN cut THEN before_ END
+  CASE WHEN cut OR inside OR start_ IS NULL THEN NULL ELSE coalesce(away, us) END, CASE WHEN start_ IS NOT NULL AND NOT inside AND away IS NULL THEN last ELSE before_ END, us, CASE WHEN cut AND before_ - start_ >= 5000000 THEN start_ END, CASE WHEN cut THEN before_ END,
+  CASE WHEN was_cut THEN us ELSE cand END, cut
   FROM (SELECT st.*, n.us, n.inside, start_ IS NOT NULL AND NOT n.inside AND away IS NOT NULL AND n.us - away >= 2000000 AS cut FROM st JOIN on1 n ON n.recording_id = st.recording_id AND n.g = st.g AND n.i = st.i + 1)),
-g AS (SELECT recording_id, oa AS start_us, ob AS end_us FROM st WHERE oa IS NOT NULL UNION ALL SELECT recording_id, start_, CASE WHEN away IS NULL THEN last ELSE before_ END FROM st JOIN (SELECT recording_id, g, max(i) AS i FROM on1 GROUP BY ALL) USING (recording_id, g, i) WHERE start_ IS NOT NULL AND CASE WHEN away IS NULL THEN last ELSE before_ END - start_ >= 5000000)"""
+g AS (SELECT recording_id, oa AS start_us, ob AS end_us, cand FROM st WHERE oa IS NOT NULL UNION ALL SELECT recording_id, start_, CASE WHEN away IS NULL THEN last ELSE before_ END, cand FROM st JOIN (SELECT recording_id, g, max(i) AS i FROM on1 GROUP BY ALL) USING (recording_id, g, i) WHERE start_ IS NOT NULL AND CASE WHEN away IS NULL THEN last ELSE before_ END - start_ >= 5000000)"""
 
 
 def _register(name: str, run, sql: str | None) -> None:
@@ -162,7 +164,8 @@ def _out(value: str, low: str | None, high: str | None, base: float) -> str:
     return f"round(greatest({parts[0]}, {parts[1]}) / {base} * 100, 3)"
 
 
-def _case_sql(spec: MT.CaseMetric) -> str | None:
+def _case_sql(spec: MT.CaseMetric, frame: str = FRAME, scenes: str = "g") -> str | None:
+    """SQL of a case metric over the scenes in table ``scenes``."""
     if spec.scene not in SCENE_SQL or spec.measure not in VALUE_SQL:
         return None
     value, at, mark = VALUE_SQL[spec.measure]
@@ -173,14 +176,25 @@ def _case_sql(spec: MT.CaseMetric) -> str | None:
     if spec.measure == "curvature_min_speed":
         severity = f"CASE WHEN wanted / 3.6e0 > sqrt(radius) THEN {_out('value', 'sqrt(radius) - 2', 'sqrt(2.9 * radius) + 2', spec.base)} ELSE 0 END"
     missing = 100 if spec.bad_when_missing else 0
-    return FRAME + JERK + SCENE_SQL[spec.scene] + f""",
-z0 AS (SELECT jf.*, start_us, end_us, min(CASE WHEN acceleration > 0.2 THEN us END) OVER (PARTITION BY g.recording_id, start_us) AS bu FROM g JOIN jf ON jf.recording_id = g.recording_id AND us BETWEEN start_us AND end_us),
+    return frame + JERK + SCENE_SQL[spec.scene] + (OWN_SQL.format(begins=_BEGINS.get(spec.scene, "start_us")) if scenes == "own" else "") + f""",
+z0 AS (SELECT jf.*, start_us, end_us, min(CASE WHEN acceleration > 0.2 THEN us END) OVER (PARTITION BY g.recording_id, start_us) AS bu FROM {scenes} g JOIN jf ON jf.recording_id = g.recording_id AND us BETWEEN start_us AND end_us),
 z1 AS (SELECT z0.*, mn FROM z0 JOIN (SELECT recording_id, start_us, {mark} AS mn FROM z0 GROUP BY ALL) USING (recording_id, start_us)),
 z2 AS (SELECT recording_id, start_us, end_us, {value} AS value, {at} AS at_us, min_by(mps, us) AS v0, min(1 / bend) FILTER (bend > 1e-9) AS radius, min_by(set_speed, us) FILTER (mps = mn) AS wanted FROM z1 GROUP BY recording_id, start_us, end_us),
 z3 AS (SELECT *, coalesce({severity}, {missing}) AS severity FROM z2)
 SELECT '{spec.name}' AS metric, recording_id, start_us, end_us, round(value, 6) AS value, at_us, severity > 0 AS bad, severity FROM z3"""
 
 
+#: The scenes that a recording owns, in the SQL of stitched recordings.
+_BEGINS = {"slope_no_front": "cand"}
+OWN_SQL = """,
+own AS (
+  SELECT g.*
+  FROM g
+  JOIN owners ON owners.recording_id = g.recording_id
+  WHERE {begins} <= last_us
+    AND NOT (has_previous AND {begins} = first_us))"""
+
+
 def _case(name: str):
     def run(spark, sf_dir):
         return MT.evaluate(drives(spark, sf_dir), POWERTRAIN, [name]).withColumn("value", F.round("value", 6))
@@ -349,7 +363,7 @@ def planner_frames(spark, sf_dir: str) -> DataFrame:
     second = F.when(c("digit") % 2 == 0, thing(F.lit(9), F.lit(45.0), 1.0, F.lit(50.0), F.lit(10.0), F.lit(0.0)))
     beside = thing(F.lit(8), F.lit(3.0), 3.0, F.lit(2.0), F.lit(5.0), F.lit(0.0))
     return rows.select(
-        "recording_id", "us", c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
+        "recording_id", "us", c("us").alias("arrival"), (c("turning") == 1).alias("non_straight"), c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
         c("lead_id").cast("long").alias("lead_id"), c("us").alias("objects_us"), F.lit(True).alias("primary"), F.filter(F.array(front, second, beside), lambda o: o.isNotNull()).alias("objects"),
     )
 
@@ -368,7 +382,7 @@ bad AS (SELECT DISTINCT recording_id, us FROM ahead WHERE NOT (x > 20 AND ottc >
 pf AS (SELECT jf.*, bad.us IS NULL AS road, row_number() OVER o AS place, coalesce(abs(set_speed - lag(set_speed) OVER o) <= 1e-6, true) AS steady FROM jf LEFT JOIN bad ON bad.recording_id = jf.recording_id AND bad.us = jf.us WINDOW o AS (PARTITION BY jf.recording_id ORDER BY jf.us))"""
 )
 FOLLOW = PLANNER + """, tf AS (SELECT pf.*, id, ottc, oacc, place - row_number() OVER (PARTITION BY pf.recording_id, id ORDER BY place) AS run FROM tg JOIN pf ON pf.recording_id = tg.recording_id AND pf.us = tg.us),
-tm AS (SELECT *, ctl AND NOT still AND NOT (red_light = 1 AND stop_distance < 10) AS mv, coalesce(lead(still AND ctl) OVER w, false) AS stands FROM tf WINDOW w AS (PARTITION BY recording_id, id, run ORDER BY place)),
+tm AS (SELECT *, ctl AND turning = 0 AND NOT still AND NOT (red_light = 1 AND stop_distance < 10) AS mv, coalesce(lead(still AND ctl) OVER w, false) AS stands FROM tf WINDOW w AS (PARTITION BY recording_id, id, run ORDER BY place)),
 tp AS (SELECT *, sum(CASE WHEN mv AND NOT coalesce(pm, false) THEN 1 ELSE 0 END) OVER (PARTITION BY recording_id, id, run ORDER BY place) AS part FROM (SELECT *, lag(mv) OVER (PARTITION BY recording_id, id, run ORDER BY place) AS pm FROM tm)),
 tb AS (SELECT *, min(CASE WHEN mps > 2 THEN place END) OVER (PARTITION BY recording_id, id, run, part) AS first FROM tp WHERE mv),
 g AS (SELECT recording_id, id AS target_id, min(us) AS start_us, max(us) AS end_us FROM tb WHERE place >= first GROUP BY recording_id, id, run, part HAVING count(*) > 5 AND max_by(stands, place))"""
@@ -377,7 +391,7 @@ rl AS (SELECT *, sum(CASE WHEN hold THEN 0 ELSE 1 END) OVER (PARTITION BY record
 rr AS (SELECT *, sum(CASE WHEN place - pp <= 20 AND loose = pl THEN 0 ELSE 1 END) OVER (PARTITION BY recording_id ORDER BY us) AS g FROM (SELECT *, lag(place) OVER w AS pp, lag(loose) OVER w AS pl FROM rl WHERE core WINDOW w AS (PARTITION BY recording_id ORDER BY us))),
 rs AS (SELECT recording_id, min(us) FILTER (mps > 2) AS start_us, max(us) AS end_us, max_by(stands, us) AS stands FROM rr GROUP BY recording_id, g),
 g AS (SELECT rs.recording_id, start_us, end_us FROM rs JOIN pf ON pf.recording_id = rs.recording_id AND us BETWEEN start_us AND end_us WHERE stands GROUP BY ALL HAVING count(*) > 5)"""
-GREEN = PLANNER + """, gt AS (SELECT *, lag(red_light) OVER w = 1 AND red_light = 0 AND lag(stop_distance) OVER w < 5 AND ctl AND steady AND still AND road AS trig, ctl AND road AS holds FROM pf WINDOW w AS (PARTITION BY recording_id ORDER BY us)),
+GREEN = PLANNER + """, gt AS (SELECT *, lag(red_light) OVER w = 1 AND red_light = 0 AND lag(stop_distance) OVER w < 5 AND ctl AND turning = 0 AND steady AND still AND road AS trig, ctl AND road AS holds FROM pf WINDOW w AS (PARTITION BY recording_id ORDER BY us)),
 gs AS (SELECT recording_id, us AS start_us, place AS p0, mps AS m0 FROM gt WHERE trig),
 gr AS (SELECT gs.recording_id, start_us, p0, p0 AS place, m0 AS peak, m0 AS v, NULL::DOUBLE AS v1, NULL::DOUBLE AS v2, start_us AS us, 1 AS n, false AS over, false AS gone FROM gs
 UNION ALL SELECT gr.recording_id, start_us, p0, gt.place, CASE WHEN holds THEN greatest(peak, mps) ELSE peak END, mps, v, v1, gt.us, n + 1, holds AND (greatest(peak, mps) >= 10 OR coalesce(mps < v AND v < v1, false)), NOT holds FROM gr JOIN gt ON gt.recording_id = gr.recording_id AND gt.place = gr.place + 1 WHERE NOT over AND NOT gone),
@@ -413,7 +427,7 @@ _OWN, _ONE = "OVER (PARTITION BY g.recording_id, target_id, start_us)", "OVER (P
 def _scene_jerk(base: str, part: str, pick: str) -> str:
     """SQL of ``base`` with the jerk over each scene's own samples and its extreme mn."""
     near = f"(PARTITION BY {part} ORDER BY us RANGE BETWEEN 150000 PRECEDING AND 150000 FOLLOWING)"
-    mean = f"SELECT * EXCLUDE (jerk, smooth, mn), avg(acceleration) OVER {near} AS own_mean FROM ({base})"
+    mean = f"SELECT * EXCLUDE (jerk, smooth, mn), avg(acceleration) OVER {near} AS own_mean FROM ({base}) WHERE us > 0"
     slope = f"SELECT *, CASE WHEN count(*) OVER w >= 3 AND max(us) OVER w - min(us) OVER w >= 150000 THEN regr_slope(own_mean, (us - start_us) / 1e6) OVER w END AS jerk FROM ({mean}) WINDOW w AS {near}"
     return f"SELECT *, {pick}(jerk) OVER (PARTITION BY {part}) AS mn FROM ({slope})"
 
@@ -464,3 +478,72 @@ gf AS (SELECT *, ctl AND CASE WHEN nu IS NULL OR us - bu <= nu - us THEN bn ELSE
 _WHEELS = " AND ".join(f"wheel_dir_{w} = 4 AND abs(wheel_speed_{w}) > 0.01" for w in ("lf", "rf", "lr", "rr"))
 _register("gated_lost_arbitration", _gated(X.lost_arbitration), GATED + f" SELECT {_SPAN} FROM ({runs('gf', 'gctl AND acc_request_state = 2')}) WHERE b - a >= 5000000")
 _register("gated_rollback", _gated(X.rollback), GATED + f" SELECT recording_id, a AS start_us, b AS end_us, round(speed, 3) AS severity FROM ({runs('gf', f'gctl AND brake_request_type = 5 AND gear = 12 AND ego_speed < 0.5 AND {_WHEELS}', 'avg((abs(wheel_speed_lf) + abs(wheel_speed_rf) + abs(wheel_speed_lr) + abs(wheel_speed_rr)) / 4) AS speed')}) WHERE b - a >= 200000")
+
+
+# The same drives, logged as recordings of 24 s that start 1.5 s late or early in turn; after every fourth the logger rests.
+PART = 24_000_000
+
+
+def cut_drives(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(frame, recordings): each recording on its own time from 0."""
+    c = F.col
+    rows = drives(spark, sf_dir).withColumn("vehicle", c("recording_id")).withColumn("part", F.expr(f"us div {PART}"))
+    rows = rows.withColumn("recording_id", c("vehicle") * 100_000 + c("part"))
+    started = c("part") * PART + (F.expr("part div 4") * 20_000_000) + c("part") % 2 * 1_500_000
+    recordings = rows.select("recording_id", "vehicle", started.alias("started_us")).distinct()
+    return rows.withColumn("us", c("us") % PART).drop("vehicle", "part"), recordings
+
+
+_HEAD, _DERIVED = FRAME.split("\nraw AS (")
+_WHOLE, _DERIVED = _DERIVED.split("),\nd0 AS", 1)
+STITCHED = f"""{_HEAD}
+whole AS ({_WHOLE}),
+logged AS (
+  SELECT * REPLACE (recording_id * 100000 + us // {PART} AS recording_id, us % {PART} AS us),
+    recording_id AS vehicle,
+    us // {PART} AS part
+  FROM whole),
+files AS (
+  SELECT vehicle, recording_id, part,
+    part * {PART} + part // 4 * 20000000 + part % 2 * 1500000 AS started,
+    min(us) AS first_us, max(us) AS last_us, count(*) AS n
+  FROM logged
+  GROUP BY vehicle, recording_id, part),
+follows AS (
+  SELECT a.recording_id, b.recording_id AS next_id, a.last_us, a.first_us + (b.started - a.started) - b.first_us AS shift
+  FROM files a
+  JOIN files b ON b.vehicle = a.vehicle AND b.part = a.part + 1
+  WHERE a.n >= 2
+    AND abs((b.started - a.started) - (a.last_us - a.first_us)) <= 5000000),
+owners AS (
+  SELECT recording_id, first_us, last_us, recording_id IN (SELECT next_id FROM follows) AS has_previous
+  FROM files),
+raw AS (
+  SELECT * EXCLUDE (vehicle, part) FROM logged
+  UNION ALL
+  SELECT l.* EXCLUDE (vehicle, part) REPLACE (f.recording_id AS recording_id, l.us + f.shift AS us)
+  FROM follows f
+  JOIN logged l ON l.recording_id = f.next_id
+  WHERE l.us + f.shift > f.last_us),
+d0 AS{_DERIVED}"""
+
+
+def _stitched_scene(name: str):
+    return lambda spark, sf_dir: ST.scene(*cut_drives(spark, sf_dir), name, POWERTRAIN).select("recording_id", "start_us", "end_us")
+
+
+def _stitched_case(name: str):
+    return lambda spark, sf_dir: ST.cases(*cut_drives(spark, sf_dir), POWERTRAIN, [name]).withColumn("value", F.round("value", 6))
+
+
+for _name in SC.SCENES:
+    _own = OWN_SQL.format(begins=_BEGINS.get(_name, "start_us"))
+    _register(f"stitched_scene_{_name}", _stitched_scene(_name), STITCHED + SCENE_SQL[_name] + _own + "\nSELECT recording_id, start_us, end_us FROM own")
+for _name in ("curvature_min_jerk", "follow_stop_ttc", "follow_start_latency", "stop2go_start_time", "slope_no_frnt_vel_fluct"):
+    _register(f"stitched_case_{_name}", _stitched_case(_name), _case_sql(MT.CASES[_name], STITCHED, "own"))
+_register(
+    "stitched_incident_acc_unreasonable_low_speed_count",
+    lambda spark, sf_dir: ST.low_speed(*cut_drives(spark, sf_dir), POWERTRAIN),
+    INCIDENT_SQL["acc_unreasonable_low_speed_count"].replace(FRAME, STITCHED).replace("\nSELECT recording_id, min(us) AS start_us", ",\ng AS (SELECT recording_id, min(us) AS start_us")
+    + ")" + OWN_SQL.format(begins="start_us") + "\nSELECT recording_id, start_us, end_us, severity FROM own",
+)

@@ -16,7 +16,7 @@ from ..functions import scalars as S
 from ..operators import automata as M, segments as G, windows as W
 from ..operators.kpi import rollup, severity_outside
 from . import torque as T
-from .scenes import CELL, KEYS, SCENES, SECOND, follow_start, samples_in
+from .scenes import CELL, KEYS, SCENES, SECOND, follow_start, samples_in, slope_candidates
 
 c = F.col
 
@@ -132,12 +132,19 @@ def with_jerk(frame: DataFrame) -> DataFrame:
     return W.jerk(frame, "acceleration_total", KEYS, "us")
 
 
-def find_scene(frame: DataFrame, scene: str, powertrain: str) -> DataFrame:
+def _all(segments: DataFrame, begins: str = "start_us") -> DataFrame:
+    return segments
+
+
+def find_scene(frame: DataFrame, scene: str, powertrain: str, owned: Callable[..., DataFrame] = _all) -> DataFrame:
+    """Segments of a scene; ``owned`` picks those that count, by the time in column ``begins``."""
     if scene == "follow_start_ego":
-        return follow_start(frame, powertrain, ego_must_start=True)
+        return owned(follow_start(frame, powertrain, ego_must_start=True))
     if scene == "follow_start_latency":
-        return follow_start(frame, powertrain, least=S.by_powertrain(powertrain, 3.5, 3.0))
-    return SCENES[scene](frame, powertrain)
+        return owned(follow_start(frame, powertrain, least=S.by_powertrain(powertrain, 3.5, 3.0)))
+    if scene == "slope_no_front":
+        return owned(slope_candidates(frame, powertrain), "candidate_us").drop("candidate_us")
+    return owned(SCENES[scene](frame, powertrain))
 
 
 def measure(frame: DataFrame, segments: DataFrame, measures: Iterable[str]) -> DataFrame:
@@ -180,13 +187,13 @@ def judge(spec: CaseMetric, measured: DataFrame, powertrain: str) -> DataFrame:
     return rows.select(F.lit(spec.name).alias("metric"), "recording_id", "start_us", "end_us", "value", "at_us", (F.coalesce("severity", F.lit(0.0)) > 0).alias("bad"), F.coalesce("severity", F.lit(0.0)).alias("severity"))
 
 
-def evaluate(frame: DataFrame, powertrain: str = "PHEV", metrics: Iterable[str] | None = None) -> DataFrame:
-    """Cases of the case metrics asked for (all by default) over a prepared frame."""
+def evaluate(frame: DataFrame, powertrain: str = "PHEV", metrics: Iterable[str] | None = None, owned: Callable[..., DataFrame] = _all) -> DataFrame:
+    """Cases of the case metrics asked for (all by default) over a prepared frame, in scenes that ``owned`` picks."""
     specs = [CASES[m] for m in (metrics or CASES)]
     rows, out = with_jerk(frame), []
     for scene in dict.fromkeys(s.scene for s in specs):
         own = [s for s in specs if s.scene == scene]
-        measured = measure(rows, find_scene(rows, scene, powertrain), [s.measure for s in own])
+        measured = measure(rows, find_scene(rows, scene, powertrain, owned), [s.measure for s in own])
         out += [judge(s, measured, powertrain) for s in own]
     return reduce(DataFrame.unionByName, out)
 
@@ -233,7 +240,7 @@ def set_speed_not_reached(frame: DataFrame, powertrain: str = "PHEV") -> DataFra
     return _events(runs, F.greatest(c("wanted") - c("most"), F.lit(0.0)))
 
 
-def steady_speeds(frame: DataFrame) -> DataFrame:
+def steady_speeds(frame: DataFrame, owned: Callable[..., DataFrame] = _all) -> DataFrame:
     """Stretches of 8 s in control with a clear road, a displayed speed that spans less than 1.5 from 5 up, and a constant set
     speed: recording_id, start_us, end_us, deficit (of the fastest sample to the set speed, as displayed)."""
     shown, wanted, limit = S.display_speed(c("ego_speed")), S.display_speed(c("set_speed")), c("curv_speed_limit")
@@ -241,13 +248,13 @@ def steady_speeds(frame: DataFrame) -> DataFrame:
     base = c("in_control") & ~c("front_valid") & ~c("cutin_valid") & free & S.finite(c("ego_speed")) & S.finite(c("set_speed")) & S.holds(wanted >= 1)
     rows = frame.select("recording_id", "us", F.when(base, shown).alias("v"), wanted.alias("wanted"))
     found = M.scan(rows, KEYS, ["us"], ["us", "v", "wanted"], M.stable_or_slide("v", 1.5, 8 * SECOND, "us", "wanted", 0.1), "start_us long, end_us long, n long")
-    one = samples_in(rows, found).groupBy("recording_id", "start_us", "end_us").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.median("wanted").alias("wanted"))
+    one = samples_in(rows, owned(found)).groupBy("recording_id", "start_us", "end_us").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.median("wanted").alias("wanted"))
     return one.where("least >= 5").select("recording_id", "start_us", "end_us", (c("wanted") - c("most")).alias("deficit"))
 
 
-def low_speed(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
+def low_speed(frame: DataFrame, powertrain: str = "PHEV", owned: Callable[..., DataFrame] = _all) -> DataFrame:
     """Of the ``steady_speeds`` those 8 km/h or more under the set speed."""
-    return _events(steady_speeds(frame).where("deficit >= 8"), c("deficit"))
+    return _events(steady_speeds(frame, owned).where("deficit >= 8"), c("deficit"))
 
 
 def heavy_braking(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
