@@ -142,13 +142,46 @@ def stable_or_slide(value: str, span: float, min_duration: float, time: str = "t
     return machine
 
 
-def qualified_windows(test: Callable[[list], bool], length: float, gap: float, value: str, tolerance: float, time: str = "t") -> Machine:
-    """Windows that first reach ``length`` and pass ``test``; after one the next begins behind it, else one sample on.
+class _Window:
+    """Samples that come and go at the ends, with least, most and sum of a value at hand: no step looks at all of them."""
+
+    def __init__(self, value: str, time: str):
+        self.value, self.time = value, time
+        self.clear()
+
+    def clear(self) -> None:
+        self.held, self.low, self.high = deque(), deque(), deque()
+        self.total = 0.0
+
+    def push(self, s) -> None:
+        v = getattr(s, self.value)
+        self.held.append((getattr(s, self.time), v))
+        self.total += v
+        while self.low and self.low[-1] > v:
+            self.low.pop()
+        self.low.append(v)
+        while self.high and self.high[-1] < v:
+            self.high.pop()
+        self.high.append(v)
+
+    def pop(self) -> None:
+        _, v = self.held.popleft()
+        self.total -= v
+        if self.low[0] == v:
+            self.low.popleft()
+        if self.high[0] == v:
+            self.high.popleft()
+
+    def length(self) -> float:
+        return self.held[-1][0] - self.held[0][0] if self.held else -1
+
+
+def qualified_windows(test: Callable[[float, float], bool], length: float, gap: float, value: str, tolerance: float, time: str = "t") -> Machine:
+    """Windows that first reach ``length`` and pass ``test`` (least, most); after one the next begins behind it, else one sample on.
     Neighbours at most ``gap`` apart whose mean values differ by ``tolerance`` at most are merged: (start, end, value, n)."""
 
     def machine() -> Generator:
-        held: deque = deque()
-        open_: list | None = None
+        window, open_ = _Window(value, time), None
         out: list = []
         while True:
             s = yield out
@@ -157,21 +190,89 @@ def qualified_windows(test: Callable[[list], bool], length: float, gap: float, v
                 if open_:
                     out.append((open_[0], open_[1], open_[2] / open_[3], open_[3]))
                 continue
-            held.append(s)
-            while held and getattr(held[-1], time) - getattr(held[0], time) >= length:
-                rows = list(held)
-                if test(rows):
-                    values = [getattr(r, value) for r in rows]
-                    a, b, total, n = getattr(rows[0], time), getattr(rows[-1], time), sum(values), len(rows)
+            window.push(s)
+            while window.length() >= length:
+                if test(window.low[0], window.high[0]):
+                    a, b, total, n = window.held[0][0], window.held[-1][0], window.total, len(window.held)
                     if open_ and a - open_[1] <= gap and abs(total / n - open_[2] / open_[3]) <= tolerance:
                         open_ = [open_[0], b, open_[2] + total, open_[3] + n]
                     else:
                         if open_:
                             out.append((open_[0], open_[1], open_[2] / open_[3], open_[3]))
                         open_ = [a, b, total, n]
-                    held.clear()
+                    window.clear()
                 else:
-                    held.popleft()
+                    window.pop()
+
+    return machine
+
+
+def spans_of_length(mask: str, value: str, label: str, length: float, test: Callable[[float, float, float], bool], gap: float, tolerance: float, time: str = "t") -> Machine:
+    """Windows of true ``mask`` and one ``label`` that first reach ``length`` and pass ``test`` (label, least, most); after one the next
+    begins behind it, else one sample on. One that begins at most ``gap`` after the end of the last, at a label at most
+    ``tolerance`` from that one's first, is merged into it: (start, end, first label, most, mean, n)."""
+
+    def machine() -> Generator:
+        window, now, open_ = _Window(value, time), None, None
+        out: list = []
+
+        def give(o: list) -> tuple:
+            return (o[0], o[1], o[2], o[3], o[4] / o[5], o[5])
+
+        while True:
+            s = yield out
+            out = []
+            if s is None:
+                if open_:
+                    out.append(give(open_))
+                continue
+            if not getattr(s, mask) or getattr(s, value) is None:
+                window.clear()
+                continue
+            if getattr(s, label) != now:
+                window.clear()
+                now = getattr(s, label)
+            window.push(s)
+            while window.length() >= length:
+                if not test(now, window.low[0], window.high[0]):
+                    window.pop()
+                    continue
+                a, b = window.held[0][0], window.held[-1][0]
+                if open_ and a - open_[1] <= gap and abs(now - open_[2]) <= tolerance:
+                    # The deficit of a merged scene is that of its worst window.
+                    worst = open_[2] - max(open_[2] - open_[3], now - window.high[0])
+                    open_ = [open_[0], b, open_[2], worst, open_[4] + window.total, open_[5] + len(window.held)]
+                else:
+                    if open_:
+                        out.append(give(open_))
+                    open_ = [a, b, now, window.high[0], window.total, len(window.held)]
+                window.clear()
+
+    return machine
+
+
+def continuations(group: str, fields: Sequence[str], start: str, end: str, label: str, group_start: str, gap: float, tolerance: float) -> Machine:
+    """Intervals in order of their ``group`` and start -> ``fields`` and whether each goes on from the last one that counts, or goes on
+    itself: it starts at most ``gap`` after that one's end, at a label at most ``tolerance`` away. All is forgotten where a
+    group starts over ``gap`` before the one before it."""
+
+    def machine() -> Generator:
+        out: list = []
+        seen = None  # (group, its start)
+        ends = known = None
+        while True:
+            s = yield out
+            out = []
+            if s is None:
+                continue
+            now = (getattr(s, group), getattr(s, group_start))
+            if seen is not None and now[0] != seen[0] and now[1] < seen[1] - gap:
+                ends = known = None
+            seen = now
+            goes_on = ends is not None and abs(known - getattr(s, label)) <= tolerance and getattr(s, start) <= ends + gap
+            ends = max(ends, getattr(s, end)) if goes_on else getattr(s, end)
+            known = getattr(s, label)
+            out.append((*(getattr(s, f) for f in fields), goes_on))
 
     return machine
 

@@ -58,7 +58,7 @@ UNION ALL SELECT user_id, i, CASE WHEN ok THEN first ELSE i END, CASE WHEN ok TH
 SELECT user_id, max(a) AS start_t, max(b) AS end_t, round(max_by(total / c, i), 6) AS mean_value, max_by(c, i)::BIGINT AS n FROM m GROUP BY user_id, first"""
 )
 def qualified_windows(spark, sf_dir):
-    test = lambda rows: max(r.value for r in rows) - min(r.value for r in rows) <= 40
+    test = lambda least, most: most - least <= 40
     return _scan(events(spark, sf_dir), ["t", "value"], M.qualified_windows(test, 12 * HOUR, 12 * HOUR, "value", 5.0), "start_t long, end_t long, mean_value double, n long").withColumn("mean_value", F.round("mean_value", 6))
 
 

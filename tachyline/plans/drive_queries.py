@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import gated as X, metrics as MT, planner as P, scenes as SC, stitched as ST, torque as T
+from . import folders as FD, gated as X, metrics as MT, planner as P, scenes as SC, stitched as ST, torque as T
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -355,7 +355,11 @@ _register("override_release_windows", release_windows, TORQUE[: TORQUE.index("tj
 
 
 def planner_frames(spark, sf_dir: str) -> DataFrame:
-    rows, c = drives(spark, sf_dir), F.col
+    return _as_planner(drives(spark, sf_dir))
+
+
+def _as_planner(rows: DataFrame) -> DataFrame:
+    c = F.col
     thing = lambda i, x, y, ttc, v, a: F.struct(i.cast("long").alias("id"), x.cast("double").alias("x"), F.lit(float(y)).alias("y"), ttc.cast("double").alias("ttc"), v.cast("double").alias("velocity"), a.cast("double").alias("acceleration"), F.lit(4.5).alias("length"))
     closing = c("ego_speed_mps") - c("front_velocity_abs")
     ttc = F.when(closing > 1e-6, F.least(c("front_range") / closing, F.lit(999.0))).otherwise(999.0)
@@ -363,7 +367,7 @@ def planner_frames(spark, sf_dir: str) -> DataFrame:
     second = F.when(c("digit") % 2 == 0, thing(F.lit(9), F.lit(45.0), 1.0, F.lit(50.0), F.lit(10.0), F.lit(0.0)))
     beside = thing(F.lit(8), F.lit(3.0), 3.0, F.lit(2.0), F.lit(5.0), F.lit(0.0))
     return rows.select(
-        "recording_id", "us", c("us").alias("arrival"), (c("turning") == 1).alias("non_straight"), c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
+        "recording_id", "us", c("us").alias("arrival"), (c("turning") == 1).alias("non_straight"), c("curvature").alias("max_curvature"), c("curv_speed_limit").alias("curve_limit"), (c("curv_enable") == 1).alias("curve_limited"), c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
         c("lead_id").cast("long").alias("lead_id"), c("us").alias("objects_us"), F.lit(True).alias("primary"), F.filter(F.array(front, second, beside), lambda o: o.isNotNull()).alias("objects"),
     )
 
@@ -547,3 +551,125 @@ _register(
     INCIDENT_SQL["acc_unreasonable_low_speed_count"].replace(FRAME, STITCHED).replace("\nSELECT recording_id, min(us) AS start_us", ",\ng AS (SELECT recording_id, min(us) AS start_us")
     + ")" + OWN_SQL.format(begins="start_us") + "\nSELECT recording_id, start_us, end_us, severity FROM own",
 )
+
+
+# The recordings as folders of a run, in absolute time; the planner tells its state at every fourth sample.
+
+
+def folder_run(spark, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(bus frame, planner frames, folders)."""
+    c = F.col
+    frame, recordings = cut_drives(spark, sf_dir)
+    start = recordings.select("recording_id", "started_us")
+    frame = frame.join(start, "recording_id").withColumn("at", c("us")).withColumn("us", c("us") + c("started_us")).drop("started_us")
+    folders = recordings.select("recording_id", c("vehicle").alias("run"), c("started_us").alias("place"))
+    return frame.drop("at"), _as_planner(frame.where("(at div 100000) % 4 = 0").drop("at")), folders
+
+
+LOW = (
+    _HEAD
+    + f"""
+whole AS ({_WHOLE}),
+logged AS (
+  SELECT * REPLACE (recording_id * 100000 + us // {PART} AS recording_id, us % {PART} + us // {PART} * {PART} + us // {PART} // 4 * 20000000 + us // {PART} % 2 * 1500000 AS us),
+    recording_id AS vehicle,
+    us // {PART} AS part,
+    us % {PART} // 100000 AS i
+  FROM whole),
+told AS (
+  SELECT recording_id, i,
+    curv_enable = 1 AND NOT (curv_speed_limit <= 0 OR curv_speed_limit >= floor(set_speed * (floor(1000 * {_bias("set_speed")} + 0.5) / 1000) + 0.5)) AS curve_bars,
+    red_light = 1 AND stop_distance BETWEEN 0 AND 150 AS light_bars,
+    digit % 2 = 0 OR (front_target_id <> 0 AND front_range BETWEEN 1 AND 50) OR (lead_id >= 0 AND lead_id <> 9) AS target_bars
+  FROM logged
+  WHERE i % 4 = 0),
+spans AS (
+  SELECT vehicle, part, recording_id, min(us) AS first_us, max(us) AS last_us, max(i) AS last_i
+  FROM logged
+  GROUP BY vehicle, part, recording_id),
+bus AS (
+  SELECT l.recording_id, l.us,
+    floor(greatest(ego_speed, 0) * (floor(1000 * {_bias("ego_speed")} + 0.5) / 1000) + 0.5) AS shown,
+    floor(set_speed * (floor(1000 * {_bias("set_speed")} + 0.5) / 1000) + 0.5) AS wanted,
+    acc_active <> 0 AND pedal_override = 0 AND set_speed > 0 AND NOT curve_bars AND NOT light_bars AND NOT target_bars AS free
+  FROM logged l
+  JOIN spans s ON s.recording_id = l.recording_id
+  JOIN told t ON t.recording_id = l.recording_id
+    AND t.i = CASE WHEN l.i % 4 = 3 AND l.i + 1 <= last_i THEN l.i + 1 ELSE l.i - l.i % 4 END),
+tails AS (
+  SELECT a.recording_id, b.recording_id AS next_id, a.last_us
+  FROM spans a
+  JOIN spans b ON b.vehicle = a.vehicle AND b.part = a.part + 1
+  WHERE b.last_us > a.first_us AND abs(b.first_us - a.last_us) <= 10000000),
+chained AS (
+  SELECT * FROM bus
+  UNION ALL
+  SELECT t.recording_id, b.us, b.shown, b.wanted, b.free
+  FROM tails t
+  JOIN bus b ON b.recording_id = t.next_id
+  WHERE b.us > t.last_us AND b.us <= t.last_us + 10000000),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY us) AS k
+  FROM chained),
+marked AS (
+  SELECT *, sum(CASE WHEN free AND coalesce(lag_free, false) AND wanted = lag_wanted THEN 0 ELSE 1 END) OVER (PARTITION BY recording_id ORDER BY k) AS run
+  FROM (
+    SELECT *, lag(free) OVER w AS lag_free, lag(wanted) OVER w AS lag_wanted
+    FROM ordered
+    WINDOW w AS (PARTITION BY recording_id ORDER BY k))),
+windows AS (
+  SELECT a.recording_id, a.run, a.k, a.us, a.wanted, min(b.k) AS stop
+  FROM marked a
+  JOIN marked b ON b.recording_id = a.recording_id AND b.run = a.run AND b.us - a.us >= 8000000
+  WHERE a.free
+  GROUP BY ALL),
+judged AS (
+  SELECT w.recording_id, w.run, w.k, w.stop, w.us AS start_us, max(m.us) AS end_us, any_value(w.wanted) AS wanted, max(shown) AS most,
+    min(shown) > 5 AND max(shown) - min(shown) < 1.5 AND any_value(w.wanted) - max(shown) >= 8 AS good
+  FROM windows w
+  JOIN marked m ON m.recording_id = w.recording_id AND m.k BETWEEN w.k AND w.stop
+  GROUP BY w.recording_id, w.run, w.k, w.stop, w.us),
+picked AS (
+  SELECT * FROM (SELECT * FROM judged WHERE good QUALIFY row_number() OVER (PARTITION BY recording_id, run ORDER BY k) = 1)
+  UNION ALL
+  SELECT * FROM (
+    SELECT j.*
+    FROM picked p
+    JOIN judged j ON j.recording_id = p.recording_id AND j.run = p.run AND j.k > p.stop AND j.good
+    QUALIFY row_number() OVER (PARTITION BY j.recording_id, j.run, p.k ORDER BY j.k) = 1)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY start_us) AS n FROM picked),
+merged AS (
+  SELECT recording_id, n, n AS first, start_us, end_us, wanted, wanted - most AS deficit FROM numbered WHERE n = 1
+  UNION ALL
+  SELECT recording_id, n, CASE WHEN same THEN first ELSE n END, CASE WHEN same THEN m_start ELSE start_us END, end_us,
+    CASE WHEN same THEN m_wanted ELSE wanted END, CASE WHEN same THEN greatest(m_deficit, wanted - most) ELSE wanted - most END
+  FROM (
+    SELECT x.*, m.first, m.start_us AS m_start, m.wanted AS m_wanted, m.deficit AS m_deficit,
+      x.start_us - m.end_us <= 1000000 AND abs(x.wanted - m.wanted) <= 1 AS same
+    FROM merged m
+    JOIN numbered x ON x.recording_id = m.recording_id AND x.n = m.n + 1)),
+scenes AS (
+  SELECT s.vehicle, s.part, s.first_us, m.*, row_number() OVER (PARTITION BY s.vehicle ORDER BY s.part, m.start_us) AS place
+  FROM (SELECT recording_id, min(start_us) AS start_us, max(end_us) AS end_us, max_by(wanted, n) AS wanted, round(max_by(deficit, n), 3) AS severity FROM merged GROUP BY recording_id, first) m
+  JOIN spans s ON s.recording_id = m.recording_id),
+walk AS (
+  SELECT *, false AS goes_on, end_us AS ends FROM scenes WHERE place = 1
+  UNION ALL
+  SELECT vehicle, part, first_us, recording_id, start_us, end_us, wanted, severity, place, on_, CASE WHEN on_ THEN greatest(w_ends, end_us) ELSE end_us END
+  FROM (
+    SELECT s.*, w.ends AS w_ends,
+      NOT (s.part <> w.part AND s.first_us < w.first_us - 1000000) AND abs(w.wanted - s.wanted) <= 1 AND s.start_us <= w.ends + 1000000 AS on_
+    FROM walk w
+    JOIN scenes s ON s.vehicle = w.vehicle AND s.place = w.place + 1))
+"""
+)
+_register("folder_low_speed_scenes", lambda spark, sf_dir: FD.low_speed(*folder_run(spark, sf_dir)), LOW + "SELECT recording_id, start_us, end_us, severity, goes_on FROM walk")
+_register(
+    "folder_low_speed_totals",
+    lambda spark, sf_dir: FD.totals(FD.low_speed(*folder_run(spark, sf_dir))),
+    LOW
+    + """SELECT recording_id, count(*) FILTER (NOT goes_on) AS total, count(*) FILTER (NOT goes_on AND severity >= 8) AS bad, count(*) FILTER (goes_on) AS continued,
+  coalesce(max(severity) FILTER (NOT goes_on), 0) AS severity
+FROM walk
+GROUP BY recording_id""",
+)

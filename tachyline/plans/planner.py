@@ -1,8 +1,8 @@
 """Scenes and case metrics on planner frames: one row per planning message with the objects seen at that moment.
 
 A frame has recording_id, us, arrival (order in which messages came), np_on, override, speed (m/s), acceleration, still,
-set_speed, red_light, stop_distance, non_straight (turns, changes lane or makes a U-turn), lead_id, objects_us, primary and
-``objects`` (array of id, x, y, ttc, velocity, acceleration, length). Unlike the wide frames of ``scenes``, a frame may
+set_speed, red_light, stop_distance, non_straight (turns, changes lane or makes a U-turn), max_curvature, curve_limit,
+curve_limited, lead_id, objects_us, primary and ``objects`` (array of id, x, y, ttc, velocity, acceleration, length). Unlike the wide frames of ``scenes``, a frame may
 follow several targets at once, so follow scenes are looked for target by target.
 """
 

@@ -135,4 +135,4 @@ def frames(plans: DataFrame, things: DataFrame, vehicle: DataFrame, keys: list[s
     rows = _matched(rows, seen, keys, "objects_ms", ["objects", "objects_at"])
     rows = _matched(rows, vehicle.withColumn("over", F.coalesce("override", F.col("pedal") > 0, F.lit(False))), keys, "chassis_ms", ["acceleration", "speed", "over", "still"])
     us = lambda x: (F.col(x) * 1000).cast("long")
-    return rows.select(*keys, us("at_ms").alias("us"), F.col("position").cast("long").alias("arrival"), "np_on", F.col("over").alias("override"), "speed", "acceleration", F.coalesce("still", F.lit(False)).alias("still"), "set_speed", "red_light", "stop_distance", "non_straight", "lead_id", us("objects_at").alias("objects_us"), F.lit(True).alias("primary"), F.coalesce("objects", F.from_json(F.lit("[]"), f"array<struct<{OBJECT.replace(' ', ':')}>>".replace(",:", ","))).alias("objects"))
+    return rows.select(*keys, us("at_ms").alias("us"), F.col("position").cast("long").alias("arrival"), "np_on", F.col("over").alias("override"), "speed", "acceleration", F.coalesce("still", F.lit(False)).alias("still"), "set_speed", "red_light", "stop_distance", "non_straight", "max_curvature", "curve_limit", "curve_limited", "lead_id", us("objects_at").alias("objects_us"), F.lit(True).alias("primary"), F.coalesce("objects", F.from_json(F.lit("[]"), f"array<struct<{OBJECT.replace(' ', ':')}>>".replace(",:", ","))).alias("objects"))

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from tachyline.plans import planner as P
 
 THING = "struct<id:bigint,x:double,y:double,ttc:double,velocity:double,acceleration:double,length:double>"
-FRAME = f"recording_id string, us long, arrival long, np_on boolean, override boolean, speed double, acceleration double, still boolean, set_speed double, red_light boolean, stop_distance double, non_straight boolean, lead_id long, objects_us long, primary boolean, objects array<{THING}>"
+FRAME = f"recording_id string, us long, arrival long, np_on boolean, override boolean, speed double, acceleration double, still boolean, set_speed double, red_light boolean, stop_distance double, non_straight boolean, max_curvature double, curve_limit double, curve_limited boolean, lead_id long, objects_us long, primary boolean, objects array<{THING}>"
 
 
 def frame(k, **own):
-    base = dict(recording_id="a", us=100_000 * (k + 1), arrival=k, np_on=True, override=False, speed=10.0, acceleration=-1.0, still=False, set_speed=60.0, red_light=False, stop_distance=1000.0, non_straight=False, lead_id=-1, objects_us=100_000 * (k + 1), primary=True, objects=[(7, 20.0, 0.0, 5.0, 8.0, -0.6, 4.5)])
+    base = dict(recording_id="a", us=100_000 * (k + 1), arrival=k, np_on=True, override=False, speed=10.0, acceleration=-1.0, still=False, set_speed=60.0, red_light=False, stop_distance=1000.0, non_straight=False, max_curvature=0.0, curve_limit=100.0, curve_limited=False, lead_id=-1, objects_us=100_000 * (k + 1), primary=True, objects=[(7, 20.0, 0.0, 5.0, 8.0, -0.6, 4.5)])
     return tuple((base | own).values())
 
 

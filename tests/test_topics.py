@@ -96,7 +96,7 @@ def test_dumps_are_read_whole(spark, tmp_path):
 def test_frames_take_the_messages_that_they_name(spark):
     from tachyline.plans import planner as P
 
-    plans = spark.createDataFrame([("a", 0, 1000.0, True, False, 9.0, 60.0, False, 7, 990.0, 995.0), ("a", 1, 1100.0, True, False, 9.0, 60.0, True, 7, None, 1095.0), ("a", 2, 1200.0, True, True, 9.0, 60.0, False, None, 1190.0, None)], "path string, position int, at_ms double, np_on boolean, red_light boolean, stop_distance double, set_speed double, non_straight boolean, lead_id long, objects_ms double, chassis_ms double")
+    plans = spark.createDataFrame([("a", 0, 1000.0, True, False, 9.0, 60.0, False, 0.0, 100.0, False, 7, 990.0, 995.0), ("a", 1, 1100.0, True, False, 9.0, 60.0, True, 0.0, 100.0, False, 7, None, 1095.0), ("a", 2, 1200.0, True, True, 9.0, 60.0, False, 0.0, 100.0, False, None, 1190.0, None)], "path string, position int, at_ms double, np_on boolean, red_light boolean, stop_distance double, set_speed double, non_straight boolean, max_curvature double, curve_limit double, curve_limited boolean, lead_id long, objects_ms double, chassis_ms double")
     things = spark.createDataFrame([("a", 980.0, [(7, 30.0, 0.0, 9.5, 8.0, 0.0, 4.5)]), ("a", 1190.0, [])], f"path string, at_ms double, objects array<struct<{T.OBJECT.replace(', ', ',').replace(' ', ':')}>>")
     vehicle = spark.createDataFrame([("a", 990.0, -1.0, 10.0, 5.0, None, False), ("a", 1000.0, -2.0, 9.0, 5.0, False, False)], "path string, at_ms double, acceleration double, speed double, pedal double, override boolean, still boolean")
     one, two, three = T.frames(plans, things, vehicle, ["path"]).orderBy("us").collect()
