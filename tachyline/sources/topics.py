@@ -17,7 +17,10 @@ def read_dumps(spark, paths: list[str]) -> DataFrame:
 
 
 def paragraphs(dumps: DataFrame, marker: str) -> DataFrame:
-    """The other columns of ``dumps`` (text, ...), position, stamp (19 digits) and paragraph."""
+    """The other columns of ``dumps`` (text, ...), position, stamp (19 digits) and paragraph. Messages (``files.read_messages``)
+    have these already."""
+    if "paragraph" in dumps.columns:
+        return dumps
     head = r"([0-9]{19})\s+" + marker + r":\s*"
     stamps = F.regexp_extract_all("text", F.lit(head), 1)
     bodies = F.slice(F.split("text", head, -1), 2, 2**31 - 1)
