@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections import deque, namedtuple
 from collections.abc import Callable, Generator, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -277,42 +278,66 @@ def continuations(group: str, fields: Sequence[str], start: str, end: str, label
     return machine
 
 
+@dataclass
+class SteadyBand:
+    """State of ``steady_band`` between two samples: plain numbers, so that it can be kept anywhere."""
+
+    band: float
+    dwell: float
+    excursion: float
+    min_duration: float
+    eps: float
+    target: float | None = None
+    candidate: float | None = None
+    since: float | None = None
+    start: float | None = None
+    away: float | None = None
+    before_away: float | None = None
+    last: float | None = None
+
+    def _forget(self) -> None:
+        self.target = self.since = self.start = self.away = None
+
+    def step(self, t: float | None, mask: bool | None, speed: float | None, set_speed: float | None) -> list[tuple]:
+        """What the next sample ends; ``t`` is None after the last one."""
+        out = []
+        good = t is not None and bool(mask) and speed is not None and set_speed is not None
+        if self.target is not None and (not good or abs(set_speed - self.target) > 1e-6):
+            end = self.last if self.away is None else self.before_away
+            if self.start is not None and end - self.start >= self.min_duration - self.eps:
+                out.append((self.start, end, self.candidate))
+            self._forget()
+        if not good:
+            return out
+        if self.target is None:
+            self.target, self.candidate = set_speed, t
+        inside = abs(speed - set_speed) <= self.band + 1e-9
+        if self.start is None:
+            self.since = (t if self.since is None else self.since) if inside else None
+            if self.since is not None and t - self.since >= self.dwell - self.eps:
+                self.start = t
+        elif inside:
+            self.away = None
+        elif self.away is None:
+            self.away, self.before_away = t, self.last
+        elif t - self.away >= self.excursion - self.eps:
+            if self.before_away - self.start >= self.min_duration - self.eps:
+                out.append((self.start, self.before_away, self.candidate))
+            self._forget()
+        self.last = t
+        return out
+
+
 def steady_band(mask: str, speed: str, set_speed: str, band: float, dwell: float = 1.0, excursion: float = 2.0, min_duration: float = 5.0, time: str = "t", eps: float = 1e-9) -> Machine:
     """Driving at the set speed: ``dwell`` within ``band`` of it confirms the state at that sample. It lasts while the mask
     holds and the set speed stays, and ends before the first sample of an excursion of ``excursion``:
     (start, end, candidate), the candidate being the first sample of the stretch with this set speed."""
 
     def machine() -> Generator:
-        out: list = []
-        target = candidate = since = start = away = before_away = last = None
+        state, out = SteadyBand(band, dwell, excursion, min_duration, eps), []
         while True:
             s = yield out
-            out = []
-            good = s is not None and bool(getattr(s, mask)) and getattr(s, speed) is not None and getattr(s, set_speed) is not None
-            if target is not None and (not good or abs(getattr(s, set_speed) - target) > 1e-6):
-                end = last if away is None else before_away
-                if start is not None and end - start >= min_duration - eps:
-                    out.append((start, end, candidate))
-                target = since = start = away = None
-            if not good:
-                continue
-            t = getattr(s, time)
-            if target is None:
-                target, candidate = getattr(s, set_speed), t
-            inside = abs(getattr(s, speed) - getattr(s, set_speed)) <= band + 1e-9
-            if start is None:
-                since = (t if since is None else since) if inside else None
-                if since is not None and t - since >= dwell - eps:
-                    start = t
-            elif inside:
-                away = None
-            elif away is None:
-                away, before_away = t, last
-            elif t - away >= excursion - eps:
-                if before_away - start >= min_duration - eps:
-                    out.append((start, before_away, candidate))
-                target = since = start = away = None
-            last = t
+            out = state.step(None, None, None, None) if s is None else state.step(*(getattr(s, x) for x in (time, mask, speed, set_speed)))
 
     return machine
 

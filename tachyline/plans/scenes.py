@@ -107,13 +107,18 @@ def follow_start(frame: DataFrame, powertrain: str = "PHEV", least: float | None
     return merged(ended.where("end_us >= start_us").select("recording_id", "start_us", "end_us"))
 
 
-def slope_candidates(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
-    """``slope_no_front`` with candidate_us, the first sample of the stretch at this set speed in which it lies."""
+def slope_samples(frame: DataFrame) -> DataFrame:
+    """What the machine of the slope scene reads: recording_id, us, on, v and target (m/s)."""
     c = F.col
     mask = c("in_control") & c("moving_flag") & S.holds(F.abs("slope_acc") >= 0.1) & clear(50, 20) & S.holds(c("curv_speed_limit") >= c("ego_speed_mps")) & S.finite(c("ego_speed_mps")) & S.finite(c("set_speed")) & S.holds(c("set_speed") > 0)
-    rows = frame.select("recording_id", "us", mask.alias("on"), c("ego_speed_mps").alias("v"), (c("set_speed") / S.KPH).alias("target"))
+    return frame.select("recording_id", "us", mask.alias("on"), c("ego_speed_mps").alias("v"), (c("set_speed") / S.KPH).alias("target"))
+
+
+def slope_candidates(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
+    """``slope_no_front`` with candidate_us, the first sample of the stretch at this set speed in which it lies."""
     band = S.by_powertrain(powertrain, 0.6, 0.3)
-    return M.scan(rows, KEYS, ["us"], ["us", "on", "v", "target"], M.steady_band("on", "v", "target", band, SECOND, 2 * SECOND, 5 * SECOND, "us", 0), "start_us long, end_us long, candidate_us long")
+    machine = M.steady_band("on", "v", "target", band, SECOND, 2 * SECOND, 5 * SECOND, "us", 0)
+    return M.scan(slope_samples(frame), KEYS, ["us"], ["us", "on", "v", "target"], machine, "start_us long, end_us long, candidate_us long")
 
 
 def slope_no_front(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
