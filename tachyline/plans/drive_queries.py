@@ -367,7 +367,7 @@ def _as_planner(rows: DataFrame) -> DataFrame:
     second = F.when(c("digit") % 2 == 0, thing(F.lit(9), F.lit(45.0), 1.0, F.lit(50.0), F.lit(10.0), F.lit(0.0)))
     beside = thing(F.lit(8), F.lit(3.0), 3.0, F.lit(2.0), F.lit(5.0), F.lit(0.0))
     return rows.select(
-        "recording_id", "us", c("us").alias("arrival"), (c("turning") == 1).alias("non_straight"), c("curvature").alias("max_curvature"), c("curv_speed_limit").alias("curve_limit"), (c("curv_enable") == 1).alias("curve_limited"), c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
+        "recording_id", "us", c("us").alias("arrival"), (c("turning") == 1).alias("non_straight"), c("curvature").alias("max_curvature"), c("curv_speed_limit").alias("curve_limit"), (c("curv_enable") == 1).alias("curve_limited"), "slope_acc", c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
         c("lead_id").cast("long").alias("lead_id"), c("us").alias("objects_us"), F.lit(True).alias("primary"), F.filter(F.array(front, second, beside), lambda o: o.isNotNull()).alias("objects"),
     )
 
@@ -673,3 +673,85 @@ _register(
 FROM walk
 GROUP BY recording_id""",
 )
+
+
+# Curves: every manoeuvre but those of digit 0 has a curve limit, tighter by digit.
+
+
+def curve_frames(spark, sf_dir: str) -> DataFrame:
+    rows, c = drives(spark, sf_dir), F.col
+    limited = rows.withColumn("curv_enable", F.when(c("digit") > 0, 1).otherwise(0)).withColumn("curvature", 2e-3 + c("digit") * 1e-3)
+    return _as_planner(limited)
+
+
+CURVE = (
+    PLANNER
+    + f""",
+cs AS (
+  SELECT recording_id, a AS start_us, b AS end_us
+  FROM ({runs("pf", "road AND ctl AND turning = 0 AND digit > 0 AND NOT still AND NOT (red_light = 1 AND stop_distance < 50)", "count(*) AS n, count(*) FILTER (2e-3 + digit * 1e-3 > 0.004) AS bent")})
+  WHERE n >= 50 AND bent >= 5),
+ci AS (
+  SELECT s.start_us, s.end_us, p.recording_id, p.us, p.mps, p.set_speed, 2e-3 + digit * 1e-3 AS bend_,
+    acceleration + 9.80665e0 * sin(radians(slope_deg)) AS pull,
+    row_number() OVER (PARTITION BY p.recording_id, s.start_us ORDER BY p.us) AS i
+  FROM cs s
+  JOIN pf p ON p.recording_id = s.recording_id AND p.us BETWEEN s.start_us AND s.end_us),
+low_at AS (SELECT recording_id, start_us, min(i) AS i FROM ci WHERE pull <= -0.5 GROUP BY ALL),
+turn_at AS (
+  SELECT ci.recording_id, ci.start_us, min(ci.i) AS t
+  FROM ci JOIN low_at l ON l.recording_id = ci.recording_id AND l.start_us = ci.start_us AND ci.i >= l.i
+  WHERE pull >= -0.1
+  GROUP BY ALL),
+ct AS (
+  SELECT ci.*, t, lag(pull, 1) OVER w AS p1, lag(pull, 2) OVER w AS p2
+  FROM ci JOIN turn_at USING (recording_id, start_us)
+  WINDOW w AS (PARTITION BY recording_id, start_us ORDER BY i)),
+walk AS (
+  SELECT recording_id, start_us, i, pull AS least, CASE WHEN i <= 2 OR pull >= p1 - 0.07 OR pull >= p2 - 0.07 THEN 0 ELSE 1 END AS missed,
+    i <= 2 OR pull >= p1 - 0.07 OR pull >= p2 - 0.07 AS ok
+  FROM ct WHERE i = t
+  UNION ALL
+  SELECT recording_id, start_us, i, least, CASE WHEN ok THEN 0 ELSE missed + 1 END, ok
+  FROM (
+    SELECT c.recording_id, c.start_us, c.i, least(w.least, c.pull) AS least,
+      w.missed,
+      (c.i <= 2 OR c.pull >= c.p1 - 0.07 OR c.pull >= c.p2 - 0.07) AND c.pull < least(w.least, c.pull) + 0.5 AS ok
+    FROM walk w
+    JOIN ct c ON c.recording_id = w.recording_id AND c.start_us = w.start_us AND c.i = w.i - 1
+    WHERE w.missed < 3)),
+tr AS (
+  SELECT c.* FROM ct c
+  JOIN walk w ON w.recording_id = c.recording_id AND w.start_us = c.start_us AND w.i = c.i AND w.ok),
+sl AS (
+  SELECT recording_id, start_us, any_value(end_us) AS end_us, min(mps) AS v, min_by(us, (mps, i)) AS at_, min_by(set_speed, (mps, i)) AS wanted
+  FROM ct
+  WHERE i > t AND abs(pull) < 0.1
+  GROUP BY recording_id, start_us),
+rd AS (SELECT recording_id, start_us, 1 / max(bend_) AS radius FROM ci GROUP BY ALL),
+jm AS (
+  SELECT *, avg(pull) OVER (PARTITION BY recording_id, start_us ORDER BY us RANGE BETWEEN 150000 PRECEDING AND 150000 FOLLOWING) AS mean_
+  FROM tr WHERE us > 0),
+jk AS (
+  SELECT *, CASE WHEN count(*) OVER w >= 3 AND max(us) OVER w - min(us) OVER w >= 150000 THEN regr_slope(mean_, (us - start_us) / 1e6) OVER w END AS jerk_
+  FROM jm
+  WINDOW w AS (PARTITION BY recording_id, start_us ORDER BY us RANGE BETWEEN 150000 PRECEDING AND 150000 FOLLOWING)),
+"""
+)
+CURVE_SQL = {
+    "curvature_min_speed": """z AS (SELECT recording_id, start_us, end_us, v AS value, at_ AS at_us, radius, wanted FROM sl JOIN rd USING (recording_id, start_us)),
+y AS (SELECT *, CASE WHEN wanted <= sqrt(radius) THEN 0 ELSE round(greatest(0, sqrt(radius) - 2 - value, value - sqrt(2.9 * radius) - 2) / 5 * 100, 3) END AS severity FROM z)""",
+    "curvature_min_acc": """z AS (SELECT recording_id, start_us, min(pull) AS value, min_by(us, (pull, -i)) AS at_us FROM tr GROUP BY ALL),
+y AS (SELECT z.*, end_us, round(greatest(0, -2 - value) / 2 * 100, 3) AS severity FROM z JOIN sl USING (recording_id, start_us))""",
+    "curvature_min_jerk": """z AS (SELECT recording_id, start_us, min(jerk_) AS value, min_by(us, (jerk_, us)) AS at_us FROM jk WHERE jerk_ IS NOT NULL GROUP BY ALL),
+y AS (SELECT z.*, end_us, round(greatest(0, -2 - value) * 100, 3) AS severity FROM z JOIN sl USING (recording_id, start_us))""",
+}
+
+
+def _curve(metric: str):
+    return lambda spark, sf_dir: P.curve_cases(curve_frames(spark, sf_dir)).where(F.col("metric") == metric).withColumn("value", F.round("value", 6))
+
+
+_register("planner_curve", lambda spark, sf_dir: P.curve(curve_frames(spark, sf_dir)), CURVE.rstrip().rstrip(",") + "\nSELECT recording_id, start_us, end_us FROM cs")
+for _name, _sql in CURVE_SQL.items():
+    _register(f"planner_case_{_name}", _curve(_name), CURVE + _sql + f"\nSELECT '{_name}' AS metric, recording_id, start_us, end_us, round(value, 6) AS value, at_us, severity > 0 AS bad, severity FROM y")

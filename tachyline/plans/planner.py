@@ -2,7 +2,7 @@
 
 A frame has recording_id, us, arrival (order in which messages came), np_on, override, speed (m/s), acceleration, still,
 set_speed, red_light, stop_distance, non_straight (turns, changes lane or makes a U-turn), max_curvature, curve_limit,
-curve_limited, lead_id, objects_us, primary and ``objects`` (array of id, x, y, ttc, velocity, acceleration, length). Unlike the wide frames of ``scenes``, a frame may
+curve_limited, slope_acc (by the control message), lead_id, objects_us, primary and ``objects`` (array of id, x, y, ttc, velocity, acceleration, length). Unlike the wide frames of ``scenes``, a frame may
 follow several targets at once, so follow scenes are looked for target by target.
 """
 
@@ -205,3 +205,65 @@ def green_light_cases(frames: DataFrame, powertrain: str = "PHEV") -> DataFrame:
         .unionByName(_judged(pick(-c("jerk.v"), "jerk.us"), "traffic_light_stop2go_max_jerk", None, 2.5, 1))
         .unionByName(_judged(pick((c("fast_us") - c("goes_us")) / SECOND, "fast_us"), "traffic_light_stop2go_accel_time", None, 6.0, 4))
     )
+
+
+#: Frames of a curve scene and those bent over 0.004 in it, at least; distance of a red light that spoils it.
+LEAST_CURVE, LEAST_BENT, CURVE_LIGHT = 50, 5, 50
+
+
+def curve(frames: DataFrame) -> DataFrame:
+    """Curves driven under a curve limit: recording_id, start_us, end_us. In control, straight on by signals and map, moving, the road
+    clear and no red light within 50 m, for 50 frames from a primary one on, five of them bent over 0.004."""
+    rows = with_control(candidates(frames))
+    known = c("slope_acc").isNotNull() & c("acceleration").isNotNull()  # a frame without control or chassis ends a scene
+    light = S.holds(c("red_light")) & S.holds(c("stop_distance") < CURVE_LIGHT)
+    mask = known & S.holds(c("control") & ~S.holds(c("non_straight")) & c("curve_limited") & ~c("still") & c("clear") & ~light)
+    runs = G.mark_islands(rows.withColumn("on", mask), "on", KEYS, ["us"], "run").where("run is not null")
+    begun = F.max(c("primary").cast("int")).over(Window.partitionBy(*KEYS, "run").orderBy("us")) == 1
+    found = runs.withColumn("begun", begun).where("begun").groupBy(*KEYS, "run")
+    found = found.agg(F.min("us").alias("start_us"), F.max("us").alias("end_us"), F.count("*").alias("n"), F.count_if(c("max_curvature") > 0.004).alias("bent"))
+    return found.where((c("n") >= LEAST_CURVE) & (c("bent") >= LEAST_BENT)).select(*KEYS, "start_us", "end_us")
+
+
+def traced_back(inside: DataFrame, own: list[str]) -> DataFrame:
+    """Samples of scenes (us, pull, speed; ``own`` tells the scene) with place, turn (place of the turning point) and ``traced``.
+
+    The turning point is the first sample of -0.1 or more after one of -0.5 or less. From there back the braking that led to it is
+    traced: a sample counts if it is the third of its scene at the latest, or isn't 0.07 below both samples before it, and if it is
+    less than 0.5 above the least on the way. Three in a row that don't count end the trace; what lies before isn't looked at.
+    """
+    w = Window.partitionBy(*own).orderBy("us")
+    rows = inside.where("speed is not null").withColumn("place", F.row_number().over(w))
+    braked = F.max((c("pull") <= -0.5).cast("int")).over(w) == 1
+    rows = rows.withColumn("turn", F.min(F.when(braked & (c("pull") >= -0.1), c("place"))).over(Window.partitionBy(*own)))
+    back = Window.partitionBy(*own, "before").orderBy(F.desc("us"))
+    rows = rows.withColumn("before", S.holds(c("place") <= c("turn")))
+    one, two = F.lag("pull", 1).over(w), F.lag("pull", 2).over(w)
+    falls = two.isNotNull() & (c("pull") < one - 0.07) & (c("pull") < two - 0.07)
+    rows = rows.withColumn("least", F.min("pull").over(back)).withColumn("counts", c("before") & ~falls & (c("pull") < c("least") + 0.5))
+    out = lambda k: F.coalesce(~F.lag("counts", k).over(back), F.lit(False))
+    ends = c("before") & ~c("counts") & out(1) & out(2)
+    ended = F.max(ends.cast("int")).over(back)
+    return rows.withColumn("traced", c("counts") & (ended == 0)).drop("before", "least", "counts")
+
+
+def curve_cases(frames: DataFrame) -> DataFrame:
+    """The three metrics of ``curve``: the least speed of a settled sample (under 0.1 either way) after the turning point, against the
+    speeds that suit the radius; strongest braking and jerk of the traced samples. Scenes without such samples are no cases."""
+    rows = frames.select(*KEYS, "us", "arrival", "speed", "set_speed", "max_curvature", (c("acceleration") + c("slope_acc")).alias("pull"))
+    own = [*KEYS, "start_us", "end_us"]
+    inside = samples_in(rows, curve(frames))
+    bend = inside.groupBy(*own).agg((1 / F.max(F.when(c("max_curvature") > 0, c("max_curvature")))).alias("radius")).withColumn("radius", F.coalesce("radius", F.lit(1000.0)))
+    traced = traced_back(inside, own)
+    settled = (c("place") > c("turn")) & (F.abs("pull") < 0.1)
+    slow = traced.groupBy(*own).agg(F.min(F.when(settled, F.struct("speed", "place", "us", "set_speed"))).alias("slow")).where("slow is not null").join(bend, own)
+    fitted = _with_jerk(traced.where("traced").withColumn("acceleration", c("pull")), own)
+    pulls = fitted.groupBy(*own).agg(F.min(F.struct(c("pull"), (-c("place")).alias("p"), c("us"))).alias("pull"), F.min(F.when(c("jerk").isNotNull(), F.struct("jerk", "us"))).alias("jerk"))
+    known = slow.join(pulls, own)
+    pick = lambda v, at: known.withColumn("value", c(v)).withColumn("at_us", c(at))
+    root = F.sqrt("radius")
+    speed = _judged(slow.withColumn("value", c("slow.speed")).withColumn("at_us", c("slow.us")), "curvature_min_speed", root - 2, F.sqrt(2.9 * c("radius")) + 2, 5)
+    free = slow.where(c("slow.set_speed") <= root).select(*own, F.lit(True).alias("free"))  # a set speed below what suits excuses
+    speed = speed.join(free, own, "left").withColumn("bad", c("bad") & c("free").isNull()).withColumn("severity", F.when(c("free").isNull(), c("severity")).otherwise(0.0)).drop("free")
+    columns = ["metric", *own, "value", "at_us", "bad", "severity"]
+    return speed.select(columns).unionByName(_judged(pick("pull.pull", "pull.us"), "curvature_min_acc", -2.0, None, 2)).unionByName(_judged(pick("jerk.jerk", "jerk.us"), "curvature_min_jerk", -2.0, None, 1))

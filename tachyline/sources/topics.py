@@ -66,6 +66,7 @@ def planning(dumps: DataFrame) -> DataFrame:
         F.coalesce(number("curvature_info", "max_curvature"), F.lit(0.0)).alias("max_curvature"), F.coalesce(number("curvature_info", "curv_velocity_limit"), F.lit(100.0)).alias("curve_limit"), F.coalesce(flag(member(p, "curvature_info", "is_curv_v_limit_enable")), F.lit(False)).alias("curve_limited"),
         (F.coalesce(signal.isin(1, 2), F.lit(False)) | F.coalesce(turn.isin(1, 2), F.lit(False)) | F.coalesce(around, F.lit(False))).alias("non_straight"), (signal.isNotNull() | turn.isNotNull() | around.isNotNull()).alias("knows_turns"),
         _got(plain, r'"leadone_info"\s*:\s*\{[^{}]*"object_id"\s*:\s*(-?[0-9]+)').try_cast("long").alias("lead_id"), made("/perception/fusion/object_auto").alias("objects_ms"), made("/vehicle/chassis_report").alias("chassis_ms"),
+        made("/msd/prediction/prediction_result_auto").alias("control_ms"),
     )
 
 
@@ -121,8 +122,8 @@ def _matched(rows: DataFrame, messages: DataFrame, keys: list[str], ref: str, va
     return named.select(*none.columns).unionByName(none)
 
 
-def frames(plans: DataFrame, things: DataFrame, vehicle: DataFrame, keys: list[str]) -> DataFrame:
-    """Planning messages with the object and chassis messages that they were made from, as planner frames (``plans.planner``).
+def frames(plans: DataFrame, things: DataFrame, vehicle: DataFrame, keys: list[str], steering: DataFrame | None = None) -> DataFrame:
+    """Planning messages with the object, chassis and (``steering``) control messages that they were made from, as planner frames (``plans.planner``).
 
     ``position`` is the message's place in its dump: of messages of one time the later counts where only one can.
     A message that names no time borrows that of the message before, if the one behind names one as well. The pedal tells an
@@ -132,10 +133,15 @@ def frames(plans: DataFrame, things: DataFrame, vehicle: DataFrame, keys: list[s
 
     w = Window.partitionBy(*keys).orderBy("at_ms")
     rows = plans
-    for ref in ("objects_ms", "chassis_ms"):
+    rows = plans if "control_ms" in plans.columns else plans.withColumn("control_ms", F.lit(None).cast("double"))
+    for ref in ("objects_ms", "chassis_ms", "control_ms"):
         rows = rows.withColumn(ref, F.coalesce(ref, F.when(F.lead(ref).over(w).isNotNull(), F.lag(ref).over(w))))
     seen = things.withColumn("objects_at", F.col("at_ms"))
     rows = _matched(rows, seen, keys, "objects_ms", ["objects", "objects_at"])
     rows = _matched(rows, vehicle.withColumn("over", F.coalesce("override", F.col("pedal") > 0, F.lit(False))), keys, "chassis_ms", ["acceleration", "speed", "over", "still"])
+    if steering is None:
+        rows = rows.withColumn("slope_acc", F.lit(None).cast("double"))
+    else:
+        rows = _matched(rows, steering, keys, "control_ms", ["slope_acc"])
     us = lambda x: (F.col(x) * 1000).cast("long")
-    return rows.select(*keys, us("at_ms").alias("us"), F.col("position").cast("long").alias("arrival"), "np_on", F.col("over").alias("override"), "speed", "acceleration", F.coalesce("still", F.lit(False)).alias("still"), "set_speed", "red_light", "stop_distance", "non_straight", "max_curvature", "curve_limit", "curve_limited", "lead_id", us("objects_at").alias("objects_us"), F.lit(True).alias("primary"), F.coalesce("objects", F.from_json(F.lit("[]"), f"array<struct<{OBJECT.replace(' ', ':')}>>".replace(",:", ","))).alias("objects"))
+    return rows.select(*keys, us("at_ms").alias("us"), F.col("position").cast("long").alias("arrival"), "np_on", F.col("over").alias("override"), "speed", "acceleration", F.coalesce("still", F.lit(False)).alias("still"), "set_speed", "red_light", "stop_distance", "non_straight", "max_curvature", "curve_limit", "curve_limited", "slope_acc", "lead_id", us("objects_at").alias("objects_us"), F.lit(True).alias("primary"), F.coalesce("objects", F.from_json(F.lit("[]"), f"array<struct<{OBJECT.replace(' ', ':')}>>".replace(",:", ","))).alias("objects"))
