@@ -406,40 +406,83 @@ def greedy_match(side: str, state: str, width: float, time: str = "t") -> Machin
 
 
 def forward_drops(value: str, drop: float, within: float, slope: float = 0.0, floor: float | None = None, dwell: float = 0.0, time: str = "t") -> Machine:
-    """From each sample the deepest fall within ``within``; falls of ``drop`` at ``slope`` a second, that reach ``floor`` and
-    stay there for ``dwell``, are events and consume their samples: (start, end, fall)."""
+    """From each sample the deepest fall within ``within``, the first of equals; falls of ``drop`` at ``slope`` a second, that reach
+    ``floor`` and stay there for ``dwell``, are events and consume their samples: (start, end, fall).
+
+    The least value ahead stands at the head of a queue of rising values, and a sample knows the end of its stay under the floor, so
+    each sample is looked at a fixed number of times, however long the window.
+    """
 
     def machine() -> Generator:
         out: list = []
-        held: deque = deque()
+        held: deque = deque()  # (time, value, its stay under the floor as [last time], or None)
+        ahead: deque = deque()  # those not yet within reach of the first
+        least: deque = deque()  # of those within reach: values that rise, the first of equals kept
+        stay: list | None = None
 
         def settle(final: bool) -> None:
             while held and (final or held[-1][0] - held[0][0] > within + dwell):
-                t0, v0 = held[0]
-                near = [x for x in held if x[0] - t0 <= within]
-                t1, v1 = min(near, key=lambda x: (x[1], x[0]))
+                t0, v0, _ = held[0]
+                while ahead and ahead[0][0] - t0 <= within:
+                    s = ahead.popleft()
+                    while least and least[-1][1] > s[1]:
+                        least.pop()
+                    least.append(s)
+                t1, v1, low = least[0]
                 good = v0 - v1 >= drop and t1 > t0 and (v0 - v1) / (t1 - t0) >= slope
                 if good and floor is not None:
-                    low = [x for x in held if x[0] >= t1]
-                    stay = next((k for k, x in enumerate(low) if x[1] > floor), len(low))
-                    good = v1 <= floor and stay > 0 and low[stay - 1][0] - t1 >= dwell - 1e-9
+                    good = low is not None and low[0] - t1 >= dwell - 1e-9
+                end = t0
                 if good:
                     out.append((t0, t1, v0 - v1))
-                    while held and held[0][0] <= t1:
-                        held.popleft()
-                else:
-                    held.popleft()
+                    end = t1
+                first = True
+                while held and (held[0][0] <= end if good else first):
+                    gone, first = held.popleft(), False
+                    if least and least[0] is gone:
+                        least.popleft()
+                    elif ahead and ahead[0] is gone:
+                        ahead.popleft()
 
         while True:
             s = yield out
             out = []
             if s is not None and getattr(s, value) is not None:
-                held.append((getattr(s, time), getattr(s, value)))
+                t, v = getattr(s, time), getattr(s, value)
+                if floor is None or v > floor:
+                    stay = None
+                elif stay is None:
+                    stay = [t]
+                else:
+                    stay[0] = t
+                held.append((t, v, stay))
+                ahead.append(held[-1])
             settle(s is None)
 
     return machine
 
 
+def turning_points(value: str, prominence: float, centre: str, field: str = "n") -> Machine:
+    """Extrema in order -> how many turns they make, once at the end: one counts if it is ``prominence`` away from the last that
+    counts; else it takes that one's place if it is farther from the ``centre``."""
+
+    def machine() -> Generator:
+        last, n, out = None, 0, []
+        while True:
+            s = yield out
+            out = []
+            if s is None:
+                out.append((n,))
+                continue
+            v, mid = getattr(s, value), getattr(s, centre)
+            if last is None or abs(v - last) >= prominence:
+                last, n = v, n + 1
+            elif abs(v - mid) > abs(last - mid):
+                last = v
+
+    return machine
+
+
 def rebounds(value: str, jump: float = 0.5, jump_time: float = 0.8, jump_slope: float = 2.2, back: float = 0.5, back_time: float = 0.2, back_slope: float = 3.0, time: str = "t") -> Machine:
     """A jump and its reversal: a change of ``jump`` within ``jump_time``, then one of ``back`` the other way within
     ``back_time``, each at its slope: (start, peak, end)."""

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import finite
-from . import segments as G, windows as W
+from . import automata as M, segments as G, windows as W
 
 
 def measurement_mean(values: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
@@ -77,6 +77,25 @@ def zero_crossings(df: DataFrame, value: str, keys: Sequence[str], order: Sequen
     return df.select(*keys).distinct().join(found, list(keys), "left").na.fill(0, ["crossings"])
 
 
+def turn_count(df: DataFrame, value: str, prominence: float, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """keys, turns: turning points of the mean over 7 samples, with steps of a twelfth of ``prominence`` or less taken as level,
+    that are ``prominence`` apart (``automata.turning_points``). Without 8 known values there are none; unknown ones
+    are the median.
+    """
+    whole, w = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(*order)
+    rows = W.box_mean(df.select(*keys, *order, value), value, 7, keys, order, "__y")
+    rows = rows.withColumn("__y", F.when(~F.isnan("__y"), F.col("__y")))
+    rows = rows.withColumn("__known", F.count("__y").over(whole)).withColumn("__y", F.coalesce("__y", F.median("__y").over(whole)))
+    step, level = F.lead("__y").over(w) - F.col("__y"), max(prominence / 12, 1e-6)
+    rows = rows.withColumn("__step", F.when(step > level, 1).when(step < -level, -1))
+    rows = rows.withColumn("__way", F.last("__step", True).over(w)).withColumn("__centre", F.median("__y").over(whole))
+    # The last sample begins no step; it repeats the way of the one before and turns nothing.
+    turns = rows.where("__known >= 8").withColumn("__before", F.lag("__way").over(w)).where("__way <> __before")
+    named = turns.withColumnsRenamed({"__y": "y", "__centre": "centre"})
+    found = M.scan(named, list(keys), list(order), ["y", "centre"], M.turning_points("y", prominence, "centre"), "turns long")
+    return df.select(*keys).distinct().join(found, list(keys), "left").na.fill(0, ["turns"])
+
+
 def pulse_count(df: DataFrame, value: str, prominence: float, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """keys, pulses: runs over the 10th percentile by 35 % of the way to the 90th (or a quarter of ``prominence``), gaps of one
     sample closed, that rise ``prominence`` over it."""

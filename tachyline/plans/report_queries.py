@@ -86,6 +86,47 @@ def pulse_count(spark, sf_dir):
     return R.pulse_count(events(spark, sf_dir), "value", 20.0, K, ORDER)
 
 
+@query(
+    f"""WITH RECURSIVE {EVENTS},
+n AS (
+  SELECT user_id, value,
+    row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS k,
+    count(*) OVER (PARTITION BY user_id) AS c
+  FROM e),
+y AS (
+  SELECT a.user_id, a.k, sum(b.value) / 7 AS y
+  FROM n a
+  JOIN (SELECT unnest(range(-3, 4)) AS d) ON true
+  JOIN n b ON b.user_id = a.user_id AND b.k = greatest(1, least(a.c, a.k + d))
+  WHERE a.c >= 8
+  GROUP BY a.user_id, a.k),
+s AS (
+  SELECT *, median(y) OVER (PARTITION BY user_id) AS mid,
+    CASE WHEN abs(lead(y) OVER w - y) > 12e0 / 12 THEN sign(lead(y) OVER w - y) END AS step
+  FROM y
+  WINDOW w AS (PARTITION BY user_id ORDER BY k)),
+f AS (SELECT *, last_value(step IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY k) AS way FROM s),
+x AS (
+  SELECT user_id, y, mid, row_number() OVER (PARTITION BY user_id ORDER BY k) AS i
+  FROM (SELECT *, lag(way) OVER (PARTITION BY user_id ORDER BY k) AS before FROM f)
+  WHERE way <> before),
+r AS (
+  SELECT user_id, i, y AS last, 1 AS turns FROM x WHERE i = 1
+  UNION ALL
+  SELECT x.user_id, x.i,
+    CASE WHEN abs(y - last) >= 12 OR abs(y - mid) > abs(last - mid) THEN y ELSE last END,
+    turns + CASE WHEN abs(y - last) >= 12 THEN 1 ELSE 0 END
+  FROM r
+  JOIN x ON x.user_id = r.user_id AND x.i = r.i + 1)
+SELECT u.user_id, coalesce(max(turns), 0)::BIGINT AS turns
+FROM (SELECT DISTINCT user_id FROM e) u
+LEFT JOIN r ON r.user_id = u.user_id
+GROUP BY u.user_id"""
+)
+def turn_count(spark, sf_dir):
+    return R.turn_count(events(spark, sf_dir), "value", 12.0, K, ORDER)
+
+
 @query(f"""WITH {EVENTS}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS k, count(*) OVER (PARTITION BY user_id) AS m FROM e),
 b AS (SELECT n.event_id, n.user_id, sum(x.value) / 5 AS mean FROM n JOIN (SELECT unnest([-2, -1, 0, 1, 2]) AS d) o ON true JOIN n x ON x.user_id = n.user_id AND x.k = greatest(1, least(n.m, n.k + d)) GROUP BY ALL) SELECT event_id, user_id, round(mean, 6) AS mean_value FROM b""")
 def box_mean(spark, sf_dir):

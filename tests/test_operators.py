@@ -253,3 +253,87 @@ def test_long_signals_become_a_frame(spark):
     rows = [("a", "acceleration", 1, t / 10, float(t)) for t in range(5)] + [("a", "speed", 1, 0.05, 1.0), ("a", "speed", 1, 0.31, 2.0), ("a", "other", 1, 0.0, 9.0)]
     df = R.to_frame(spark.createDataFrame(rows, "recording_id string, field string, priority int, t double, value double"), ["acceleration", "speed"])
     assert [(r.t, r.acceleration, r.speed) for r in df.orderBy("t").collect()] == [(0.0, 0.0, 1.0), (0.1, 1.0, 1.0), (0.2, 2.0, 2.0), (0.3, 3.0, 2.0), (0.4, 4.0, 2.0)]
+
+
+def test_turning_points_equal_brute_force(spark):
+    import random
+    import statistics
+
+    from tachyline.operators import reports as R
+
+    def brute(values, prominence):
+        n = len(values)
+        if n < 8:
+            return 0
+        y = [sum(values[min(max(i + d, 0), n - 1)] for d in range(-3, 4)) / 7 for i in range(n)]
+        signs, way = [], 0
+        for a, b in zip(y, y[1:], strict=False):
+            way = 1 if b - a > prominence / 12 else -1 if a - b > prominence / 12 else way
+            signs.append(way)
+        turns, mid = [], statistics.median(y)
+        for i in range(1, len(signs)):
+            if signs[i] and signs[i - 1] and signs[i] != signs[i - 1]:
+                if not turns or abs(y[i] - turns[-1]) >= prominence:
+                    turns.append(y[i])
+                elif abs(y[i] - mid) > abs(turns[-1] - mid):
+                    turns[-1] = y[i]
+        return len(turns)
+
+    rng = random.Random(11)
+    signals = {k: [float(rng.randint(0, 40)) if rng.random() < 0.4 else float(k % 5 * 3) for _ in range(rng.choice([3, 7, 8, 60, 200]))] for k in range(40)}
+    rows = spark.createDataFrame([(k, i, v) for k, values in signals.items() for i, v in enumerate(values)], "id long, t long, v double")
+    got = {r.id: r.turns for r in R.turn_count(rows, "v", 4.0, ["id"], ["t"]).collect()}
+    assert got == {k: brute(v, 4.0) for k, v in signals.items()} and sum(got.values()) > 100
+    unknown = spark.createDataFrame([(1, i, None if i % 2 else float("nan")) for i in range(20)], "id long, t long, v double")
+    assert [r.turns for r in R.turn_count(unknown, "v", 4.0, ["id"], ["t"]).collect()] == [0]
+
+
+def test_forward_drops_equal_brute_force_in_linear_time():
+    import random
+    import time
+    from collections import namedtuple
+
+    from tachyline.operators import automata as M
+
+    sample = namedtuple("sample", "t v")
+
+    def run(rows, *args):
+        machine = M.forward_drops("v", *args)()
+        next(machine)
+        return [x for r in [*rows, None] for x in machine.send(r)]
+
+    def brute(rows, drop, within, slope, floor, dwell):
+        out, i = [], 0
+        while i < len(rows):
+            t0, v0 = rows[i]
+            near = [k for k in range(i, len(rows)) if rows[k].t - t0 <= within]
+            k = min(near, key=lambda x: (rows[x].v, x))
+            t1, v1 = rows[k]
+            good = v0 - v1 >= drop and t1 > t0 and (v0 - v1) / (t1 - t0) >= slope
+            if good and floor is not None:
+                stop = k
+                while stop < len(rows) and rows[stop].v <= floor:
+                    stop += 1
+                good = stop > k and rows[stop - 1].t - t1 >= dwell - 1e-9
+            if good:
+                out.append((t0, t1, v0 - v1))
+                i = k + 1
+            else:
+                i += 1
+        return out
+
+    rng = random.Random(5)
+    for _ in range(60):
+        t, rows = 0, []
+        for _ in range(rng.randint(0, 120)):
+            t += rng.choice([1, 1, 2, 5])
+            rows.append(sample(t, rng.choice([0, 1, 2, 5, 9, 10])))
+        args = (rng.choice([3, 8]), rng.choice([4, 12, 40]), rng.choice([0.0, 0.5]), rng.choice([None, 1, 2]), rng.choice([0, 3]))
+        assert run(rows, *args) == brute(rows, *args), args
+    long = [sample(k, float(k % 97)) for k in range(60_000)]
+    spent = []
+    for within in (200, 6400):
+        start = time.process_time()
+        run(long, 1e9, within)
+        spent.append(time.process_time() - start)
+    assert spent[1] < 4 * spent[0] + 0.5
