@@ -1,14 +1,50 @@
 """Text dumps of messages: paragraphs, and the fields of planning, object, chassis and control messages, by native text functions.
 
-A dump is one text: paragraphs that begin with a time of 19 digits and a marker. Fields are told by patterns, as the dumps
-mix YAML with escaped JSON; a field that isn't there is null, and a paragraph without a time is left out.
+A dump is one text: paragraphs that begin with a time of 19 digits and a marker. A paragraph is an outline of ``name: value``
+lines, some of whose values are JSON, with quotes escaped and lines continued. Lines are joined and quotes freed once;
+then a block is cut out by its indentation, a JSON object by its braces, and a field is looked for in its own block
+only, so one that isn't there is null and is never taken from a later block. A paragraph without a time is left out.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-NUMBER = r"(-?[0-9]+\.?[0-9]*)"
+# Names in the dumps (fixed values of the format).
+SOURCES = {"objects_ms": "/perception/fusion/object_auto", "chassis_ms": "/vehicle/chassis_report", "control_ms": "/msd/prediction/prediction_result_auto"}
+JSON_NAMES = {
+    "function": ("FrameInfo", "function"),
+    "red_light": ("traffic_light_decider_info", "stop_flag"),
+    "stop_distance": ("traffic_light_decider_info", "stop_distance"),
+    "set_speed": ("acc_info", "cruise_velocity"),
+    "max_curvature": ("curvature_info", "max_curvature"),
+    "curve_limit": ("curvature_info", "curv_velocity_limit"),
+    "curve_limited": ("curvature_info", "is_curv_v_limit_enable"),
+    "signal": ("turn_signal_info", "signal_direction"),
+    "map_turn": ("intersection_info", "map_turn_signal"),
+    "u_turn": ("uturn_info", "is_in_uturn"),
+    "lead_id": ("leadone_info", "object_id"),
+}
+CHASSIS_NAMES = {
+    "acceleration": ("brake_info_report_data", "accleration_on_wheel"),
+    "still": ("brake_info_report_data", "stationary"),
+    "speed": ("throttle_info_report_data", "vehicle_speed_average"),
+    "pedal": ("throttle_info_report_data", "throttle_pedal_percent"),
+    "override": ("throttle_report", "throttle_report_data", "override"),
+    "driver_work_type": ("brake_report", "brake_report_data", "driver_work_type", "value"),
+}
+OBJECT_NAMES = {
+    "id": ("track_id",),
+    "x": ("relative_position", "x"),
+    "y": ("relative_position", "y"),
+    "ttc": ("crash_risk_ttc",),
+    "velocity": ("velocity_relative_to_ground", "x"),
+    "acceleration": ("acceleration_relative_to_ground", "x"),
+    "length": ("shape", "length"),
+}
+CONTROL_NAMES = ("slope_acc", "acc_ref", "acc_wheel", "acc_ego_real")
+#: The value that an absent field has.
+ABSENT = {"stop_distance": 1000.0, "set_speed": 0.0, "max_curvature": 0.0, "curve_limit": 100.0, "red_light": False, "curve_limited": False}
 
 
 def read_dumps(spark, paths: list[str]) -> DataFrame:
@@ -28,89 +64,118 @@ def paragraphs(dumps: DataFrame, marker: str) -> DataFrame:
     return rows.select(*(c for c in rows.columns if c != "p"), F.col("p.stamp").alias("stamp"), F.rtrim("p.body").alias("paragraph"))
 
 
-def _got(text: Column, pattern: str) -> Column:
-    """The first group of the first match, or null."""
-    found = F.regexp_extract(text, pattern, 1)
-    return F.when(found != "", F.trim(found))
+def joined(text: Column) -> Column:
+    """``text`` with lines that end in a backslash joined to the next, and escaped quotes freed."""
+    return F.replace(F.regexp_replace(text, r"\\\r?\n\s*", ""), F.lit('\\"'), F.lit('"'))
 
 
-def member(text: Column, block: str, name: str) -> Column:
-    """The text of a JSON member within a named object."""
-    return _got(text, f'"{block}"\\s*:\\s*\\{{[\\s\\S]*?"{name}"\\s*:\\s*([^,}}]+)')
+def block(text: Column, *names: str) -> Column:
+    """The lines that belong to an outline's entry, innermost of ``names``: those indented deeper, list items level with it
+    included. Empty where it isn't there. Repetitions are possessive, so blocks of any length are matched without a deep stack."""
+    for name in names:
+        text = F.regexp_extract(text, rf"(?m)^( *){name}:[^\n]*((?:\n\1(?: |- )[^\n]*|\n(?=\n))*+)", 2)
+    return text
+
+
+def field(text: Column, *names: str) -> Column:
+    """The value of an outline's line, inside of the blocks named first; null where there is none."""
+    found = F.trim(F.regexp_extract(block(text, *names[:-1]), rf"(?m)^ *(?:- )?{names[-1]}:([^\n]*)", 1))
+    return F.when(found != "", found)
+
+
+def json_object(text: Column, name: str) -> Column:
+    """The text of a named JSON object of ``joined`` text, up to three deep; its bare decimals get their 0."""
+    inner = r"\{[^{}]*+\}"
+    for _ in range(2):
+        inner = rf"\{{(?:[^{{}}]++|{inner})*+\}}"
+    return F.regexp_replace(F.regexp_extract(text, rf'"{name}"\s*:\s*({inner})', 1), r"([:,\[]\s*-?)\.([0-9])", "$10.$2")
+
+
+def json_value(text: Column, name: str, member: str) -> Column:
+    """The text of a member of a named JSON object; null where either isn't there."""
+    return F.get_json_object(json_object(text, name), f"$.{member}")
+
+
+def number(text: Column) -> Column:
+    return text.try_cast("double")
 
 
 def flag(text: Column) -> Column:
     return F.when(F.lower(text) == "true", True).when(F.lower(text) == "false", False)
 
 
-def under(text: Column, block: str, name: str, value: str = NUMBER) -> Column:
-    """The text of a YAML field below a named block."""
-    return _got(text, f"{block}:\\s*[\\s\\S]*?{name}:\\s*{value}")
+def _others(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c not in ("stamp", "paragraph", "__p")]
+
+
+def _headed(dumps: DataFrame, clock: str) -> DataFrame:
+    """Paragraphs with a header, ``joined`` as __p, and at_ms by the microseconds of their meta entry."""
+    rows = paragraphs(dumps, "header").withColumn("__p", joined(F.col("paragraph")))
+    return rows.withColumn("at_ms", number(field(F.col("__p"), "meta", clock)) / 1000).where("at_ms is not null")
 
 
 def planning(dumps: DataFrame) -> DataFrame:
     """Planning messages: at_ms, function and np_on, red_light, stop_distance, set_speed, curve limits, non_straight with what it is
     known by, lead_id, and the times of the messages that it was made from."""
-    p = F.col("paragraph")
-    rows = paragraphs(dumps, "seq")
-    secs, nsecs = _got(p, r"stamp:\s*\n\s*secs:\s*([0-9]+)"), _got(p, r"stamp:\s*\n\s*secs:\s*[0-9]+\s*\n\s*nsecs:\s*([0-9]+)")
-    number = lambda block, name: member(p, block, name).try_cast("double")
-    signal, turn, around = number("turn_signal_info", "signal_direction").cast("int"), number("intersection_info", "map_turn_signal").cast("int"), flag(member(p, "uturn_info", "is_in_uturn"))
-    made = lambda topic: _got(p, topic + r'[\s\S]*?"metaTimeMs":\s*([0-9]+\.?[0-9]*)').try_cast("double")
-    plain = F.replace(F.regexp_replace(p, r"\\\r?\n\s*", ""), F.lit('\\"'), F.lit('"'))
-    function = _got(p, r'"FrameInfo"\s*:\s*\{[\s\S]*?"function"\s*:\s*"([^"]+)"')
+    rows = paragraphs(dumps, "seq").withColumn("__p", joined(F.col("paragraph")))
+    p = F.col("__p")
+    value = {name: json_value(p, *where) for name, where in JSON_NAMES.items()}
+    made = {name: number(json_value(p, topic, "metaTimeMs")).alias(name) for name, topic in SOURCES.items()}
+    known = lambda name, read: F.coalesce(read(value[name]), F.lit(ABSENT[name])).alias(name)
+    signal, turn, around = number(value["signal"]).cast("int"), number(value["map_turn"]).cast("int"), flag(value["u_turn"])
+    stamped = number(field(p, "stamp", "secs")) * 1000 + number(field(p, "stamp", "nsecs")) / 1e6
+    no = F.lit(False)
     return rows.select(
-        *(c for c in rows.columns if c not in ("stamp", "paragraph")), F.coalesce(secs.cast("double") * 1000 + nsecs.cast("double") / 1e6, F.col("stamp").cast("double")).alias("at_ms"),
-        function.alias("function"), F.coalesce(function == "UNP", F.lit(False)).alias("np_on"), F.coalesce(flag(member(p, "traffic_light_decider_info", "stop_flag")), F.lit(False)).alias("red_light"),
-        F.coalesce(number("traffic_light_decider_info", "stop_distance"), F.lit(1000.0)).alias("stop_distance"), F.coalesce(number("acc_info", "cruise_velocity"), F.lit(0.0)).alias("set_speed"),
-        F.coalesce(number("curvature_info", "max_curvature"), F.lit(0.0)).alias("max_curvature"), F.coalesce(number("curvature_info", "curv_velocity_limit"), F.lit(100.0)).alias("curve_limit"), F.coalesce(flag(member(p, "curvature_info", "is_curv_v_limit_enable")), F.lit(False)).alias("curve_limited"),
-        (F.coalesce(signal.isin(1, 2), F.lit(False)) | F.coalesce(turn.isin(1, 2), F.lit(False)) | F.coalesce(around, F.lit(False))).alias("non_straight"), (signal.isNotNull() | turn.isNotNull() | around.isNotNull()).alias("knows_turns"),
-        _got(plain, r'"leadone_info"\s*:\s*\{[^{}]*"object_id"\s*:\s*(-?[0-9]+)').try_cast("long").alias("lead_id"), made("/perception/fusion/object_auto").alias("objects_ms"), made("/vehicle/chassis_report").alias("chassis_ms"),
-        made("/msd/prediction/prediction_result_auto").alias("control_ms"),
-    )
+        *_others(rows),
+        F.coalesce(stamped, F.col("stamp").cast("double")).alias("at_ms"),
+        value["function"].alias("function"),
+        F.coalesce(value["function"] == "UNP", no).alias("np_on"),
+        known("red_light", flag),
+        known("stop_distance", number),
+        known("set_speed", number),
+        known("max_curvature", number),
+        known("curve_limit", number),
+        known("curve_limited", flag),
+        (F.coalesce(signal.isin(1, 2), no) | F.coalesce(turn.isin(1, 2), no) | F.coalesce(around, no)).alias("non_straight"),
+        (signal.isNotNull() | turn.isNotNull() | around.isNotNull()).alias("knows_turns"),
+        value["lead_id"].try_cast("long").alias("lead_id"),
+        *made.values(),
+    )
 
 
 OBJECT = "id long, x double, y double, ttc double, velocity double, acceleration double, length double"
 
 
 def objects(dumps: DataFrame) -> DataFrame:
-    """Object messages: at_ms, ``objects`` (those available) and min_ttc over them; null where a message has no object data."""
-    p = F.col("paragraph")
-    rows = paragraphs(dumps, "header").withColumn("at_ms", under(p, "meta", "sensor_timestamp_us", "([0-9]+)").cast("double") / 1000).where("at_ms is not null")
-    data = _got(p, r"perception_fusion_objects_data:\s*([\s\S]*?)(?:reserved_infos:|$)")
-    each = F.filter(F.regexp_extract_all(data, F.lit(r'(track_id:\s*[0-9]+[\s\S]*?extra_json:\s*"[\s\S]*?")'), 1), lambda o: o.rlike(r"available:\s*True"))
+    """Object messages: at_ms, ``objects`` (those available) and min_ttc over them; null where a message has no object data.
+    A time to collision below 0 is unknown."""
+    rows = _headed(dumps, "sensor_timestamp_us")
+    data = "perception_fusion_objects_data"
+    items = F.filter(F.split(block(F.col("__p"), data), r"(?:^|\n) *- ", -1), lambda o: flag(field(o, "available")) & o.startswith("track_id:"))
 
     def thing(o: Column) -> Column:
-        num = lambda text: text.try_cast("double")
-        return F.struct(
-            _got(o, r"track_id:\s*([0-9]+)").cast("long").alias("id"), num(under(o, "relative_position", "x")).alias("x"), num(under(o, "relative_position", "y")).alias("y"), num(_got(o, r"crash_risk_ttc:\s*([0-9]+\.?[0-9]*)")).alias("ttc"),
-            num(under(o, "velocity_relative_to_ground", "x")).alias("velocity"), num(under(o, "acceleration_relative_to_ground", "x")).alias("acceleration"), num(under(o, "shape", "length")).alias("length"),
-        )
+        read = {name: number(field(o, *where)) for name, where in OBJECT_NAMES.items()}
+        read |= {"id": field(o, *OBJECT_NAMES["id"]).try_cast("long"), "ttc": F.when(read["ttc"] >= 0, read["ttc"])}
+        return F.struct(*(v.alias(name) for name, v in read.items()))
 
-    found = rows.withColumn("objects", F.transform(each, thing))
-    return found.select(*(c for c in rows.columns if c not in ("stamp", "paragraph")), "objects", F.array_min(F.transform("objects", lambda o: o["ttc"])).alias("min_ttc"))
+    found = rows.withColumn("objects", F.when(F.col("__p").rlike(rf"(?m)^ *{data}:"), F.transform(items, thing)))
+    return found.select(*_others(rows), "objects", F.array_min(F.transform("objects", lambda o: o["ttc"])).alias("min_ttc"))
 
 
 def chassis(dumps: DataFrame) -> DataFrame:
     """Chassis messages: at_ms, acceleration, speed, pedal (per cent), override, still, driver_work_type."""
-    p = F.col("paragraph")
-    rows = paragraphs(dumps, "header").withColumn("at_ms", under(p, "meta", "timestamp_us", "([0-9]+)").cast("double") / 1000).where("at_ms is not null")
-    report = _got(p, r"throttle_report:\s*[\s\S]*?throttle_report_data:\s*([\s\S]*?)(?:\n\w|$)")
-    num = lambda block, name: under(p, block, name).try_cast("double").alias(name)
-    return rows.select(
-        *(c for c in rows.columns if c not in ("stamp", "paragraph")), num("brake_info_report_data", "accleration_on_wheel").alias("acceleration"), num("throttle_info_report_data", "vehicle_speed_average").alias("speed"), num("throttle_info_report_data", "throttle_pedal_percent").alias("pedal"),
-        flag(_got(report, r"(?m)^\s*override:\s*(True|False)\b")).alias("override"), flag(under(p, "brake_info_report_data", "stationary", "(True|False)")).alias("still"),
-        _got(p, r"brake_report:\s*[\s\S]*?brake_report_data:\s*[\s\S]*?driver_work_type:\s*[\s\S]*?value:\s*([0-9]+)").try_cast("int").alias("driver_work_type"),
-    )
+    rows = _headed(dumps, "timestamp_us")
+    text = {name: field(F.col("__p"), *where) for name, where in CHASSIS_NAMES.items()}
+    numbers = [number(text[name]).alias(name) for name in ("acceleration", "speed", "pedal")]
+    flags = [flag(text[name]).alias(name) for name in ("override", "still")]
+    return rows.select(*_others(rows), *numbers, *flags, text["driver_work_type"].try_cast("int").alias("driver_work_type"))
 
 
 def control(dumps: DataFrame) -> DataFrame:
-    """Control messages: at_ms and the accelerations in their embedded JSON, whose quotes and line ends may be escaped."""
-    p = F.col("paragraph")
-    rows = paragraphs(dumps, "header").withColumn("at_ms", under(p, "meta", "timestamp_us", "([0-9]+)").cast("double") / 1000).where("at_ms is not null")
-    text = _got(p, r'extra:\s*[\s\S]*?json:\s*"([\s\S]*)')
-    value = lambda name: _got(text, r'"[\\\s]*' + name + r'[\\\s]*"[\\\s]*:\s*(-?[0-9]+\.?[0-9]*|-?\.[0-9]+)').try_cast("double").alias(name)
-    return rows.select(*(c for c in rows.columns if c not in ("stamp", "paragraph")), *(value(n) for n in ("slope_acc", "acc_ref", "acc_wheel", "acc_ego_real")))
+    """Control messages: at_ms and the accelerations in the JSON of their extra entry."""
+    rows = _headed(dumps, "timestamp_us")
+    named = F.concat(F.lit('"json": '), F.regexp_extract(field(F.col("__p"), "extra", "json"), r"(\{.*\})", 1))
+    return rows.select(*_others(rows), *(number(json_value(named, "json", n)).alias(n) for n in CONTROL_NAMES))
 
 
 def _matched(rows: DataFrame, messages: DataFrame, keys: list[str], ref: str, values: list[str]) -> DataFrame:

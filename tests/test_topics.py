@@ -106,3 +106,41 @@ def test_frames_take_the_messages_that_they_name(spark):
     assert (three.acceleration, three.speed, three.objects_us, three.objects) == (None, None, 1190000, [])
     seen = P.candidates(T.frames(plans, things, vehicle, ["path"])).orderBy("us").select("unmatched", "clear").collect()
     assert [tuple(r) for r in seen] == [(False, True), (False, True), (False, True)]
+
+
+def test_fields_come_from_their_own_block(spark):
+    later = """1700000000000000001 header:
+meta:
+  sensor_timestamp_us: 1700000000400500
+perception_fusion_objects_data:
+- track_id: 7
+  available: True
+  relative_position:
+    y: 1.5
+  shape:
+    width: 2
+  velocity_relative_to_ground:
+    x: 3
+    length: 99
+  extra_json: "{\\"relative_position\\": {\\"x\\": 4}}"
+- track_id: 8
+  relative_position:
+    x: 55
+  available: True
+other:
+  x: 1
+"""
+    (row,) = T.objects(dump(spark, later)).collect()
+    assert [tuple(o) for o in row.objects] == [(7, None, 1.5, None, 3.0, None, None), (8, 55.0, None, None, None, None, None)]
+    plan = '1700000000000000001 seq: 1\njson: "{\\"curvature_info\\": {\\"deep\\": {\\"max_curvature\\": 9}}, \\"acc_info\\": {\\"cruise_velocity\\": -.5}, \\"max_curvature\\": 7, \\"FrameInfo\\": {\\"in\\": {\\"a\\": {}}, \\"function\\": \\\n \\"UNP\\"}}"\n'
+    (row,) = T.planning(dump(spark, plan)).collect()
+    assert (row.max_curvature, row.set_speed, row.function, row.np_on, row.stop_distance, row.control_ms) == (0.0, -0.5, "UNP", True, 1000.0, None)
+    chassis = CHASSIS.replace("    override: True\n", "").replace("  stationary: False\n", "")
+    (row,) = T.chassis(dump(spark, chassis + "other:\n  override: True\n  stationary: True\n")).collect()
+    assert (row.override, row.still, row.driver_work_type) == (None, None, 2)
+
+
+def test_very_long_blocks(spark):
+    items = "".join(f"  - track_id: {k}\n    available: True\n    crash_risk_ttc: {k}\n" for k in range(20_000))
+    (row,) = T.objects(dump(spark, f"1700000000000000001 header:\nmeta:\n  sensor_timestamp_us: 1\nperception_fusion_objects_data:\n{items}")).collect()
+    assert len(row.objects) == 20_000 and row.min_ttc == 0.0
