@@ -389,6 +389,45 @@ def continuation_suppression(spark, sf_dir):
     return runs.groupBy("user_id", "day").agg(F.count("*").alias("scenes"))
 
 
+PATHS = """CASE event_type
+    WHEN 'view' THEN 'ch5/net/db/Req_0x1A0/signals/Active'
+    WHEN 'click' THEN CASE WHEN user_id % 3 = 0 THEN 'root/ch1/net/db/Req_0x1A0/signals/Active' ELSE 'ch4/net/db/Req_0x1A0/signals/Active' END
+    WHEN 'error' THEN CASE WHEN user_id % 4 = 0 THEN 'ch2/net/db/Ext_0x2B0/signals/Active_B' ELSE 'ch3/net/db/Ext_0x9/signals/Active_B' END
+    ELSE 'ch3/net/db/Other/signals/Level' END"""
+
+
+@query(
+    "signal_discovery",
+    f"""WITH {{events}},
+p AS (
+  SELECT user_id, {PATHS} AS field, event_type,
+    CASE WHEN event_type = 'view' AND user_id % 2 = 0 THEN 1 WHEN user_id % 5 = 0 THEN 4 ELSE floor(value)::BIGINT END AS v
+  FROM e),
+s AS (
+  SELECT user_id, field,
+    CASE WHEN bool_and(v IN (0, 1)) THEN 0 WHEN bool_and(v IN (4, 5)) THEN 1 ELSE 2 END AS score
+  FROM p
+  GROUP BY user_id, field),
+c AS (
+  SELECT *,
+    CASE field WHEN 'root/ch1/net/db/Req_0x1A0/signals/Active' THEN 0 WHEN 'ch2/net/db/Ext_0x2B0/signals/Active_B' THEN 1 END AS known,
+    CASE WHEN field LIKE 'ch3%' THEN 0 WHEN field LIKE 'ch4%' THEN 1 ELSE 2 END AS channel
+  FROM s
+  WHERE field LIKE '%0x1A0/signals/Active' OR field LIKE '%0x2B0/signals/Active_B')
+SELECT user_id AS recording_id, 'active' AS signal, field, score::INT AS score
+FROM c
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY known IS NULL, score, coalesce(known, channel), field) = 1""",
+)
+def signal_discovery(spark, sf_dir):
+    """The path of one signal for each user, with a path for each event type."""
+    from ..sources.discovery import Wanted, discover
+
+    wanted = Wanted("active", ("ch1/net/db/Req_0x1A0/signals/Active", "ch2/net/db/Ext_0x2B0/signals/Active_B"), (("Active", ("0x1A0", "Req")), ("Active_B", ("0x2B0",))), ((0, 1), (4, 5)))
+    value = "CASE WHEN event_type = 'view' AND user_id % 2 = 0 THEN 1 WHEN user_id % 5 = 0 THEN 4 ELSE floor(value) END"
+    rows = events(spark, sf_dir).selectExpr("user_id AS recording_id", f"{PATHS} AS field", "t", f"cast({value} AS double) AS value")
+    return discover(rows, [wanted], None)
+
+
 FLAGSHIP = """WITH {events}, m AS (SELECT *, event_type = 'error' AS m, lag(event_type = 'error') OVER (PARTITION BY user_id ORDER BY t, event_id) AS p FROM e),
 s AS (SELECT *, sum(CASE WHEN m AND NOT coalesce(p, false) THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t, event_id) AS g FROM m),
 i AS (SELECT user_id, min(t) AS a, max(t) AS b FROM s WHERE m GROUP BY user_id, g),

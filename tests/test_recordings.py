@@ -98,3 +98,25 @@ def test_formulas_on_invalid_and_unknown_values(spark):
     assert [r.x for r in checked.select(S.valid(F.col("v"), F.col("invalid")).alias("x")).collect()] == [1.0, None, None, None]
     assert [r.x for r in checked.select(S.valid(F.col("v"), None).alias("x")).collect()] == [1.0, 2.0, 3.0, None]
     assert [S.by_powertrain(p, 1.0, 2.0) for p in ("ICE", "PHEV", "BEV")] == [1.0, 2.0, 2.0]
+
+
+def test_signals_are_discovered_by_path_name_and_values(spark):
+    from tachyline.sources.discovery import Wanted, discover
+
+    wanted = Wanted("active", ("ch1/n/d/Req_0x1/signals/Active",), (("Active", ("0x1", "Req")), ("Alias", ("0x2",))), ((0, 1), (4, 5)))
+    plain, rooted = "ch1/n/d/Req_0x1/signals/Active", "root/ch1/n/d/Req_0x1/signals/Active"
+    three, four, nine = "ch3/n/d/Req_0x1/signals/Active", "CH4/n/d/X_0x2/signals/Alias", "ch9/n/d/Req_0x1/signals/Active"
+    data = {
+        "known": {rooted: [9.0], three: [0.0]},  # a known path counts, whatever its values
+        "values": {three: [4.0, 5.0], nine: [0.0, 1.9]},  # cut to whole numbers
+        "channel": {nine: [7.0], three: [7.0], "ch2/n/d/Req_0x1/signals/Active": [7.0]},
+        "alias": {four: [float("nan")], "ch3/n/d/Other/signals/Alias": [0.0], "x/y/ch3/n/d/Req_0x1/signals/Active": [0.0]},
+        "none": {"ch3/n/d/Req_0x1/signals/Other": [0.0]},
+        "both": {plain: [8.0], rooted: [0.0]},
+    }
+    rows = [(r, f, float(k), v) for r, paths in data.items() for f, values in paths.items() for k, v in enumerate(values)]
+    signals = spark.createDataFrame(rows, "recording_id string, field string, t double, value double")
+    got = {r.recording_id: (r.field, r.score) for r in discover(signals, [wanted]).collect()}
+    assert got == {"known": (rooted, 2), "values": (nine, 0), "channel": (three, 2), "alias": (four, 2), "both": (rooted, 0)}
+    late = spark.createDataFrame([("a", nine, float(k), float(k == 9) * 7) for k in range(10)] + [("a", three, 0.0, 4.0)], signals.schema)
+    assert [r.field for r in discover(late, [wanted], sample=9).collect()] == [nine] and [r.field for r in discover(late, [wanted], None).collect()] == [three]
