@@ -220,7 +220,7 @@ def test_trie_equals_brute_force(spark, monkeypatch):
     turn later; turns that many share, whose rows are salted."""
     monkeypatch.setattr(prefix_trie, "HOT", 3)
     rows = some_conversations(1)
-    rows += [(1007, t, "user", f"w{t % 3} x") for t in range(3000)] + [(1003, t, "user", f"w{t % 3} x") for t in range(2000)]
+    rows += [(1007, t, "user", f"w{t % 3} x") for t in range(300)] + [(1003, t, "user", f"w{t % 3} x") for t in range(200)]
     rows += [(2000 + 20 * c, t, "user", f"t{t}" if t < c else f"own {c}") for c in range(20) for t in range(c + 2)]
     rows += [(3001 + c, t, "user", "same" if t < 2 else f"{c % 3}") for c in range(60) for t in range(4)]
     assert trie(prefix_trie.prefix_trie(spark.createDataFrame(rows, TURNS).repartition(3))) == brute_trie(rows)
@@ -235,7 +235,8 @@ def test_colliding_fingerprints_are_split(spark, monkeypatch):
         for part in plain(parts):
             yield part.set_column(part.schema.get_field_index("turn_hash"), "turn_hash", pa.array([0] * part.num_rows, pa.int64()))
 
-    rows = some_conversations(3, 25)
+    rows = [(c, t, "user", x) for c, texts in {1: "aab", 2: "aab", 41: "ab", 42: "ba", 65: "abb", 66: ""}.items() for t, x in enumerate(texts)]
+    assert sum(r[1] == 1 for r in brute_trie(rows)) > 1 and sum(r[1] == 2 for r in brute_trie(rows)) > 1
     monkeypatch.setattr(prefix_trie, "_turn_hash", weak)
     assert trie(prefix_trie.prefix_trie(spark.createDataFrame(rows, TURNS))) == brute_trie(rows)
 
