@@ -358,7 +358,7 @@ def planner_frames(spark, sf_dir: str) -> DataFrame:
     return _as_planner(drives(spark, sf_dir))
 
 
-def _as_planner(rows: DataFrame) -> DataFrame:
+def _as_planner(rows: DataFrame, *more) -> DataFrame:
     c = F.col
     thing = lambda i, x, y, ttc, v, a: F.struct(i.cast("long").alias("id"), x.cast("double").alias("x"), F.lit(float(y)).alias("y"), ttc.cast("double").alias("ttc"), v.cast("double").alias("velocity"), a.cast("double").alias("acceleration"), F.lit(4.5).alias("length"))
     closing = c("ego_speed_mps") - c("front_velocity_abs")
@@ -368,7 +368,7 @@ def _as_planner(rows: DataFrame) -> DataFrame:
     beside = thing(F.lit(8), F.lit(3.0), 3.0, F.lit(2.0), F.lit(5.0), F.lit(0.0))
     return rows.select(
         "recording_id", "us", c("us").alias("arrival"), (c("turning") == 1).alias("non_straight"), c("curvature").alias("max_curvature"), c("curv_speed_limit").alias("curve_limit"), (c("curv_enable") == 1).alias("curve_limited"), "slope_acc", c("acc_active_flag").alias("np_on"), c("pedal_override_flag").alias("override"), c("ego_speed_mps").alias("speed"), "acceleration", c("stationary_flag").alias("still"), "set_speed", (c("red_light") == 1).alias("red_light"), "stop_distance",
-        c("lead_id").cast("long").alias("lead_id"), c("us").alias("objects_us"), F.lit(True).alias("primary"), F.filter(F.array(front, second, beside), lambda o: o.isNotNull()).alias("objects"),
+        c("lead_id").cast("long").alias("lead_id"), c("us").alias("objects_us"), F.lit(True).alias("primary"), F.filter(F.array(front, second, beside), lambda o: o.isNotNull()).alias("objects"), *more,
     )
 
 
