@@ -358,6 +358,22 @@ def far_from_last(time: str, width: float) -> Machine:
     return machine
 
 
+def disjoint(start: str, end: str) -> Machine:
+    """Of intervals that come by their start, each that begins after the end of the last one given, whole."""
+
+    def machine() -> Generator:
+        until = None
+        out: list = []
+        while True:
+            s = yield out
+            out = []
+            if s is not None and (until is None or getattr(s, start) > until):
+                until = getattr(s, end)
+                out.append(tuple(s))
+
+    return machine
+
+
 def separated_top(score: str, start: str, count: int, apart: float) -> Machine:
     """Of windows that come by falling score, the first ``count`` that begin ``apart`` from all chosen before: (start, score, rank)."""
 
