@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions import scalars as S
 from ..operators import automata as M, segments as G, windows as W
 from .scenes import KEYS, SECOND, samples_in
 
@@ -81,3 +82,12 @@ def heavy_braking(frame: DataFrame) -> DataFrame:
     found = found.join(within, [*KEYS, "start_us"], "left")
     merged = F.expr(_score(LOW, JUMP["drop"], "a", "jerk", "(start_a - a)", f"(end_us - start_us) / {SECOND}"))
     return found.select(*KEYS, "start_us", "end_us", "kind", "n", F.when(c("n") > 1, merged).otherwise(c("own")).alias("severity"))
+
+
+def planner_heavy_braking(frames: DataFrame) -> DataFrame:
+    """``heavy_braking`` on planner frames, with the slope's part of the acceleration (0 where it isn't known): frames without an acceleration are left
+    out, of those of one time the first to arrive counts, and what begins after the recording's own frames belongs to the next recording."""
+    rows = frames.where(c("acceleration").isNotNull()).withColumn("__k", F.row_number().over(Window.partitionBy(*KEYS, "us").orderBy("arrival"))).where("__k = 1")
+    rows = rows.select(*KEYS, "us", (c("acceleration") + F.coalesce("slope_acc", F.lit(0.0))).alias("acceleration"), (S.holds(c("np_on")) & ~S.holds(c("override"))).alias("in_control"))
+    own = frames.where("primary").groupBy(*KEYS).agg(F.max("us").alias("last_us"))
+    return heavy_braking(rows).join(own, KEYS).where("start_us <= last_us").drop("last_us")

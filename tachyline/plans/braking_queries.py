@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from . import braking as B
-from .drive_queries import GATED, JERK, _gated
+from . import gated as X, torque as T
+from .drive_queries import FRAME, GATED, INCIDENT_SQL, JERK, PLANNER, _as_planner, _bias, _gated, drives, planner_frames, runs
 
-QUERIES: dict = {"gated_heavy_braking": _gated(B.heavy_braking)}
 HEAVY = (
-    GATED
-    + JERK.replace("FROM f)", "FROM gf)")
+    JERK.replace("FROM f)", "FROM gf)")
     + """,
 hv AS (
   SELECT recording_id, us, smooth, jerk,
@@ -99,4 +98,64 @@ SELECT recording_id, start_us, end_us, kind, n,
 FROM me
 LEFT JOIN mw USING (recording_id, start_us)"""
 )
-ORACLE: dict[str, str] = {"gated_heavy_braking": HEAVY}
+_PULLED = """,
+gf AS (SELECT * REPLACE (acceleration + 9.80665e0 * sin(radians(slope_deg)) AS acceleration), ctl AS gctl FROM f)"""
+_AFTER = INCIDENT_SQL["acc_heavy_braking_after_override_release_count"]
+_AFTER = GATED + _AFTER[len(FRAME) : _AFTER.index("n3 AS (")].replace("acceleration, ctl,", "acceleration, gctl AS ctl,").replace("WHEN ctl THEN", "WHEN gctl THEN").replace("FROM f WINDOW", "FROM gf WINDOW")
+AFTER_RELEASE = f"""{_AFTER}n3 AS (
+  SELECT *, coalesce(acceleration < -2, false) AS low
+  FROM n2),
+go AS (
+  SELECT recording_id, release, onset
+  FROM n3
+  GROUP BY ALL
+  HAVING NOT coalesce(max_by(low, us) FILTER (us < release), false)
+    AND ((bool_or(bo) AND max(brake - k0) FILTER (us >= onset) >= 120) OR (bool_or(dn) AND max(d0 - drive) FILTER (us >= onset) >= 80))),
+sc AS (
+  SELECT n3.*
+  FROM n3
+  JOIN go USING (recording_id, release, onset)
+  WHERE us >= release),
+rs AS ({runs('sc', 'low', 'min(acceleration) AS least_, min(jerk) AS jerk', 'recording_id, release, onset')})
+SELECT recording_id, a AS start_us, b AS end_us, round(greatest(-least_ - 2, 0) * 60 + greatest(-jerk - 3, 0) * 40, 3) AS severity
+FROM rs
+WHERE a <= release + 200000 AND b >= onset AND b - a >= 200000 AND jerk < -3
+QUALIFY row_number() OVER (PARTITION BY recording_id, release ORDER BY onset, a) = 1"""
+REACH = (
+    PLANNER
+    + GATED[len(FRAME) :]
+    + f""",
+pk AS (
+  SELECT recording_id, us, road
+  FROM pf
+  WHERE us // 100000 % 4 = 0),
+k1 AS (
+  SELECT gf.*, b.us AS kb, b.road AS rb
+  FROM gf
+  ASOF LEFT JOIN pk b ON gf.recording_id = b.recording_id AND gf.us >= b.us),
+k2 AS (
+  SELECT k1.*, n.us AS kn, n.road AS rn,
+    floor(set_speed * (floor(1000 * {_bias("set_speed")} + 0.5) / 1000) + 0.5) AS wanted
+  FROM k1
+  ASOF LEFT JOIN pk n ON k1.recording_id = n.recording_id AND k1.us <= n.us),
+k3 AS (
+  SELECT *, CASE WHEN kn IS NULL OR us - kb <= kn - us THEN us - kb <= 300000 AND rb ELSE kn - us <= 300000 AND rn END AS open_
+  FROM k2)
+SELECT recording_id, a AS start_us, b AS end_us, most < wmax AS bad, round(greatest(wmax - most, 0), 3) AS severity
+FROM ({runs("k3", "gctl AND set_speed > 0 AND open_ AND abs(shown - wanted) <= 1.5", "max(shown) AS most, min(shown) AS least_, max(wanted) AS wmax, min(wanted) AS wmin")})
+WHERE b - a >= 8000000 AND most - least_ <= 2 AND wmax - wmin <= 1e-6"""
+)
+
+
+def gated_set_speed_reach(spark, sf_dir):
+    told = drives(spark, sf_dir).where("(us div 100000) % 4 = 0")
+    return _gated(lambda frame: X.set_speed_reach(frame, _as_planner(told)))(spark, sf_dir)
+
+
+QUERIES: dict = {
+    "gated_heavy_braking": _gated(B.heavy_braking),
+    "planner_heavy_braking": lambda spark, sf_dir: B.planner_heavy_braking(planner_frames(spark, sf_dir)),
+    "gated_braking_after_release": _gated(lambda frame: T.braking_after_release(frame, raw=True)),
+    "gated_set_speed_reach": gated_set_speed_reach,
+}
+ORACLE: dict[str, str] = {"gated_heavy_braking": GATED + HEAVY, "planner_heavy_braking": FRAME + _PULLED + HEAVY, "gated_braking_after_release": AFTER_RELEASE, "gated_set_speed_reach": REACH}

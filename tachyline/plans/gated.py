@@ -40,3 +40,20 @@ def rollback(frame: DataFrame) -> DataFrame:
     mean = F.avg(sum(F.abs(f"wheel_speed_{w}") for w in wheels) / 4)
     runs = G.islands(frame, mask, KEYS, ["us"], "us", SECOND // 5, aggs=[mean.alias("speed")])
     return runs.select(*KEYS, c("start_t").alias("start_us"), c("end_t").alias("end_us"), F.round("speed", 3).alias("severity"))
+
+
+def set_speed_reach(frame: DataFrame, frames: DataFrame) -> DataFrame:
+    """Near the set speed (1.5 km/h, both as displayed) on a road that the planner's frame nearest by, and its objects, within 300 ms, show clear: for 8 s, with a span
+    of 2 km/h at most and one set speed. recording_id, start_us, end_us, bad (never reached), severity (km/h that are missing)."""
+    from .planner import candidates
+
+    seen = candidates(frames).select(*KEYS, "us", "clear", "objects_us")
+    rows = A.asof(frame, seen, KEYS, "us", ["clear", "objects_us"], "nearest", TOLERANCE)
+    shown, wanted = S.display_speed(c("ego_speed")), S.display_speed(c("set_speed"))
+    fresh = S.holds(F.abs(c("objects_us") - c("us")) <= TOLERANCE)
+    rows = rows.withColumns({"shown": shown, "wanted": wanted}).withColumn("near", c("in_control") & S.holds(c("set_speed") > 0) & S.holds(c("clear")) & fresh & S.holds(F.abs(c("shown") - c("wanted")) <= 1.5))
+    of = lambda f, x: getattr(F, f)(x).alias(f"{f}_{x}")
+    runs = G.islands(rows, "near", KEYS, ["us"], "us", 8 * SECOND, aggs=[of("max", "shown"), of("min", "shown"), of("max", "wanted"), of("min", "wanted")])
+    runs = runs.where("max_shown - min_shown <= 2 and max_wanted - min_wanted <= 1e-6")
+    missing = F.greatest(c("max_wanted") - c("max_shown"), F.lit(0.0))
+    return runs.select(*KEYS, c("start_t").alias("start_us"), c("end_t").alias("end_us"), (missing > 0).alias("bad"), F.round(missing, 3).alias("severity"))

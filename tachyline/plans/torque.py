@@ -142,13 +142,14 @@ def jerkiness_in_override(frame: DataFrame, powertrain: str = "PHEV") -> DataFra
     return _events(confirmed(rows, jerky(rows, c("acc_active_flag") & c("pedal_override_flag") & S.holds(c("accelerator_pedal_pos") > 0) & _driving(frame))))
 
 
-def braking_after_release(frame: DataFrame, powertrain: str = "PHEV") -> DataFrame:
+def braking_after_release(frame: DataFrame, powertrain: str = "PHEV", raw: bool = False) -> DataFrame:
     """Braking under -2 with jerk under -3 that a change of torque brings on within 0.2 s of a release.
 
     An onset is the first sample at which the brake torque's trailing rate reaches 2,500, or the drive torque's -1,500. It
     counts if the torque then changes by 120 (80) within a second, while the function is on, and braking of 0.2 s, gaps of
     0.5 s closed, begins by 0.2 s after the release and lasts to the onset at least. The first onset of a release counts.
-    What is seen of the acceleration ends with that second.
+    What is seen of the acceleration ends with that second. ``raw`` goes by the acceleration itself and closes no gaps: a stretch counts
+    if its jerk falls under -3 anywhere.
     """
     w = Window.partitionBy(*KEYS).orderBy("us")
     trail = w.rangeBetween(-80_000, 0)
@@ -171,16 +172,19 @@ def braking_after_release(frame: DataFrame, powertrain: str = "PHEV") -> DataFra
     edge = F.max(F.when(c("us") < c("release") - 600_000, c("us"))).over(Window.partitionBy(*own))
     near = near.withColumn("edge", edge).where(c("us") >= F.coalesce("edge", c("us")))
     near = W.time_slope(W.time_mean(near, "acceleration", 300_000, own, "us", "smooth"), "smooth", 300_000, own, "us", "jerk")
-    near = near.withColumn("low", S.holds((c("smooth") < -2) & (c("jerk") < -3)))
+    level = "acceleration" if raw else "smooth"
+    near = near.withColumn("low", S.finite(c(level)) & S.holds((c(level) < -2) & (F.lit(raw) | (c("jerk") < -3))))
     already = F.max_by("low", F.when(c("us") < c("release"), c("us")))
     change = lambda name, sign: F.max(F.when(c("us") >= c("onset"), sign * (c(name) - c(f"{name}_before"))))
     turned = near.groupBy(*own).agg(already.alias("already"), F.first("brake_on").alias("brake_on"), F.first("drive_on").alias("drive_on"), change("brake", 1).alias("more"), change("drive", -1).alias("less"))
     turned = turned.where("not coalesce(already, false) and ((brake_on and more >= 120) or (drive_on and less >= 80))").select(*own)
-    scene = G.fill_short_gaps(near.where("us >= release").join(turned, own, "left_semi"), "low", SECOND // 2, own, ["us"], "us")
-    runs = G.islands(scene, "filled", own, ["us"], "us", aggs=[F.min("smooth").alias("least"), F.min("jerk").alias("jerk")])
+    scene = near.where("us >= release").join(turned, own, "left_semi")
+    scene = scene.withColumn("filled", c("low")) if raw else G.fill_short_gaps(scene, "low", SECOND // 2, own, ["us"], "us")
+    runs = G.islands(scene, "filled", own, ["us"], "us", aggs=[F.min(level).alias("least"), F.min("jerk").alias("jerk")]).where(F.lit(not raw) | (c("jerk") < -3))
     runs = runs.where((c("start_t") <= c("release") + 200_000) & (c("end_t") >= c("onset")) & (c("duration") >= 200_000))
     best = runs.groupBy("recording_id", "release").agg(F.min_by(F.struct("start_t", "end_t", "least", "jerk"), F.struct("onset", "start_t")).alias("b")).select("recording_id", "b.*")
-    severity = F.round(F.greatest(-c("least") - 2, F.lit(0.0)) * 50 + F.greatest(-c("jerk") - 3, F.lit(0.0)) * 25, 3)
+    by_level, by_jerk = (60, 40) if raw else (50, 25)
+    severity = F.round(F.greatest(-c("least") - 2, F.lit(0.0)) * by_level + F.greatest(-c("jerk") - 3, F.lit(0.0)) * by_jerk, 3)
     return best.select("recording_id", c("start_t").alias("start_us"), c("end_t").alias("end_us"), severity.alias("severity"))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Names in the dumps (fixed values of the format).
-SOURCES = {"objects_ms": "/perception/fusion/object_auto", "chassis_ms": "/vehicle/chassis_report", "control_ms": "/msd/prediction/prediction_result_auto"}
+SOURCES = {"objects_ms": "/perception/fusion/object_auto", "chassis_ms": "/vehicle/chassis_report", "control_ms": "/msd/prediction/prediction_result_auto", "body_ms": "/vehicle/body_report"}
 JSON_NAMES = {
     "function": ("FrameInfo", "function"),
     "red_light": ("traffic_light_decider_info", "stop_flag"),
@@ -42,6 +42,8 @@ OBJECT_NAMES = {
     "acceleration": ("acceleration_relative_to_ground", "x"),
     "length": ("shape", "length"),
 }
+BODY_NAMES = ("auxiliary_report", "auxiliary_report_data", "vehicle_speed_on_dashboard")
+CRUISE_NAME = "cruise_speed_limit"
 CONTROL_NAMES = ("slope_acc", "acc_ref", "acc_wheel", "acc_ego_real")
 #: The value that an absent field has.
 ABSENT = {"stop_distance": 1000.0, "set_speed": 0.0, "max_curvature": 0.0, "curve_limit": 100.0, "red_light": False, "curve_limited": False}
@@ -114,6 +116,11 @@ def _headed(dumps: DataFrame, clock: str) -> DataFrame:
     return rows.withColumn("at_ms", number(field(F.col("__p"), "meta", clock)) / 1000).where("at_ms is not null")
 
 
+def _stamped(text: Column) -> Column:
+    """Milliseconds by the stamp entry, else the number that heads the paragraph."""
+    return F.coalesce(number(field(text, "stamp", "secs")) * 1000 + number(field(text, "stamp", "nsecs")) / 1e6, F.col("stamp").cast("double"))
+
+
 def planning(dumps: DataFrame) -> DataFrame:
     """Planning messages: at_ms, function and np_on, red_light, stop_distance, set_speed, curve limits, non_straight with what it is
     known by, lead_id, and the times of the messages that it was made from."""
@@ -123,11 +130,10 @@ def planning(dumps: DataFrame) -> DataFrame:
     made = {name: number(json_value(p, topic, "metaTimeMs")).alias(name) for name, topic in SOURCES.items()}
     known = lambda name, read: F.coalesce(read(value[name]), F.lit(ABSENT[name])).alias(name)
     signal, turn, around = number(value["signal"]).cast("int"), number(value["map_turn"]).cast("int"), flag(value["u_turn"])
-    stamped = number(field(p, "stamp", "secs")) * 1000 + number(field(p, "stamp", "nsecs")) / 1e6
     no = F.lit(False)
     return rows.select(
         *_others(rows),
-        F.coalesce(stamped, F.col("stamp").cast("double")).alias("at_ms"),
+        _stamped(p).alias("at_ms"),
         value["function"].alias("function"),
         F.coalesce(value["function"] == "UNP", no).alias("np_on"),
         known("red_light", flag),
@@ -178,6 +184,19 @@ def control(dumps: DataFrame) -> DataFrame:
     return rows.select(*_others(rows), *(number(json_value(named, "json", n)).alias(n) for n in CONTROL_NAMES))
 
 
+def body(dumps: DataFrame) -> DataFrame:
+    """Body messages: at_ms, shown_speed (km/h on the dashboard)."""
+    rows = _headed(dumps, "timestamp_us")
+    return rows.select(*_others(rows), number(field(F.col("__p"), *BODY_NAMES)).alias("shown_speed"))
+
+
+def cruise(dumps: DataFrame) -> DataFrame:
+    """Cruise messages: at_ms, cruise_limit (km/h; a member of the message's JSON at any depth, the first of that name)."""
+    rows = paragraphs(dumps, "seq").withColumn("__p", joined(F.col("paragraph")))
+    told = F.regexp_extract("__p", rf'"{CRUISE_NAME}"\s*:\s*([-+.0-9eE]+)', 1)
+    return rows.select(*_others(rows), _stamped(F.col("__p")).alias("at_ms"), number(told).alias("cruise_limit"))
+
+
 def _matched(rows: DataFrame, messages: DataFrame, keys: list[str], ref: str, values: list[str]) -> DataFrame:
     """``rows`` with the values of the message nearest to the time ``ref`` that each names, the earlier if as near; null without one."""
     from ..operators.alignment import asof
@@ -187,8 +206,9 @@ def _matched(rows: DataFrame, messages: DataFrame, keys: list[str], ref: str, va
     return named.select(*none.columns).unionByName(none)
 
 
-def frames(plans: DataFrame, things: DataFrame, vehicle: DataFrame, keys: list[str], steering: DataFrame | None = None) -> DataFrame:
-    """Planning messages with the object, chassis and (``steering``) control messages that they were made from, as planner frames (``plans.planner``).
+def frames(plans: DataFrame, things: DataFrame, vehicle: DataFrame, keys: list[str], steering: DataFrame | None = None, body: DataFrame | None = None, cruise: DataFrame | None = None) -> DataFrame:
+    """Planning messages with the object, chassis and (``steering``) control messages that they were made from, as planner frames (``plans.planner``);
+    with shown_speed by the ``body`` message that they name, and cruise_limit by the ``cruise`` message nearest to them, if these are given.
 
     ``position`` is the message's place in its dump: of messages of one time the later counts where only one can.
     A message that names no time borrows that of the message before, if the one behind names one as well. The pedal tells an
@@ -197,9 +217,8 @@ def frames(plans: DataFrame, things: DataFrame, vehicle: DataFrame, keys: list[s
     from pyspark.sql import Window
 
     w = Window.partitionBy(*keys).orderBy("at_ms")
-    rows = plans
-    rows = plans if "control_ms" in plans.columns else plans.withColumn("control_ms", F.lit(None).cast("double"))
-    for ref in ("objects_ms", "chassis_ms", "control_ms"):
+    rows = plans.withColumns({ref: F.lit(None).cast("double") for ref in SOURCES if ref not in plans.columns})
+    for ref in SOURCES:
         rows = rows.withColumn(ref, F.coalesce(ref, F.when(F.lead(ref).over(w).isNotNull(), F.lag(ref).over(w))))
     seen = things.withColumn("objects_at", F.col("at_ms"))
     rows = _matched(rows, seen, keys, "objects_ms", ["objects", "objects_at"])
@@ -208,5 +227,11 @@ def frames(plans: DataFrame, things: DataFrame, vehicle: DataFrame, keys: list[s
         rows = rows.withColumn("slope_acc", F.lit(None).cast("double"))
     else:
         rows = _matched(rows, steering, keys, "control_ms", ["slope_acc"])
+    more = []
+    if body is not None:
+        rows, more = _matched(rows, body, keys, "body_ms", ["shown_speed"]), ["shown_speed"]
+    if cruise is not None:
+        rows = _matched(rows.withColumn("own_ms", F.col("at_ms")), cruise, keys, "own_ms", ["cruise_limit"]).drop("own_ms")
+        more = [*more, "cruise_limit"]
     us = lambda x: (F.col(x) * 1000).cast("long")
-    return rows.select(*keys, us("at_ms").alias("us"), F.col("position").cast("long").alias("arrival"), "np_on", F.col("over").alias("override"), "speed", "acceleration", F.coalesce("still", F.lit(False)).alias("still"), "set_speed", "red_light", "stop_distance", "non_straight", "max_curvature", "curve_limit", "curve_limited", "slope_acc", "lead_id", us("objects_at").alias("objects_us"), F.lit(True).alias("primary"), F.coalesce("objects", F.from_json(F.lit("[]"), f"array<struct<{OBJECT.replace(' ', ':')}>>".replace(",:", ","))).alias("objects"))
+    return rows.select(*keys, us("at_ms").alias("us"), F.col("position").cast("long").alias("arrival"), "np_on", F.col("over").alias("override"), "speed", "acceleration", F.coalesce("still", F.lit(False)).alias("still"), "set_speed", "red_light", "stop_distance", "non_straight", "max_curvature", "curve_limit", "curve_limited", "slope_acc", "lead_id", us("objects_at").alias("objects_us"), F.lit(True).alias("primary"), F.coalesce("objects", F.from_json(F.lit("[]"), f"array<struct<{OBJECT.replace(' ', ':')}>>".replace(",:", ","))).alias("objects"), *more)

@@ -95,3 +95,50 @@ def test_only_control_counts(spark):
     assert B.heavy_braking(drive(spark, [])).count() == 0
     assert B.heavy_braking(drive(spark, [None] * 30)).count() == 0
     assert B.heavy_braking(drive(spark, [0.5] * 40)).count() == 0
+
+
+def test_planner_frames_of_one_time_and_of_the_next_recording(spark):
+    columns = "recording_id string, us long, arrival long, acceleration double, slope_acc double, np_on boolean, override boolean, primary boolean"
+    fall = [0.5] * 10 + [-4.0] * 12 + [0.5] * 10
+    rows = [("a", 50_000 * k, 2 * k, x, None, True, None, True) for k, x in enumerate(fall)]
+    doubled = [("a", 50_000 * k, 2 * k + 1, 3.0, None, True, False, True) for k in range(len(fall))]  # come later at the same times
+    want = B.heavy_braking(drive(spark, fall)).collect()
+    got = B.planner_heavy_braking(spark.createDataFrame(rows + doubled, columns)).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want] and len(got) == 1
+    context = [r[:7] + (r[1] < want[0].start_us,) for r in rows]
+    assert B.planner_heavy_braking(spark.createDataFrame(context, columns)).count() == 0
+    sloped = [r[:3] + (r[3] + 0.3, -0.3) + r[5:] for r in rows]
+    assert B.planner_heavy_braking(spark.createDataFrame(sloped, columns)).collect()[0].severity == pytest.approx(want[0].severity, abs=2e-3)
+
+
+THING = "struct<id:bigint,x:double,y:double,ttc:double,velocity:double,acceleration:double,length:double>"
+
+
+@pytest.mark.parametrize(
+    "speed, near, late, want",
+    [(60.0, None, 0, [(False, 0.0)]), (59.0, None, 0, [(True, 1.0)]), (55.0, None, 0, []), (59.0, 15.0, 0, []), (59.0, None, 400_000, [])],
+)
+def test_set_speed_needs_a_road_that_objects_of_the_moment_show_clear(spark, speed, near, late, want):
+    from tachyline.plans import gated as X
+
+    frame = spark.createDataFrame([("a", 100_000 * k, speed, 60.0, True) for k in range(90)], "recording_id string, us long, ego_speed double, set_speed double, in_control boolean")
+    things = [(1, near, 0.0, 50.0, 5.0, 0.0, 4.5)] if near else []
+    frames = spark.createDataFrame([("a", 100_000 * k, -1, 100_000 * k + late, things) for k in range(90)], f"recording_id string, us long, lead_id long, objects_us long, objects array<{THING}>")
+    assert [(r.bad, r.severity) for r in X.set_speed_reach(frame, frames).collect()] == want
+    assert X.set_speed_reach(frame, frames.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("gap, raw, want", [(0, True, 1), (0, False, 1), (2, True, 0)])
+def test_raw_braking_after_a_release_closes_no_gaps(spark, gap, raw, want):
+    """0.15 s of braking, a gap of ``gap`` samples, and on: without closing the gap no stretch has 0.2 s."""
+    from tachyline.plans import torque as T
+
+    rows = []
+    for k in range(120):
+        braking = 60 <= k and not 63 <= k < 63 + gap and k < (63 + gap if gap else 80) + 3
+        rows.append(("a", 50_000 * k, -5.0 if braking else 0.3, 100.0, 2000.0 if k >= 60 else 0.0, True, k < 58))
+    frame = spark.createDataFrame(rows, "recording_id string, us long, acceleration double, actual_drive_torque double, actual_brake_torque double, acc_active_flag boolean, pedal_override_flag boolean")
+    found = T.braking_after_release(frame, raw=raw).collect()
+    assert len(found) == want
+    if want and raw:
+        assert found[0].start_us == 3_000_000 and found[0].severity > 3 * 60

@@ -144,3 +144,29 @@ def test_very_long_blocks(spark):
     items = "".join(f"  - track_id: {k}\n    available: True\n    crash_risk_ttc: {k}\n" for k in range(20_000))
     (row,) = T.objects(dump(spark, f"1700000000000000001 header:\nmeta:\n  sensor_timestamp_us: 1\nperception_fusion_objects_data:\n{items}")).collect()
     assert len(row.objects) == 20_000 and row.min_ttc == 0.0
+
+
+BODY = "1700000000000000001 header:\nmeta:\n  timestamp_us: 1700000000430000\nauxiliary_report:\n  auxiliary_report_data:\n    vehicle_speed_on_dashboard: 41.5\nother:\n  vehicle_speed_on_dashboard: 9\n"
+CRUISE = '1700000000000000001 seq: 1\nstamp:\n  secs: 1700000000\n  nsecs: 250000000\njson: "{\\"deep\\": {\\"cruise_speed_limit\\" \\\n : 80.5}}"\n1700000000000000002 seq: 2\njson: "{}"\n'
+
+
+def test_body_and_cruise_messages(spark):
+    (row,) = T.body(dump(spark, BODY)).collect()
+    assert (row.at_ms, row.shown_speed) == (1700000000430.0, 41.5)
+    (row,) = T.body(dump(spark, BODY.replace("    vehicle_speed_on_dashboard: 41.5\n", ""))).collect()
+    assert row.shown_speed is None
+    one, two = T.cruise(dump(spark, CRUISE)).orderBy("position").collect()
+    assert (one.at_ms, one.cruise_limit, two.at_ms, two.cruise_limit) == (1700000000250.0, 80.5, 1700000000000000002.0, None)
+
+
+def test_frames_take_the_dashboard_by_name_and_the_cruise_message_by_time(spark):
+    columns = "path string, position int, at_ms double, np_on boolean, red_light boolean, stop_distance double, set_speed double, non_straight boolean, max_curvature double, curve_limit double, curve_limited boolean, lead_id long, objects_ms double, chassis_ms double, body_ms double"
+    plans = spark.createDataFrame([("a", k, 1000.0 + 100 * k, True, False, 9.0, 60.0, False, 0.0, 100.0, False, None, None, None, ref) for k, ref in enumerate((980.0, None, 1210.0, None))], columns)
+    things = spark.createDataFrame([], f"path string, at_ms double, objects array<struct<{T.OBJECT.replace(', ', ',').replace(' ', ':')}>>")
+    vehicle = spark.createDataFrame([], "path string, at_ms double, acceleration double, speed double, pedal double, override boolean, still boolean")
+    shown = spark.createDataFrame([("a", 970.0, 40.0), ("a", 1200.0, 41.0)], "path string, at_ms double, shown_speed double")
+    limits = spark.createDataFrame([("a", 900.0, 80.0), ("a", 1150.0, None), ("b", 1000.0, 1.0)], "path string, at_ms double, cruise_limit double")
+    got = T.frames(plans, things, vehicle, ["path"], body=shown, cruise=limits).orderBy("us").collect()
+    assert [r.shown_speed for r in got] == [40.0, 40.0, 41.0, None]  # the second borrows the first one's time, the last has none behind it
+    assert [r.cruise_limit for r in got] == [80.0, None, None, None]
+    assert "shown_speed" not in T.frames(plans, things, vehicle, ["path"]).columns
