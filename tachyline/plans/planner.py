@@ -147,8 +147,8 @@ def _with_jerk(inside: DataFrame, own: list[str]) -> DataFrame:
     good = S.finite(c("acceleration")) & (c("us") > 0)
     last = F.row_number().over(Window.partitionBy(*own, "us", "__good").orderBy(F.desc("arrival"))) == 1
     rows = inside.withColumn("__good", good).withColumn("__good", c("__good") & last)
-    fitted = W.jerk(rows.where("__good"), "acceleration", own, "us")
-    return fitted.unionByName(rows.where("not __good").withColumn("jerk", F.lit(None).cast("double"))).drop("__good")
+    # The others have windows of their own, which tell nothing: one pass over the scenes, not one for each kind.
+    return W.jerk(rows, "acceleration", [*own, "__good"], "us").withColumn("jerk", F.when(c("__good"), c("jerk"))).drop("__good")
 
 
 def follow_stop_cases(frames: DataFrame) -> DataFrame:
