@@ -41,7 +41,9 @@ SIGNALS = {
 def drives(spark, sf_dir: str) -> DataFrame:
     """The frame of all users' drives, with derived fields."""
     order = "(PARTITION BY user_id ORDER BY ts, event_id)"
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("user_id", "event_type", f"cast(row_number() OVER {order} - 1 AS bigint) AS j", *(f"{x} AS {n}" for n, x in DIGITS.items()))
+    # Each event becomes 80 samples, which the size of the shuffled events doesn't show: the number of parts is told, and all windows of a recording keep them.
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").repartition(parts, "user_id").selectExpr("user_id", "event_type", f"cast(row_number() OVER {order} - 1 AS bigint) AS j", *(f"{x} AS {n}" for n, x in DIGITS.items()))
     rows = rows.selectExpr("*", "coalesce(lag(v1) OVER (PARTITION BY user_id ORDER BY j), 0e0) AS v0").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(79))))
     rows = rows.selectExpr("*", *(f"{x} AS {n}" for n, x in FIRST.items())).selectExpr(*(f"{x} AS {n}" for n, x in SIGNALS.items()))
     return SC.S.derive(rows.withColumn("us", F.col("us").cast("long")))
