@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import map_batches, materialize
+from .common import chunks, map_batches, materialize, texts_of
 from .word_pieces import END_ID, WordEncoder
 
 FILE_TOKENS = 1 << 20
@@ -147,6 +147,7 @@ def _encode(path: str, end_id: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = WordEncoder.of(path), TaskContext.get().partitionId()
         doc_ids, lengths, held, n, before, serial = [], [], [], 0, 0, 0
+        end = np.array([end_id], np.uint32)
 
         def close() -> pa.RecordBatch:
             nonlocal doc_ids, lengths, held, n, before, serial
@@ -157,14 +158,19 @@ def _encode(path: str, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], [c.split()[0] for c in STORE.split(", ")])
 
         for part in parts:
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text"), strict=True):
-                ids = encoder.encode(text.as_py() or "")
-                if n and n + len(ids) >= FILE_TOKENS:
-                    yield close()
-                doc_ids.append(doc_id)
-                lengths.append(len(ids) + 1)
-                held += [ids, np.array([end_id], np.uint32)]
-                n += len(ids) + 1
+            keys = part.column("doc_id").to_pylist()
+            data, offsets = texts_of(part.column("text"))
+            for i, j in chunks(offsets):
+                ids, counts = encoder.rows(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                at = 0
+                for doc_id, count in zip(keys[i:j], counts.tolist(), strict=True):
+                    if n and n + count >= FILE_TOKENS:
+                        yield close()
+                    doc_ids.append(doc_id)
+                    lengths.append(count + 1)
+                    held += [ids[at : at + count], end]
+                    n += count + 1
+                    at += count
         if doc_ids:
             yield close()
 

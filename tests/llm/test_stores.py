@@ -6,10 +6,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tachyline.llm import common, manifest, prefix_trie, token_store
+from tachyline.llm import common, manifest, prefix_trie, token_store, word_pieces
 from tachyline.llm.word_pieces import WordEncoder
 
 SF = "/root/testdata/sf0.001"
@@ -43,6 +44,22 @@ def test_long_text_and_full_dictionaries(monkeypatch):
     assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_rows_are_encoded_together_and_each_word_once(monkeypatch):
+    """Words around 16 bytes, words that end in NUL, more of them than the first tables hold, and the old number of places."""
+    rng, encoder = random.Random(6), WordEncoder(PATH)
+    rows = [" ".join("".join(rng.choice("aB,\x00é日") for _ in range(rng.choice([1, 2, 7, 8, 9, 14, 15, 16, 17, 40]))) for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    rows += ["", None, "a", "a\x00", "a\x00\x00", "<|endoftext|>", rows[0]]
+    data, offsets = common.texts_of(pa.array(rows))
+    want = [x.ids for x in encoder.tokenizer.encode_batch([r or "" for r in rows], add_special_tokens=False)]
+    learnt, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: (learnt.extend(words), learn(words)))
+    for _ in range(2):
+        ids, counts = encoder.rows(data, offsets)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+    assert len(learnt) > 1 << 11 and len(learnt) == len({w for r in rows for w in (r or "").encode().split()}) == encoder.ids.n
+    assert word_pieces.WORDS > 1 << 20
+
+
 @pytest.mark.parametrize("most", [1, 16, 256, 300, 49408, 2**32])
 def test_codes_give_any_identifier_by_its_place(most):
     rng = np.random.default_rng(most % 1000)
