@@ -337,3 +337,10 @@ def test_forward_drops_equal_brute_force_in_linear_time():
         run(long, 1e9, within)
         spent.append(time.process_time() - start)
     assert spent[1] < 4 * spent[0] + 0.5
+
+
+def test_qualified_windows_sum_afresh():
+    machine = M.qualified_windows(lambda least, most: most - least <= 40, 12, 12, "x", 5.0)()
+    next(machine)
+    out = [r for s in [(0, 29.77), (21, 0.37), (22, 132.19), (24, 34.31), (36, 5.83)] for r in machine.send(Sample(*s))] + machine.send(None)
+    assert [(a, b, n) for a, b, _, n in out] == [(0, 36, 4)]  # means of 15.07 and 20.07: 5 apart, unless the sum of the second has drifted by 132.19
