@@ -344,3 +344,15 @@ def test_qualified_windows_sum_afresh():
     next(machine)
     out = [r for s in [(0, 29.77), (21, 0.37), (22, 132.19), (24, 34.31), (36, 5.83)] for r in machine.send(Sample(*s))] + machine.send(None)
     assert [(a, b, n) for a, b, _, n in out] == [(0, 36, 4)]  # means of 15.07 and 20.07: 5 apart, unless the sum of the second has drifted by 132.19
+
+
+def test_box_mean_sums_in_the_samples_order(spark):
+    from functools import reduce
+    from operator import add
+
+    rng = random.Random(3)
+    values = [round(rng.expovariate(0.02), 2) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(values)), "t long, x double").withColumn("r", F.lit(1))
+    got = [r.m for r in W.box_mean(rows, "x", 7, K, ["t"], "m").orderBy("t").collect()]
+    at = lambda i: values[max(0, min(len(values) - 1, i))]
+    assert got == [reduce(add, (at(i + d) for d in range(-3, 4))) / 7 for i in range(len(values))]
