@@ -356,3 +356,23 @@ def test_box_mean_sums_in_the_samples_order(spark):
     got = [r.m for r in W.box_mean(rows, "x", 7, K, ["t"], "m").orderBy("t").collect()]
     at = lambda i: values[max(0, min(len(values) - 1, i))]
     assert got == [reduce(add, (at(i + d) for d in range(-3, 4))) / 7 for i in range(len(values))]
+
+
+def test_time_slope_is_a_covariance_by_a_covariance(spark):
+    """To the last bit, so that the first of equal slopes is the same here and in SQL."""
+    rng = random.Random(5)
+    values = [round(rng.uniform(-9, 9), 2) for _ in range(400)]
+    rows = spark.createDataFrame([(1, k * 100_000, v) for k, v in enumerate(values)], "r int, us long, x double")
+
+    def slope(points):
+        n, mx, my, sxy, sxx = 0, 0.0, 0.0, 0.0, 0.0
+        for x, y in points:
+            n, dx, dy, old = n + 1, x - mx, y - my, mx
+            mx, my = mx + dx / n, my + dy / n
+            sxy, sxx = sxy + dx * (y - my), sxx + (x - old) * (x - mx)
+        return (sxy / n) / (sxx / n)
+
+    for origin in (None, "o"):
+        got = [r.s for r in W.time_slope(rows.withColumn("o", F.lit(-700_000)), "x", 300_000, K, "us", "s", origin=origin).orderBy("us").collect()]
+        at = [(k * 100_000 - (0 if origin is None else -700_000)) / 1e6 for k in range(len(values))]
+        assert got[1:-1] == [slope([(at[j], values[j]) for j in range(k - 1, k + 2)]) for k in range(1, len(values) - 1)]
