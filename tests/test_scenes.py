@@ -3,7 +3,9 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from tachyline.operators import alignment as A
 from tachyline.plans import metrics as MT, scenes as SC
 
 
@@ -73,3 +75,15 @@ def test_incidents(spark):
     hard = MT.incidents(drive(spark, acceleration=brake), metrics=["acc_heavy_braking_count"]).collect()
     assert len(hard) == 1 and 9.8 <= hard[0].start_us / 1e6 <= 10.2
     assert MT.incidents(drive(spark), metrics=["acc_heavy_braking_count"]).count() == 0
+
+
+def test_samples_are_never_broadcast(spark):
+    """Drives are made of a table that is much smaller than they are, so sizes told by files say nothing of them."""
+    samples = spark.range(1000).selectExpr("1L AS recording_id", "id * 100000 AS us")
+    segments = spark.createDataFrame([(1, 5_000_000, 25_000_000), (1, 90_000_000, 90_500_000)], "recording_id long, start_us long, end_us long")
+    found = SC.samples_in(samples, segments)
+    pairs = spark.createDataFrame([(1, 2, 0)], "recording_id long, next_id long, shift long")
+    tail = A.stitch(samples.unionByName(samples.withColumn("recording_id", F.lit(2))), pairs, "recording_id", "next_id", "us", "shift", None)
+    assert found.count() == 201 + 6
+    for frame in (found, tail):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
