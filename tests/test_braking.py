@@ -1,5 +1,6 @@
 """Heavy braking against brute force on random signals."""
 
+import math
 import random
 
 import pytest
@@ -142,3 +143,20 @@ def test_raw_braking_after_a_release_closes_no_gaps(spark, gap, raw, want):
     assert len(found) == want
     if want and raw:
         assert found[0].start_us == 3_000_000 and found[0].severity > 3 * 60
+
+
+def test_falls_come_from_arrays_whatever_the_batches(spark):
+    """No arrays of windows: a window may lie across any number of batches, and each run on its own."""
+    rng = random.Random(9)
+    rows = [(r, i * 100_000 + rng.randrange(40_000), 3.0 * math.sin(i / 4 + r) - rng.random() * 3, 9 * math.cos(i / 4 + r) - 3, None if i % 150 > 140 else i // 150) for r in range(3) for i in range(900)]
+    frame = spark.createDataFrame(rows, "recording_id long, us long, a double, jerk double, run long")
+    before, found = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), []
+    try:
+        for size in ("10000", "7"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            falls = B.falls(frame)
+            found.append(sorted(map(tuple, falls.collect())))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert found[0] == found[1] and len({k for _, _, _, k, _, _ in found[0]}) == 3
+    assert "collect_list" not in falls._jdf.queryExecution().optimizedPlan().toString()
